@@ -68,17 +68,19 @@ def finite(df: DataFrame, name: str) -> Column:
 
 
 def epoch_micros(df: DataFrame, name: str) -> Column:
-    """Microseconds since 1970-01-01 as BIGINT, without any time-zone arithmetic for NTZ values."""
+    """Microseconds since 1970-01-01 as BIGINT; NTZ values are taken as they read, in any session."""
     data_type, value = type_of(df, name), col(name)
     if isinstance(data_type, T.TimestampType):
         return F.unix_micros(value)
     if isinstance(data_type, T.DateType):
         return F.unix_date(value).cast("long") * F.lit(86_400_000_000)
     if isinstance(data_type, T.TimestampNTZType):
+        if df.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC"):
+            return F.unix_micros(value.cast("timestamp"))
         days = F.unix_date(value.cast("date")).cast("long")
-        seconds = F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
-        fraction = F.date_format(value, "SSSSSS").cast("long")
-        return (days * 86_400 + seconds) * 1_000_000 + fraction
+        minutes = F.hour(value) * 60 + F.minute(value)
+        seconds = F.extract(F.lit("SECOND"), value)  # DECIMAL(8, 6), fraction included
+        return (days * 1440 + minutes) * 60_000_000 + (seconds * 1_000_000).cast("long")
     return value.cast("long")
 
 

@@ -36,6 +36,8 @@ def _cuts(df: DataFrame, key: Column, buckets: int) -> list[float]:
 
 
 def _bucketize(df: DataFrame, key: Column, cuts, name: str) -> DataFrame:
+    if not cuts:
+        return df.withColumn(name, F.lit(0.0))
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     keyed = df.withColumn(f"{name}_key", key.cast("double"))
     cut = Bucketizer(splits=splits, inputCol=f"{name}_key", outputCol=name)
@@ -129,14 +131,15 @@ def carry_fill(
         [T.StructField(BUCKET, T.LongType())]
         + [T.StructField(f"__c{i}", type_of(df, c)) for i, c in enumerate(columns)]
     )
-    in_order = Window.partitionBy(BUCKET).orderBy(col(time), col(row_id))
-    if backward:
-        frame = in_order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    else:
-        frame = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    nearest = F.first if backward else F.last
+    # Backward filling walks the reversed order: a frame that only grows costs one step per row,
+    # while a frame from the current row to the end is evaluated anew for every row.
+    keys = [col(time), col(row_id)]
+    order_by = [k.desc() for k in keys] if backward else keys
+    walked = Window.partitionBy(BUCKET).orderBy(*order_by).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
     filled = {
-        c: F.coalesce(nearest(col(c), ignorenulls=True).over(frame), F.col(f"__c{i}"))
+        c: F.coalesce(F.last(col(c), ignorenulls=True).over(walked), F.col(f"__c{i}"))
         for i, c in enumerate(columns)
     }
     helpers = [BUCKET, *(f"__c{i}" for i in range(len(columns)))]
@@ -162,17 +165,21 @@ def keys_at_ranks(
     firsts = values_at_ranks(
         df, {"first": first}, {"first": wanted}, {"first": bounds}, resolve_ties=True
     )["first"]
-    keys = {}
-    for target in firsts:
-        tied = df.where(first == F.lit(target.value))
-        edge = tied.agg(F.min(second).alias("low"), F.max(second).alias("high")).first()
-        found = values_at_ranks(
-            tied,
-            {"second": second},
-            {"second": [target.rank - target.below]},
-            {"second": (edge["low"], edge["high"])},
-        )["second"][0]
-        keys[target.rank] = OrderKey(target.value, found.value)
+    tied = [F.when(first == F.lit(t.value), second) for t in firsts]
+    edges = df.where(first.isin([t.value for t in firsts])).agg(
+        *(F.min(value).alias(f"l{i}") for i, value in enumerate(tied)),
+        *(F.max(value).alias(f"h{i}") for i, value in enumerate(tied)),
+    ).first()
+    keys = {t.rank: OrderKey(t.value, edges[f"l{i}"]) for i, t in enumerate(firsts) if t.count == 1}
+    shared = {str(i): t for i, t in enumerate(firsts) if t.count > 1}
+    if shared:
+        seconds = values_at_ranks(
+            df.where(first.isin([t.value for t in shared.values()])),
+            {i: tied[int(i)] for i in shared},
+            {i: [t.rank - t.below] for i, t in shared.items()},
+            {i: (edges[f"l{i}"], edges[f"h{i}"]) for i in shared},
+        )
+        keys |= {t.rank: OrderKey(t.value, seconds[i][0].value) for i, t in shared.items()}
     return keys
 
 

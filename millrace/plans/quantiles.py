@@ -5,7 +5,7 @@ right plan for a small column and impossible for a large one. Above ``SMALL_COLU
 at a rank is found by narrowing instead: the interval known to hold it is cut into ``CELLS`` equal
 cells, one aggregate counts each cell together with its smallest and largest value, and the cell
 holding the rank becomes the next interval. Each round returns at most ``CELLS`` rows per interval,
-reads only rows inside the open intervals (a pushed-down filter), and ends as soon as the cell holds
+reads only rows inside the open intervals, and ends as soon as the cell holds
 a single distinct value or the rank falls on its edge. A value repeated in a third of all rows is no
 special case. Every round separates the smallest from the largest value, so the search always ends.
 """
@@ -14,12 +14,11 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_COLUMN = 1_000_000
+SMALL_COLUMN = 200_000
 CELLS = 1024
 
 
@@ -48,22 +47,32 @@ def _cell(value: Column, low, high) -> Column:
 
 
 def _histograms(df: DataFrame, values: dict[str, Column], intervals: list[tuple]) -> dict:
-    """``{interval: [(count, min, max), …] in order}`` from one pass over the rows in the intervals."""
-    inside = [values[key].between(F.lit(low), F.lit(high)) for key, low, high in intervals]
-    cells = [
-        F.when(
-            hit,
-            F.struct(
-                F.lit(i).alias("i"),
-                _cell(values[key], low, high).alias("cell"),
-                values[key].alias("x"),
-            ),
-        )
-        for i, (hit, (key, low, high)) in enumerate(zip(inside, intervals, strict=True))
+    """``{interval: [(count, min, max), …] in order}`` from one pass over the rows in the intervals.
+
+    Intervals of one expression never overlap, so a row counts at most once per expression.
+    """
+    places: dict[str, tuple[Column, Column]] = {}
+    relevant = F.lit(False)
+    for i, (key, low, high) in enumerate(intervals):
+        inside = values[key].between(F.lit(low), F.lit(high))
+        relevant = relevant | inside
+        cell = _cell(values[key], low, high)
+        if key in places:
+            which, cells = places[key]
+            places[key] = (which.when(inside, i), cells.when(inside, cell))
+        else:
+            places[key] = (F.when(inside, i), F.when(inside, cell))
+    parts = [
+        (which.alias("i"), cells.alias("cell"), values[key].alias("x"))
+        for key, (which, cells) in places.items()
     ]
+    df = df.where(relevant)  # reaches the scan where the expressions are plain columns
+    if len(parts) == 1:
+        long = df.select(*parts[0])
+    else:
+        long = df.select(F.inline(F.array(*(F.struct(*part) for part in parts))))
     rows = (
-        df.where(reduce(lambda a, b: a | b, inside))
-        .select(F.inline(F.array_compact(F.array(*cells))))
+        long.where("i is not null")
         .groupBy("i", "cell")
         .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
         .collect()

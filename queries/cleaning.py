@@ -80,12 +80,12 @@ def _(spark, sf_dir):
 def _describe_sql(columns: list[str]) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count({c}) AS n, count(*) - count({c}) AS missing,
-              count(DISTINCT {c}) AS distinct_values, round(avg({c}), 6) AS mean,
-              round(stddev_samp({c}), 6) AS std, round(min({c})::DOUBLE, 6) AS min,
-              round(quantile_cont({c}::DOUBLE, 0.25), 6) AS q25,
-              round(quantile_cont({c}::DOUBLE, 0.5), 6) AS median,
-              round(quantile_cont({c}::DOUBLE, 0.75), 6) AS q75,
-              round(max({c})::DOUBLE, 6) AS max FROM lineitem"""
+              count(DISTINCT {c}) AS distinct_values, round(avg({c}), 4) AS mean,
+              round(stddev_samp({c}), 4) AS std, round(min({c})::DOUBLE, 4) AS min,
+              round(quantile_cont({c}::DOUBLE, 0.25), 4) AS q25,
+              round(quantile_cont({c}::DOUBLE, 0.5), 4) AS median,
+              round(quantile_cont({c}::DOUBLE, 0.75), 4) AS q75,
+              round(max({c})::DOUBLE, 4) AS max FROM lineitem"""
         for c in columns
     )
 
@@ -97,7 +97,7 @@ PROFILED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumbe
 def _(spark, sf_dir):
     profile = describe_table(table(spark, sf_dir, "lineitem"), PROFILED)
     doubles = [f.name for f in profile.schema.fields if f.dataType.typeName() == "double"]
-    return profile.withColumns({c: r6(F.col(c)) for c in doubles})
+    return profile.withColumns({c: F.round(c, 4) for c in doubles})
 
 
 @query("drop_useless_columns", "SELECT event_id, ts, user_id, event_type, value FROM events")

@@ -144,40 +144,36 @@ FEATURES = f"""
   CAST(hour(t) >= 20 OR hour(t) <= 5 AS TINYINT) AS is_night,
   CASE WHEN month(t) IN (12, 1, 2) THEN 'winter' WHEN month(t) IN (3, 4, 5) THEN 'spring'
        WHEN month(t) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season,
-  round(s - s0, 6) AS timedelta, round((s - s0) / 86400, 6) AS days_since_start,
-  round((s - s0) / ({YEAR}), 6) AS years_since_start,
+  since AS timedelta, since / 86400 AS days_since_start, since / ({YEAR}) AS years_since_start,
   {_cycle("Day", "86400::DOUBLE")}, {_cycle("Month", f"{YEAR} / 12")}, {_cycle("Year", YEAR)}"""
-SECONDS = "epoch_us({t}) / 1000000.0::DOUBLE"
+MICROS = "epoch_us({t})"
 
-FEATURE_NAMES = [
-    "timedelta", "days_since_start", "years_since_start", "Day_sin", "Day_cos", "Month_sin",
-    "Month_cos", "Year_sin", "Year_cos",
-]
+CYCLES = ["Day_sin", "Day_cos", "Month_sin", "Month_cos", "Year_sin", "Year_cos"]
 
 
 @query(
     "time_features",
-    f"""WITH e AS (SELECT o_orderkey, o_orderdate AS t, {SECONDS.format(t="o_orderdate")} AS s FROM orders),
-             m AS (SELECT min(s) AS s0 FROM e)
-        SELECT o_orderkey, t AS o_orderdate, {FEATURES} FROM e, m""",
+    f"""WITH e AS (SELECT o_orderkey, o_orderdate AS t, {MICROS.format(t="o_orderdate")} AS us FROM orders),
+             f AS (SELECT *, (us - min(us) OVER ()) / 1000000.0::DOUBLE AS since, us / 1000000.0::DOUBLE AS s FROM e)
+        SELECT o_orderkey, t AS o_orderdate, {FEATURES} FROM f""",
 )
 def _(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     made = TimeFeatures(TimeFeatureSettings("o_orderdate")).fit_transform(orders)
-    return made.withColumns({c: r6(F.col(c)) for c in FEATURE_NAMES})
+    return made.withColumns({c: r6(F.col(c)) for c in CYCLES})
 
 
 @query(
     "time_features_from_text",
     f"""WITH e AS (SELECT event_id, date_trunc('second', ts) AS t,
-                          {SECONDS.format(t="date_trunc('second', ts)")} AS s FROM events),
-             m AS (SELECT min(s) AS s0 FROM e)
-        SELECT event_id, t AS eu_text, {FEATURES} FROM e, m""",
+                          {MICROS.format(t="date_trunc('second', ts)")} AS us FROM events),
+             f AS (SELECT *, (us - min(us) OVER ()) / 1000000.0::DOUBLE AS since, us / 1000000.0::DOUBLE AS s FROM e)
+        SELECT event_id, t AS eu_text, {FEATURES} FROM f""",
 )
 def _(spark, sf_dir):
     spelt = _time_spellings(spark, sf_dir).select("event_id", "eu_text")
     made = TimeFeatures(TimeFeatureSettings("eu_text")).fit_transform(spelt)
-    return made.withColumns({c: r6(F.col(c)) for c in FEATURE_NAMES})
+    return made.withColumns({c: r6(F.col(c)) for c in CYCLES})
 
 
 LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_tax"]

@@ -50,7 +50,7 @@ p AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS pos FROM f),
 s AS (SELECT event_id, ts, value, CAST((pos - 5) / 6 AS BIGINT) AS pos FROM p WHERE pos >= 5 AND (pos - 5) % 6 = 0)
 SELECT event_id, pos, round((value - m) / sd, 6) AS value,
        CAST(hour(ts) >= 20 OR hour(ts) <= 5 AS TINYINT) AS is_night,
-       round((epoch_us(ts) - t0) / 86400000000.0::DOUBLE, 6) AS days_since_start
+       (epoch_us(ts) - t0) / 1000000.0::DOUBLE / 86400 AS days_since_start
 FROM s, (SELECT avg(value) AS m, stddev_pop(value) AS sd, min(epoch_us(ts)) AS t0 FROM s)"""
 
 
@@ -58,8 +58,7 @@ FROM s, (SELECT avg(value) AS m, stddev_pop(value) AS sd, min(epoch_us(ts)) AS t
 def _(spark, sf_dir):
     _, prepared = _preparation().fit_transform(_input(spark, sf_dir))
     return prepared.select(
-        "event_id", "pos", r6(F.col("value")).alias("value"), "is_night",
-        r6(F.col("days_since_start")).alias("days_since_start"),
+        "event_id", "pos", r6(F.col("value")).alias("value"), "is_night", "days_since_start",
     )
 
 
