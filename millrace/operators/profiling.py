@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import col, kind_of, number, numeric_columns, without_nan
 from millrace.plans.quantiles import quantiles
-from millrace.plans.statistics import statistics
+from millrace.plans.statistics import correlation, statistics
 
 
 def describe_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -72,7 +72,7 @@ def label_correlation(df: DataFrame, label: str, columns: list[str] | None = Non
     """Pearson correlation of every numeric column with the label, all in one aggregate."""
     names = [c for c in (columns or numeric_columns(df)) if c != label]
     y = number(df, label)
-    row = df.agg(*(F.corr(number(df, c), y).alias(f"c{i}") for i, c in enumerate(names))).first()
+    row = df.agg(*(correlation(number(df, c), y).alias(f"c{i}") for i, c in enumerate(names))).first()
     return df.sparkSession.createDataFrame(
         [(c, row[f"c{i}"]) for i, c in enumerate(names)], "column string, correlation double"
     )

@@ -12,6 +12,7 @@ from millrace.functions.columns import (
     col, epoch_micros, number, numeric_columns, text_columns, time_columns,
 )
 from millrace.operators.base import Fitted, Step
+from millrace.plans.statistics import correlation
 
 
 @dataclass(frozen=True)
@@ -48,7 +49,7 @@ class SelectByCorrelation(Step):
         values |= {c: epoch_micros(df, c).cast("double") for c in time_columns(df)}
         row = df.agg(
             F.avg(y).alias("mean"),
-            *(F.corr(v, y).alias(f"c{i}") for i, v in enumerate(values.values())),
+            *(correlation(v, y).alias(f"c{i}") for i, v in enumerate(values.values())),
         ).first()
         strength = {c: abs(row[f"c{i}"] or 0.0) for i, c in enumerate(values)}
         texts = text_columns(df)

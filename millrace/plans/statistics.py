@@ -35,3 +35,12 @@ def statistics(df: DataFrame, values: dict[str, Column], names) -> dict[str, dic
         key: {"rows": row["rows"], **{name: row[f"s{i}_{name}"] for name in names}}
         for i, key in enumerate(keys)
     }
+
+
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over rows with both values; NULL when either does not vary.
+
+    Spark's own ``corr`` raises a division error for a constant column.
+    """
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
