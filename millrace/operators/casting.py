@@ -144,10 +144,17 @@ class OneHot(Step):
         return state
 
 
-def sort_by_time(df: DataFrame, column: str, fmt: str = "dd.MM.yyyy HH:mm:ss") -> DataFrame:
-    """Parse time text and sort ascending (a range-partitioned sort); bad text sorts first as NULL."""
+def sort_by_time(
+    df: DataFrame, column: str, fmt: str = "dd.MM.yyyy HH:mm:ss", row_id: str | None = None
+) -> DataFrame:
+    """Parse time text and sort ascending; bad text sorts first as NULL.
+
+    The sort is range-partitioned. Give a ``row_id`` where one time (or NULL) may hold many rows: it
+    orders them and lets Spark spread them over several tasks.
+    """
     parsed = F.expr(f"try_cast(try_to_timestamp({quoted(column)}, '{fmt}') as timestamp_ntz)")
-    return df.withColumn(column, parsed).orderBy(col(column))
+    order = [col(column), *([col(row_id)] if row_id else [])]
+    return df.withColumn(column, parsed).orderBy(*order)
 
 
 @dataclass(frozen=True)

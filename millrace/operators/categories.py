@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col, present
@@ -99,9 +99,16 @@ def closest_spelling(value: Column, n: Column, known: list[tuple], threshold: fl
             for i, (text, count) in enumerate(known)
         )
     )
+    length = F.char_length(value)
+
+    def possible(c):
+        other = F.char_length(c["correct"])
+        near = F.abs(other - length) <= F.lit(1 - threshold + 1e-9) * F.greatest(other, length)
+        return near & (c["count"] > n) & (c["correct"] != value)
+
     fitting = F.filter(
         F.transform(
-            F.filter(candidates, lambda c: (c["count"] > n) & (c["correct"] != value)),
+            F.filter(candidates, possible),
             lambda c: F.struct(
                 similarity(value, c["correct"]).alias("similarity"),
                 c["rank"].alias("rank"),
@@ -217,15 +224,17 @@ class EncodeSettings:
 
 def _numbered(values: DataFrame) -> DataFrame:
     """Codes 0, 1, 2, … in ascending order of ``value`` without sorting in one task: a range
-    partitioning gives ordered parts, part sizes give the offset of each part."""
+    partitioning gives ordered parts, and the sizes of the parts give the first code of each."""
     ordered = values.repartitionByRange("value").sortWithinPartitions("value")
     placed = materialize(ordered.withColumn("place", F.monotonically_increasing_id()))
-    part = F.shiftright("place", 33)
-    within = F.col("place").bitwiseAND(F.lit(2**33 - 1))
-    sizes = placed.groupBy(part.alias("part")).count()
-    running = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", F.coalesce(F.sum("count").over(running), F.lit(0)).alias("start"))
-    joined = placed.withColumn("part", part).join(F.broadcast(starts), "part")
+    part, within = F.shiftright("place", 33), F.col("place").bitwiseAND(F.lit(2**33 - 1))
+    sizes = placed.groupBy(part.alias("part")).count().collect()
+    starts, start = [], 0
+    for row in sorted(sizes):
+        starts.append((row["part"], start))
+        start += row["count"]
+    lookup = values.sparkSession.createDataFrame(starts, "part long, start long")
+    joined = placed.withColumn("part", part).join(F.broadcast(lookup), "part")
     return joined.select("value", (F.col("start") + within).alias("code"))
 
 

@@ -64,7 +64,6 @@ AGGREGATIONS = {
     "max": F.max,
     "count": F.count,
     "std": F.stddev_samp,
-    "median": F.median,
 }
 
 

@@ -22,16 +22,25 @@ from millrace.plans.quantiles import values_at_ranks
 
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 8192
+CUT_SAMPLE = 500_000
 BUCKET = "__bucket"
 EARLIEST = -(2**53)  # place of a missing time: before every other, as in an ascending Spark sort
 
 
-def _cuts(df: DataFrame, key: Column, buckets: int) -> list[float]:
+def _cuts(df: DataFrame, key: Column, buckets: int, rows: int) -> list[float]:
+    """Approximate quantiles of the key that cut it into buckets.
+
+    They only decide how even the buckets are, never what a result is. A sample of
+    ``CUT_SAMPLE`` rows, or a hundred per bucket, keeps the merged sketch small on any number of tasks.
+    """
     shares = [i / buckets for i in range(1, buckets)]
     if not shares:
         return []
-    accuracy = max(10_000, 8 * buckets)
-    row = df.agg(F.percentile_approx(key.cast("double"), shares, accuracy).alias("cuts")).first()
+    sample = max(CUT_SAMPLE, 100 * buckets)
+    keys = df.select(key.cast("double").alias("key"))
+    if rows > 2 * sample:
+        keys = keys.sample(sample / rows, seed=17)
+    row = keys.agg(F.percentile_approx("key", shares, max(10_000, 8 * buckets)).alias("cuts")).first()
     return list(row["cuts"] or [])
 
 
@@ -52,9 +61,9 @@ def bucket_count(df: DataFrame, rows: int) -> int:
 def order_buckets(df: DataFrame, time: str, row_id: str, buckets: int | None = None) -> DataFrame:
     """Add ``__bucket``, a BIGINT that never decreases along ``(time, row_id)``."""
     key = F.coalesce(epoch_micros(df, time), F.lit(EARLIEST))
-    if buckets is None:
-        buckets = bucket_count(df, df.count())
-    cuts = _cuts(df, key, buckets)
+    rows = df.count()
+    buckets = buckets or bucket_count(df, rows)
+    cuts = _cuts(df, key, buckets, rows)
     hot = {int(cut): times for cut, times in Counter(cuts).items() if times > 1}
     keyed = _bucketize(df, key, [*cuts, *hot, *(h + 1 for h in hot)], "__time_bucket")
     bucket = F.col("__time_bucket").cast("long") * (MAX_BUCKETS + 1)
@@ -63,7 +72,7 @@ def order_buckets(df: DataFrame, time: str, row_id: str, buckets: int | None = N
 
     # An instant met by t cuts holds about t buckets of rows: give it t + 1 pieces. The cuts of
     # row_id are taken over the rows of all such instants and merged down to that number.
-    id_cuts = _cuts(df.where(key.isin(list(hot))), col(row_id), buckets)
+    id_cuts = _cuts(df.where(key.isin(list(hot))), col(row_id), buckets, rows)
     fine = len(set(id_cuts)) + 1
     pieces = df.sparkSession.createDataFrame(
         [(instant, times + 1) for instant, times in hot.items()], "__instant long, __pieces long"

@@ -169,7 +169,7 @@ def _(spark, sf_dir):
 @query("sort_by_time", "SELECT event_id, date_trunc('second', ts) AS ts FROM events")
 def _(spark, sf_dir):
     text = F.date_format("ts", "dd.MM.yyyy HH:mm:ss").alias("ts")
-    return sort_by_time(table(spark, sf_dir, "events").select("event_id", text), "ts")
+    return sort_by_time(table(spark, sf_dir, "events").select("event_id", text), "ts", row_id="event_id")
 
 
 @query(
