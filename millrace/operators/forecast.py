@@ -5,6 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -87,8 +88,8 @@ def fit_linear(
 ) -> LinearForecast:
     """One MLlib linear regression per label and step; windows with a missing value are left out.
 
-    The inputs are a handful of values, so the normal equations are one aggregate per model. Give a
-    written (see ``materialize``) or cached table of windows, as each model reads it once.
+    The inputs are a handful of values, so the normal equations are one aggregate per model. The
+    assembled rows are persisted meanwhile, because every model reads them.
     """
     width = settings.input_width
     inputs = {
@@ -106,6 +107,7 @@ def fit_linear(
         *(F.get(col(f"out_{c}"), F.lit(j)).alias(name) for (c, j), name in labels.items()),
     ).dropna()
     table = VectorAssembler(inputCols=list(inputs), outputCol="features").transform(flat)
+    table = table.select("features", *labels.values()).persist(StorageLevel.MEMORY_AND_DISK)
     weights: dict[str, list] = {c: [] for c in settings.label_columns}
     for (c, _), name in labels.items():
         regression = LinearRegression(
@@ -114,6 +116,7 @@ def fit_linear(
         )
         model = regression.fit(table.select("features", name))
         weights[c].append((float(model.intercept), [float(w) for w in model.coefficients]))
+    table.unpersist()
     return LinearForecast(settings, weights)
 
 

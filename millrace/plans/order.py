@@ -54,7 +54,9 @@ def _bucketize(df: DataFrame, key: Column, cuts, name: str) -> DataFrame:
 
 
 def bucket_count(df: DataFrame, rows: int) -> int:
-    wanted = max(rows // ROWS_PER_BUCKET, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # Several buckets per shuffle partition, because hashing spreads few buckets unevenly.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(rows // ROWS_PER_BUCKET, 4 * partitions)
     return max(1, min(MAX_BUCKETS, wanted, rows))
 
 

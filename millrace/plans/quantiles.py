@@ -4,10 +4,10 @@ Spark's exact ``percentile`` keeps one map of all distinct values in the final t
 right plan for a small column and impossible for a large one. Above ``SMALL_COLUMN`` rows the value
 at a rank is found by narrowing instead: the interval known to hold it is cut into ``CELLS`` equal
 cells, one aggregate counts each cell together with its smallest and largest value, and the cell
-holding the rank becomes the next interval. Each round returns at most ``CELLS`` rows per interval,
-reads only rows inside the open intervals, and ends as soon as the cell holds
-a single distinct value or the rank falls on its edge. A value repeated in a third of all rows is no
-special case. Every round separates the smallest from the largest value, so the search always ends.
+holding the rank becomes the next interval. Each round returns at most ``CELLS`` rows per interval
+and ends as soon as the cell holds a single distinct value or the rank falls on its edge. A value
+repeated in a third of all rows is no special case. Every round separates the smallest from the
+largest value, so the search always ends.
 """
 
 from __future__ import annotations
@@ -28,14 +28,19 @@ class _Target:
     rank: int
     low: float
     high: float
+    log: bool = False
     below: int = 0
     value: float | None = None
     count: int = 0
 
+    @property
+    def interval(self) -> tuple:
+        return self.key, self.low, self.high, self.log
 
-def _cell(value: Column, low, high) -> Column:
+
+def _cell(value: Column, low, high, log: bool) -> Column:
     """Cell number of a value inside [low, high]; never decreasing in the value."""
-    if low > 0 and high / low > 1e6:
+    if log and low > 0:
         share = (F.ln(value) - math.log(low)) / (math.log(high) - math.log(low))
     elif isinstance(low, int) and isinstance(high, int):
         share = (value - F.lit(low)).cast("double") / float(high - low)
@@ -51,12 +56,15 @@ def _histograms(df: DataFrame, values: dict[str, Column], intervals: list[tuple]
 
     Intervals of one expression never overlap, so a row counts at most once per expression.
     """
+    # Each expression becomes a column first and no filter follows, so that it is computed once per
+    # row. Rows outside the intervals share the group NULL, which each task folds into one row.
+    keys = list(dict.fromkeys(interval[0] for interval in intervals))
+    df = df.select(*(values[key].alias(f"v{i}") for i, key in enumerate(keys)))
+    values = {key: F.col(f"v{i}") for i, key in enumerate(keys)}
     places: dict[str, tuple[Column, Column]] = {}
-    relevant = F.lit(False)
-    for i, (key, low, high) in enumerate(intervals):
+    for i, (key, low, high, log) in enumerate(intervals):
         inside = values[key].between(F.lit(low), F.lit(high))
-        relevant = relevant | inside
-        cell = _cell(values[key], low, high)
+        cell = _cell(values[key], low, high, log)
         if key in places:
             which, cells = places[key]
             places[key] = (which.when(inside, i), cells.when(inside, cell))
@@ -66,19 +74,17 @@ def _histograms(df: DataFrame, values: dict[str, Column], intervals: list[tuple]
         (which.alias("i"), cells.alias("cell"), values[key].alias("x"))
         for key, (which, cells) in places.items()
     ]
-    df = df.where(relevant)  # reaches the scan where the expressions are plain columns
     if len(parts) == 1:
         long = df.select(*parts[0])
     else:
         long = df.select(F.inline(F.array(*(F.struct(*part) for part in parts))))
     rows = (
-        long.where("i is not null")
-        .groupBy("i", "cell")
+        long.groupBy("i", "cell")
         .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
         .collect()
     )
     found: dict = {interval: [] for interval in intervals}
-    for row in sorted(rows, key=lambda r: (r["i"], r["cell"])):
+    for row in sorted((r for r in rows if r["i"] is not None), key=lambda r: (r["i"], r["cell"])):
         found[intervals[row["i"]]].append((row["n"], row["low"], row["high"]))
     return found
 
@@ -89,6 +95,8 @@ def _narrow(target: _Target, cells: list[tuple]) -> None:
         if target.rank < below + n:
             break
         below += n
+    # Where equal steps leave most rows in one cell, the next cells are equal ratios.
+    target.log = not target.log and 2 * n > sum(count for count, _, _ in cells)
     target.below = below
     first, last = target.rank == below, target.rank == below + n - 1
     if low == high:
@@ -115,10 +123,10 @@ def values_at_ranks(
     targets = [_Target(key, rank, *bounds[key]) for key in ranks for rank in ranks[key]]
     open_targets = targets
     while open_targets:
-        intervals = sorted({(t.key, t.low, t.high) for t in open_targets})
+        intervals = sorted({t.interval for t in open_targets})
         cells = _histograms(df, values, intervals)
         for target in open_targets:
-            _narrow(target, cells[(target.key, target.low, target.high)])
+            _narrow(target, cells[target.interval])
         open_targets = [
             t for t in open_targets if t.value is None or (resolve_ties and t.count == 0)
         ]
