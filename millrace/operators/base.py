@@ -64,12 +64,27 @@ class Unchanged(Fitted):
         return {}
 
 
+def _flat(name: str, value) -> list[tuple[str, object]]:
+    """Nested settings as dotted names: ``rules.0.mean``."""
+    if isinstance(value, dict):
+        return [pair for key, inner in value.items() for pair in _flat(f"{name}.{key}", inner)]
+    if isinstance(value, list):
+        return [pair for i, inner in enumerate(value) for pair in _flat(f"{name}.{i}", inner)]
+    return [(name, value)]
+
+
 STATE_SCHEMA = "step string, column string, name string, value string"
 
 
 def state_table(spark: SparkSession, models: dict[str, Fitted]) -> DataFrame:
-    """All fitted numbers as rows ``(step, column, name, value)``."""
-    rows = [row for step, model in models.items() for row in model.state_rows(step)]
+    """All fitted values as rows ``(step, column, name, value)``, nested ones under dotted names."""
+    rows = [
+        (step, column, flat, None if single is None else str(single))
+        for step, model in models.items()
+        for column, values in model.state.items()
+        for name, value in values.items()
+        for flat, single in _flat(name, value)
+    ]
     return spark.createDataFrame(rows, STATE_SCHEMA)
 
 

@@ -134,15 +134,14 @@ class Scale(Step):
         if s.algorithm in SCALE_FREE:
             return state | {c: {"method": "skip_all"} for c in names}
         values = {c: finite(df, c) for c in names}
-        stats = statistics(df, values, ["n", "mean", "std", "min", "max", "skew"])
-        flags = self._flags(df, [c for c in names if c not in s.scalers])
+        stats = statistics(df, values, ["n", "mean", "std", "min", "max", "skew", "not_flag"])
         wanted: dict[str, list[float]] = {}
         for c in names:
             if stats[c]["n"] == 0:
                 state[c] = {"method": "standard_skip"}
             elif stats[c]["min"] == stats[c]["max"]:
                 state[c] = {"method": "cons_skip"}
-            elif c in flags:
+            elif c not in s.scalers and (_is_flag_name(c) or stats[c]["not_flag"] == 0):
                 state[c] = {"method": "flag_skip"}
             elif c not in s.scalers:
                 wanted[c] = [0.25, 0.5, 0.75]
@@ -156,17 +155,6 @@ class Scale(Step):
                 state[c] = _linear(scaler, stats[c], found.get(c))
         return state
 
-    @staticmethod
-    def _flags(df: DataFrame, names: list[str]) -> set[str]:
-        named = {c for c in names if _is_flag_name(c)}
-        rest = [c for c in names if c not in named]
-        if not rest:
-            return named
-        row = df.agg(
-            *(F.count_if(~number(df, c).isin(0.0, 1.0)).alias(f"c{i}") for i, c in enumerate(rest))
-        ).first()
-        return named | {c for i, c in enumerate(rest) if row[f"c{i}"] == 0}
-
 
 def _recommended(stats: dict, quarters: list[float]) -> Scaler:
     q1, _, q3 = quarters

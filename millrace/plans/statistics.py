@@ -14,6 +14,7 @@ AGGREGATES = {
     "max": F.max,
     "skew": F.skewness,
     "kurt": F.kurtosis,
+    "not_flag": lambda value: F.count_if(~value.isin(0.0, 1.0)),
 }
 
 

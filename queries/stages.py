@@ -39,7 +39,7 @@ def _input(spark, sf_dir):
 
 
 PREPARED = f"""WITH {DIRTY},
-d AS (SELECT event_id, ts, value FROM (
+d AS (SELECT event_id, ts, user_id, value FROM (
         SELECT *, row_number() OVER (PARTITION BY value, user_id, ts::DATE ORDER BY event_id) AS rn FROM dirty)
       WHERE rn = 1),
 q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM d),
@@ -47,14 +47,16 @@ c AS (SELECT event_id, ts, CASE WHEN value < q1 - 1.5 * (q3 - q1) THEN q1 - 1.5
              WHEN value > q3 + 1.5 * (q3 - q1) THEN q3 + 1.5 * (q3 - q1) ELSE value END AS value FROM d, q),
 f AS (SELECT event_id, ts, coalesce(value, (SELECT median(value) FROM c)) AS value FROM c),
 p AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS pos FROM f),
-s AS (SELECT event_id, ts, value, CAST((pos - 5) / 6 AS BIGINT) AS pos FROM p WHERE pos >= 5 AND (pos - 5) % 6 = 0)
+s AS (SELECT event_id, ts, value, CAST((pos - 5) / 6 AS BIGINT) AS pos FROM p WHERE pos >= 5 AND (pos - 5) % 6 = 0)"""
+
+RESULT = f"""{PREPARED}
 SELECT event_id, pos, round((value - m) / sd, 6) AS value,
        CAST(hour(ts) >= 20 OR hour(ts) <= 5 AS TINYINT) AS is_night,
        (epoch_us(ts) - t0) / 1000000.0::DOUBLE / 86400 AS days_since_start
 FROM s, (SELECT avg(value) AS m, stddev_pop(value) AS sd, min(epoch_us(ts)) AS t0 FROM s)"""
 
 
-@query("prep_stages", PREPARED)
+@query("prep_stages", RESULT)
 def _(spark, sf_dir):
     _, prepared = _preparation().fit_transform(_input(spark, sf_dir))
     return prepared.select(
@@ -62,9 +64,39 @@ def _(spark, sf_dir):
     )
 
 
-@query("fitted_state")
+FITTED = {
+    ("01_Outliers", "value"): (
+        "d, q",
+        {
+            "rules.0.threshold": "max(1.5)", "rules.0.mean": "avg(value)", "rules.0.std": "stddev_pop(value)",
+            "rules.0.min": "min(value)", "rules.0.max": "max(value)", "rules.0.median": "median(value)",
+            "rules.0.lower_bound": "min(q1 - 1.5 * (q3 - q1))",
+            "rules.0.upper_bound": "min(q3 + 1.5 * (q3 - q1))",
+        },
+    ),
+    ("02_FillMissing", "event_id"): ("d", {"share": "1 - count(event_id) / count(*)"}),
+    ("02_FillMissing", "user_id"): ("d", {"share": "1 - count(user_id) / count(*)"}),
+    ("02_FillMissing", "value"): ("c", {"share": "1 - count(value) / count(*)", "value": "median(value)"}),
+    ("04_TimeFeatures", "ts"): ("s", {"start": "min(epoch_us(ts))"}),
+    ("05_Scale", "value"): (
+        "s", {"center": "avg(value)", "factor": "1 / stddev_pop(value)", "shift": "max(0)"},
+    ),
+}
+
+FITTED_SQL = " UNION ALL ".join(
+    f"""SELECT '{step}' AS step, '{column}' AS "column", '{name}' AS name,
+        round(CAST({expression} AS DOUBLE), 6) AS number FROM {source}"""
+    for (step, column), (source, numbers) in FITTED.items()
+    for name, expression in numbers.items()
+)
+
+
+@query("fitted_state", f"{PREPARED} {FITTED_SQL}")
 def _(spark, sf_dir):
-    return _preparation().fit(_input(spark, sf_dir)).fitted_state(spark)
+    """Every fitted number of the run above; names of methods and formats are left out."""
+    state = _preparation().fit(_input(spark, sf_dir)).fitted_state(spark)
+    number = r6(F.expr("try_cast(value as double)"))
+    return state.select("step", "column", "name", number.alias("number")).where("number is not null")
 
 
 @query(

@@ -18,6 +18,7 @@ from millrace.operators.missing import FillMissing, FillSettings
 from millrace.operators.profiling import drop_useless_columns, identify_column_types
 from millrace.operators.sampling import SystematicSample, TimeResample, frequency_seconds
 from millrace.operators.splitting import Ratios, ShuffledSplit, TimeSplit
+from millrace.session import shared_folder
 from millrace.sources.tables import SideOutput, load_tables, require_valid
 
 START = datetime.datetime(2023, 1, 1)
@@ -38,6 +39,28 @@ def test_load_listed_files_and_a_pattern(spark, tmp_path):
         load_tables(spark)
 
 
+def test_a_cluster_has_to_name_the_shared_folder(spark):
+    class Context:
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    class Session:
+        def __init__(self, master, conf):
+            self.sparkContext, self.conf = Context(master), Conf(conf)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session("spark://host:7077", {}))
+    named = Session("spark://host:7077", {"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert shared_folder(named) == "hdfs:///shared"
+
+
 def test_guards(spark):
     df = hours(spark, 2)
     assert require_valid(df, ["x"]) is df
