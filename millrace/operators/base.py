@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.ml import Estimator, Transformer
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,6 +65,18 @@ class Unchanged(Fitted):
         return {}
 
 
+class Apply(Transformer):
+    """A function from table to table as a step that learns nothing and keeps all rows."""
+
+    def __init__(self, name: str, function: Callable[[DataFrame], DataFrame]):
+        super().__init__()
+        self.name = name
+        self.function = function
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return self.function(df)
+
+
 def _flat(name: str, value) -> list[tuple[str, object]]:
     """Nested settings as dotted names: ``rules.0.mean``."""
     if isinstance(value, dict):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col
+from millrace.sources.tables import SideOutput
 
 
 def _keys(df: DataFrame, row_id: str, columns: list[str] | None, label: str | None) -> list[str]:
@@ -42,3 +45,18 @@ def duplicate_rows(
     keys = _keys(df, row_id, columns, label)
     kept = df.groupBy(*(col(k) for k in keys)).agg(F.min(col(row_id)).alias(row_id)).select(col(row_id))
     return df.join(kept, row_id, "left_anti").select(*(col(c) for c in df.columns))
+
+
+@dataclass(frozen=True)
+class RemoveDuplicates:
+    """The row-changing step: keep first rows, and export the removed ones where asked."""
+
+    row_id: str
+    columns: tuple[str, ...] | None = None
+    label: str | None = None
+    removed: SideOutput = SideOutput()
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        if self.removed.enabled:
+            self.removed.write(duplicate_rows(df, self.row_id, self.columns, self.label))
+        return dedup_rows(df, self.row_id, self.columns, self.label)

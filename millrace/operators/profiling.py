@@ -6,21 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col, kind_of, number, numeric_columns, without_nan
+from millrace.operators.base import Fitted, Step
 from millrace.plans.quantiles import quantiles
 from millrace.plans.statistics import correlation, statistics
 
 
-def describe_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def describe_table(
+    df: DataFrame, columns: list[str] | None = None, estimate_distinct: bool = False
+) -> DataFrame:
     """Per numeric column: rows, missing, distinct, mean, sample std, min, quartiles, max.
 
-    Two passes: one aggregate (distinct values are counted after a hash shuffle, not in one task)
-    and the exact quartiles. The result has one row per column.
+    Moments are one aggregate and quartiles are exact. Distinct values are counted after a hash
+    shuffle of each column's values; ``estimate_distinct`` replaces that by a mergeable sketch, for
+    tables where moving every measured value once is too much. The result has one row per column.
     """
     names = numeric_columns(df) if columns is None else columns
     values = {c: number(df, c) for c in names}
     stats = statistics(df, values, ["n", "mean", "std_sample", "min", "max"])
     quarters = quantiles(df, {c: (v, [0.25, 0.5, 0.75]) for c, v in values.items()}, stats)
-    row = df.agg(*(F.count_distinct(v).alias(f"d{i}") for i, v in enumerate(values.values()))).first()
+    distinct = F.approx_count_distinct if estimate_distinct else F.count_distinct
+    row = df.agg(*(distinct(v).alias(f"d{i}") for i, v in enumerate(values.values()))).first()
     rows = [
         (
             c, s["n"], s["rows"] - s["n"], row[f"d{i}"], s["mean"], s["std_sample"], s["min"],
@@ -46,8 +51,22 @@ def useless_columns(df: DataFrame) -> list[str]:
 
 
 def drop_useless_columns(df: DataFrame) -> DataFrame:
-    useless = set(useless_columns(df))
-    return df.select(*(col(c) for c in df.columns if c not in useless))
+    return DropUseless().fit_transform(df)
+
+
+class DropUselessModel(Fitted):
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return df.select(*(col(c) for c in df.columns if c not in self.state))
+
+
+class DropUseless(Step):
+    """Drops, from any table, the columns that carried nothing in training; ``keep`` names exceptions."""
+
+    model = DropUselessModel
+
+    def learn(self, df: DataFrame) -> dict[str, dict]:
+        kept = set(self.settings or ())
+        return {c: {"useless": True} for c in useless_columns(df) if c not in kept}
 
 
 def identify_column_types(df: DataFrame) -> dict[str, list[str]]:

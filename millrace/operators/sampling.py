@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import col, epoch_micros, type_of
+from millrace.functions.columns import col, epoch_micros, type_of, without_nan
 from millrace.plans.order import with_position
 
 
@@ -110,7 +110,7 @@ class TimeResample:
         bucket = F.window(time, f"{seconds} seconds", startTime=f"{offset} seconds" if offset else None)
         grid = (
             df.groupBy(bucket.alias("__window"))
-            .agg(*(AGGREGATIONS[a](col(c)).alias(c) for c, a in plan.items()))
+            .agg(*(AGGREGATIONS[a](without_nan(df, c)).alias(c) for c, a in plan.items()))
             .select(
                 F.col("__window.start").alias(self.time_column), *(col(c) for c in plan)
             )

@@ -52,8 +52,11 @@ def _step_name(step) -> str:
 
 
 class Preparation:
-    """All stages in order. ``keep_row_changes`` writes the table after a row-changing stage, so
-    that the fits behind it do not repeat its shuffle."""
+    """All stages in order.
+
+    With ``keep_row_changes`` the table is written after each row-changing step, so that the fits
+    and counts behind it do not repeat its shuffle.
+    """
 
     def __init__(self, stages: list[Stage | dict], keep_row_changes: bool = True):
         if not stages:
@@ -68,29 +71,34 @@ class Preparation:
 
     def fit_transform(self, df: DataFrame) -> tuple["Prepared", DataFrame]:
         """Fit each step on the output of the steps before it."""
-        fitted: list[tuple[str, object]] = []
+        prepared = Prepared([], self.keep_row_changes)
         for stage in self.stages:
             for step in stage.obj_list:
                 ready = step.fit(df) if isinstance(step, Estimator) else step
-                fitted.append((f"{len(fitted):02d}_{_step_name(step)}", ready))
-                df = ready.apply(df) if stage.len_change else ready.transform(df)
-            if stage.len_change and self.keep_row_changes:
-                df = materialize(df)
-        return Prepared(fitted), df
+                prepared.steps.append((f"{len(prepared.steps):02d}_{_step_name(step)}", ready))
+                df = prepared.run(ready, df)
+        return prepared, df
 
     def fit(self, df: DataFrame) -> "Prepared":
         return self.fit_transform(df)[0]
 
 
 class Prepared:
-    """Fitted steps; applying them runs no action."""
+    """Fitted steps. Row-changing steps run anew on every table; all others are projections."""
 
-    def __init__(self, steps: list[tuple[str, object]]):
+    def __init__(self, steps: list[tuple[str, object]], keep_row_changes: bool = True):
         self.steps = steps
+        self.keep_row_changes = keep_row_changes
+
+    def run(self, step, df: DataFrame) -> DataFrame:
+        if isinstance(step, Transformer):
+            return step.transform(df)
+        changed = step.apply(df)
+        return materialize(changed) if self.keep_row_changes else changed
 
     def transform(self, df: DataFrame) -> DataFrame:
         for _, step in self.steps:
-            df = step.transform(df) if isinstance(step, Transformer) else step.apply(df)
+            df = self.run(step, df)
         return df
 
     def attribute(self, step: str, name: str):

@@ -6,7 +6,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from millrace.operators.dedup import dedup_rows
+from millrace.operators.dedup import RemoveDuplicates
 from millrace.operators.missing import FillMissing, FillSettings
 from millrace.operators.outliers import OutlierRule, Outliers, OutlierSettings
 from millrace.operators.sampling import SystematicSample
@@ -25,7 +25,7 @@ def _preparation() -> Preparation:
     sample = SystematicSample(5, 6, reset_index=True)
     return Preparation(
         [
-            Stage((RowStep("dedup", partial(dedup_rows, row_id="event_id", columns=["value", "user_id", "day"])),), True),
+            Stage((RemoveDuplicates("event_id", ("value", "user_id", "day")),), True),
             Stage((clip, fill)),
             Stage((RowStep("sample", partial(sample.apply, time="ts", row_id="event_id")),), True),
             Stage((TimeFeatures(TimeFeatureSettings("ts")), scale)),

@@ -8,16 +8,23 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.base import load_state, save_state
-from millrace.operators.dedup import dedup_rows
+from millrace.operators.base import Apply, load_state, save_state
+from millrace.operators.casting import (
+    CastNumeric, CastNumericSettings, Sentinel, cast_categorical, fix_sentinels,
+)
+from millrace.operators.categories import Categories, CategorySettings, Encode, EncodeSettings, null_tokens
+from millrace.operators.dedup import RemoveDuplicates, dedup_rows
 from millrace.operators.evaluation import (
     binary_metrics, classification_report, multiclass_metrics, predicted_class, regression_metrics,
 )
 from millrace.operators.forecast import SweepConfig, fit_linear, future_timestamps, model_sweep
 from millrace.operators.missing import FillMissing, FillSettings
 from millrace.operators.outliers import OutlierRule, Outliers, OutlierSettings
+from millrace.operators.profiling import DropUseless
+from millrace.operators.sampling import SystematicSample
 from millrace.operators.scaling import Scale, ScaleModel, Scaler, ScaleSettings, scaling_stats
 from millrace.operators.selection import SelectByCorrelation, SelectSettings
+from millrace.operators.splitting import Ratios, TimeSplit
 from millrace.operators.stages import Preparation, RowStep, Stage
 from millrace.operators.timefeatures import (
     TimeFeatures, TimeFeatureSettings, detect_time_format, detect_time_types, find_time_column,
@@ -25,6 +32,7 @@ from millrace.operators.timefeatures import (
 )
 from millrace.operators.windows import WindowSettings, label_matrix, make_windows
 from millrace.plans.order import with_position
+from millrace.sources.tables import SideOutput, load_tables
 from millrace.streaming.apply import apply_fitted, resample_stream
 
 START = datetime.datetime(2023, 1, 1)
@@ -342,3 +350,110 @@ def test_position_needs_no_utc_session(spark):
         assert with_position(df, "ts", "id", buckets=3).where("pos <> id").count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def weather_csv(folder, n=600):
+    """Ten-minute weather rows with odd column names, gaps, sentinels, text errors and copies."""
+    rng = np.random.default_rng(5)
+    lines = ["Date Time,T,p,rh,wd,wv,max. wv,sky,station"]
+    for i in range(n):
+        moment = (START + datetime.timedelta(minutes=10 * i)).strftime("%d.%m.%Y %H:%M:%S")
+        wv = -9999.0 if i % 97 == 5 else round(float(rng.uniform(0, 9)), 2)
+        p = "" if i % 41 == 3 else f"{1000 + rng.normal(0, 3):.2f}"
+        rh = "" if i % 50 == 7 else f"{rng.uniform(30, 90):.1f}"
+        t = 500.0 if i == 100 else 10 + 8 * math.sin(i / 23) + rng.normal()
+        sky = ["clear", "cloudy", "rain"][i % 3] if i % 200 else "claer"
+        sky = "N/A" if i % 61 == 9 else sky
+        lines.append(f"{moment},{t:.2f},{p},{rh},{i * 7 % 360},{wv},{wv if wv < 0 else wv + 2},{sky},x")
+        if i % 120 == 60:
+            lines.append(lines[-1])
+    (folder / "weather.csv").write_text("\n".join(lines) + "\n")
+    return len(lines) - 1
+
+
+def test_a_whole_weather_run(spark, tmp_path):
+    """Load, split in time order, fit all stages on train, apply to val and test, window, forecast."""
+    total = weather_csv(tmp_path)
+    raw = load_tables(spark, ["weather.csv"], data_dir=str(tmp_path))
+    raw = raw.coalesce(1).withColumn("row", F.monotonically_increasing_id())
+    raw = raw.withColumn("when", F.expr("cast(try_to_timestamp(`Date Time`, 'dd.MM.yyyy HH:mm:ss') as timestamp_ntz)"))
+    raw = TimeSplit(Ratios(0.6, 0.3, 0.1)).apply(raw, "when", "row").drop("when")
+    copies = SideOutput(True, str(tmp_path), "copies.csv")
+    numbers = ["T", "p", "rh", "wd", "wv", "max. wv"]
+    winds = ["wv", "max. wv"]
+    outliers = {
+        "detect_and_handle_config": [
+            {"zscore": {"columns": ["T"], "handle_method": ["clip"], "threshold": 3}},
+            {"iqr": {"columns": ["p"], "handle_method": ["clip"], "threshold": 1.5}},
+            {"robust": {"columns": ["rh"], "handle_method": ["clip"], "quantile_range": (5, 95)}},
+            {
+                "custom": {
+                    "columns": winds, "handle_method": ["custom", "custom"],
+                    "detect_function": lambda x: x < 0,
+                    "handle_function": lambda x, flag, known: F.when(flag, 0.0).otherwise(x),
+                }
+            },
+        ],
+        "generate_outlier_indicator": ["T", "p"],
+    }
+    missing = {
+        "spec_fill": [
+            {"constant": {"columns": winds, "fill_value": [0.0, 0.0]}},
+            {"ffill": {"columns": ["p"]}}, {"bfill": {"columns": ["rh"]}},
+        ],
+        "smart_fill_remain": True, "important_columns": ["T", "p"],
+    }
+    scaling = {
+        "transformers": [
+            {"standard": {"columns": ["T", "p", "wv_x", "wv_y", "max. wv_x", "max. wv_y"]}},
+            {"minmax": {"columns": ["rh"], "feature_range": (0, 1)}},
+        ],
+        "skip_scale": ["is_night", "row", "pos", "Day_sin", "Day_cos", "Month_sin", "Month_cos", "Year_sin", "Year_cos"],
+    }
+    sample = SystematicSample(5, 6, reset_index=True)
+    stages = [
+        {"obj_list": [DropUseless(("split",))], "len_change": False},
+        {"obj_list": [RemoveDuplicates("row", removed=copies)], "len_change": True},
+        {
+            "obj_list": [
+                Apply("categories", partial(cast_categorical, columns=["sky"])),
+                CastNumeric(CastNumericSettings(numbers, exclude_cols=["Date Time"])),
+                Apply("null_tokens", partial(null_tokens, columns=["sky"])),
+                Apply("sentinels", partial(fix_sentinels, rules={"wd": Sentinel(low=0, high=360)})),
+                Outliers(OutlierSettings.from_dict(outliers)),
+                Categories(CategorySettings(("sky",), similarity_threshold=0.6)),
+                TimeFeatures(TimeFeatureSettings("Date Time")),
+                FillMissing(FillSettings.from_dict(missing, time="Date Time", row_id="row")),
+            ],
+            "len_change": False,
+        },
+        {"obj_list": [RowStep("sample", partial(sample.apply, time="Date Time", row_id="row"))], "len_change": True},
+        {
+            "obj_list": [
+                Apply("wind", partial(wind_vector, dir_cols=["wd"], var_cols=winds)),
+                SelectByCorrelation(SelectSettings("T"), pass_through=True),
+                Scale(ScaleSettings.from_dict(scaling, algorithm="lstm")),
+                Encode(EncodeSettings(("sky", "season"))),
+            ],
+            "len_change": False,
+        },
+    ]
+    parts = {s: raw.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")}
+    prepared, train = Preparation(stages).fit_transform(parts["train"])
+    assert "station" not in train.columns and {"T", "p", "max. wv_x", "is_outlier_T", "p_missing_indicator"} <= set(train.columns)
+    assert spark.read.csv(str(tmp_path / "copies.csv"), header=True).count() > 0
+    sizes = {s: df.count() for s, df in parts.items()}
+    assert sum(sizes.values()) == total
+    assert train.count() < sizes["train"] / 6
+    assert train.agg(F.avg("T")).first()[0] == pytest.approx(0, abs=1e-9)
+    assert train.where("sky not in (0, 1, 2)").count() == 0
+    assert train.where("T is null or rh is null or wv is null").count() == 0
+    val = prepared.transform(parts["val"])
+    assert val.columns == train.columns
+    settings = WindowSettings(("T", "p"), ("T", "p", "rh"), 6, 5, 10)
+    ready = make_windows(train, settings, "Date Time", "row")
+    model = fit_linear(ready, settings, reg=0.1)
+    forecast = model.predict(make_windows(val, settings, "Date Time", "row"))
+    restored = prepared.attribute("Scale", "inverse")(forecast.where("label = 'T'"), {"y_pred": "T", "y_true": "T"})
+    found = regression_metrics(restored, "y_true", "y_pred", ["label", "step"]).collect()
+    assert len(found) == 5 and all(r["mae"] < 30 for r in found)
