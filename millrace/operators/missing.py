@@ -97,15 +97,12 @@ class FillModel(Fitted):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         df = super()._transform(df)
-        for how in ("ffill", "bfill"):
-            names = self._column_order(df, how)
-            if names:
-                clean = df.withColumns({c: without_nan(df, c) for c in names})
-                order = (self.settings.time, self.settings.row_id)
-                df = carry_fill(clean, names, *order, backward=how == "bfill").select(
-                    *(col(c) for c in df.columns)
-                )
-        return df
+        ahead, back = self._column_order(df, "ffill"), self._column_order(df, "bfill")
+        if not ahead and not back:
+            return df
+        clean = df.withColumns({c: without_nan(df, c) for c in [*ahead, *back]})
+        filled = carry_fill(clean, ahead, back, self.settings.time, self.settings.row_id)
+        return filled.select(*(col(c) for c in df.columns))
 
     @property
     def missing_indicator(self) -> list[str]:

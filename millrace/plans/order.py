@@ -114,30 +114,32 @@ def with_position(
 
 def carry_fill(
     df: DataFrame,
-    columns: list[str],
+    forward: list[str],
+    backward: list[str],
     time: str,
     row_id: str,
-    backward: bool = False,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Replace NULLs by the last value before them (or the first after them) in the global order."""
+    """Replace NULLs by the last value before them (``forward`` columns) or the first value after
+    them (``backward`` columns) in the global order; one shuffle serves both."""
     keyed = order_buckets(df, time, row_id, buckets)
     order = F.struct(col(time), col(row_id))
-    pick = F.min_by if backward else F.max_by
+    columns = [*forward, *backward]
+    picks = [F.max_by] * len(forward) + [F.min_by] * len(backward)
     edges = (
         keyed.groupBy(BUCKET)
         .agg(*(
             pick(col(c), F.when(col(c).isNotNull(), order)).alias(f"e{i}")
-            for i, c in enumerate(columns)
+            for i, (pick, c) in enumerate(zip(picks, columns, strict=True))
         ))
         .collect()
     )
-    carried, running = [], [None] * len(columns)
-    for row in sorted(edges, key=lambda r: r[BUCKET], reverse=backward):
-        carried.append((row[BUCKET], *running))
-        running = [
-            old if row[f"e{i}"] is None else row[f"e{i}"] for i, old in enumerate(running)
-        ]
+    carried: dict[int, list] = {row[BUCKET]: [None] * len(columns) for row in edges}
+    for i in range(len(columns)):
+        nearest = None
+        for row in sorted(edges, key=lambda r: r[BUCKET], reverse=i >= len(forward)):
+            carried[row[BUCKET]][i] = nearest
+            nearest = nearest if row[f"e{i}"] is None else row[f"e{i}"]
     schema = T.StructType(
         [T.StructField(BUCKET, T.LongType())]
         + [T.StructField(f"__c{i}", type_of(df, c)) for i, c in enumerate(columns)]
@@ -145,16 +147,17 @@ def carry_fill(
     # Backward filling walks the reversed order: a frame that only grows costs one step per row,
     # while a frame from the current row to the end is evaluated anew for every row.
     keys = [col(time), col(row_id)]
-    order_by = [k.desc() for k in keys] if backward else keys
-    walked = Window.partitionBy(BUCKET).orderBy(*order_by).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    grown = (Window.unboundedPreceding, Window.currentRow)
+    ahead = Window.partitionBy(BUCKET).orderBy(*keys).rowsBetween(*grown)
+    back = Window.partitionBy(BUCKET).orderBy(*(k.desc() for k in keys)).rowsBetween(*grown)
+    frames = [ahead] * len(forward) + [back] * len(backward)
     filled = {
-        c: F.coalesce(F.last(col(c), ignorenulls=True).over(walked), F.col(f"__c{i}"))
-        for i, c in enumerate(columns)
+        c: F.coalesce(F.last(col(c), ignorenulls=True).over(frame), F.col(f"__c{i}"))
+        for i, (frame, c) in enumerate(zip(frames, columns, strict=True))
     }
     helpers = [BUCKET, *(f"__c{i}" for i in range(len(columns)))]
-    return _with_lookup(keyed, carried, schema).withColumns(filled).drop(*helpers)
+    rows = [(bucket, *values) for bucket, values in carried.items()]
+    return _with_lookup(keyed, rows, schema).withColumns(filled).drop(*helpers)
 
 
 @dataclass(frozen=True)
