@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import col, number
 from millrace.operators.base import Fitted, Step
 from millrace.plans.isolation import anomalous_ranges, in_ranges
-from millrace.plans.quantiles import SMALL_COLUMN, quantiles
+from millrace.plans.quantiles import quantiles
 from millrace.plans.statistics import statistics
 
 METHODS = ("zscore", "iqr", "robust", "mad", "isolationforest", "custom", "minmax_business")
@@ -264,10 +264,7 @@ class Outliers(Step):
     def _median_deviations(df, rules, values, stats, at) -> dict[str, float]:
         columns = {r.column for r in rules if r.method == "mad" and stats[r.column]["n"]}
         gaps = {c: F.abs(values[c] - F.lit(at[c][0.5])) for c in sorted(columns)}
-        bounds = None
-        if gaps and max(stats[c]["n"] for c in gaps) <= SMALL_COLUMN:
-            bounds = {c: stats[c] for c in gaps}
-        found = quantiles(df, {c: (gap, [0.5]) for c, gap in gaps.items()}, bounds)
+        found = quantiles(df, {c: (gap, [0.5]) for c, gap in gaps.items()})
         return {c: found[c][0] for c in gaps}
 
     def _learned(self, df, rule: OutlierRule, values, stats: dict, at: dict, spread: dict) -> dict:

@@ -1,8 +1,8 @@
 """Exact order statistics that never gather a column in one task.
 
 Spark's exact ``percentile`` keeps one map of all distinct values in the final task. That is the
-right plan for a small column and impossible for a large one. Above ``SMALL_COLUMN`` rows the value
-at a rank is found by narrowing instead: the interval known to hold it is cut into ``CELLS`` equal
+right plan for few values and impossible for many. Above ``SMALL`` values per column, or ten times
+as many over all columns, the value at a rank is found by narrowing instead: the interval known to hold it is cut into ``CELLS`` equal
 cells, one aggregate counts each cell together with its smallest and largest value, and the cell
 holding the rank becomes the next interval. Each round returns at most ``CELLS`` rows per interval
 and ends as soon as the cell holds a single distinct value or the rank falls on its edge. A value
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_COLUMN = 200_000
+SMALL = 200_000
 CELLS = 1024
 
 
@@ -38,48 +38,44 @@ class _Target:
         return self.key, self.low, self.high, self.log
 
 
-def _cell(value: Column, low, high, log: bool) -> Column:
-    """Cell number of a value inside [low, high]; never decreasing in the value."""
-    if log and low > 0:
-        share = (F.ln(value) - math.log(low)) / (math.log(high) - math.log(low))
-    elif isinstance(low, int) and isinstance(high, int):
-        share = (value - F.lit(low)).cast("double") / float(high - low)
+def _cell(intervals: list[tuple]) -> Column:
+    """Cell number of ``x`` inside interval ``i``; never decreasing in ``x``."""
+
+    def bound(place: int) -> Column:
+        return F.get(F.array(*(F.lit(interval[place]) for interval in intervals)), F.col("i"))
+
+    x, low, high, log = F.col("x"), bound(1), bound(2), bound(3)
+    if all(isinstance(interval[1], int) for interval in intervals):
+        share = (x - low).cast("double") / (high - low).cast("double")
     else:
-        share = (value * 0.5 - low * 0.5) / (high * 0.5 - low * 0.5)
-    number = F.floor(share * CELLS)
-    edge = F.when(value <= F.lit(low), 0).when(value >= F.lit(high), CELLS - 1)
-    return edge.otherwise(F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), number))).cast("int")
+        share = (x * 0.5 - low * 0.5) / (high * 0.5 - low * 0.5)
+    if any(interval[3] for interval in intervals):
+        share = F.when(log & (low > 0), F.ln(x / low) / F.ln(high / low)).otherwise(share)
+    inner = F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), F.floor(share * CELLS)))
+    return F.when(x <= low, 0).when(x >= high, CELLS - 1).otherwise(inner).cast("int")
 
 
 def _histograms(df: DataFrame, values: dict[str, Column], intervals: list[tuple]) -> dict:
     """``{interval: [(count, min, max), …] in order}`` from one pass over the rows in the intervals.
 
-    Intervals of one expression never overlap, so a row counts at most once per expression.
+    Intervals of one expression never overlap, so a row counts at most once per expression. Rows
+    outside all intervals share the group NULL, which each task folds into one row; there is no
+    filter, so that an expensive expression is computed once per row.
     """
-    # Each expression becomes a column first and no filter follows, so that it is computed once per
-    # row. Rows outside the intervals share the group NULL, which each task folds into one row.
     keys = list(dict.fromkeys(interval[0] for interval in intervals))
-    df = df.select(*(values[key].alias(f"v{i}") for i, key in enumerate(keys)))
-    values = {key: F.col(f"v{i}") for i, key in enumerate(keys)}
-    places: dict[str, tuple[Column, Column]] = {}
-    for i, (key, low, high, log) in enumerate(intervals):
-        inside = values[key].between(F.lit(low), F.lit(high))
-        cell = _cell(values[key], low, high, log)
-        if key in places:
-            which, cells = places[key]
-            places[key] = (which.when(inside, i), cells.when(inside, cell))
-        else:
-            places[key] = (F.when(inside, i), F.when(inside, cell))
-    parts = [
-        (which.alias("i"), cells.alias("cell"), values[key].alias("x"))
-        for key, (which, cells) in places.items()
-    ]
+    df = df.select(*(values[key].alias(f"v{k}") for k, key in enumerate(keys)))
+    which: dict[str, Column] = {}
+    for i, (key, low, high, _) in enumerate(intervals):
+        inside = F.col(f"v{keys.index(key)}").between(F.lit(low), F.lit(high))
+        which[key] = which[key].when(inside, i) if key in which else F.when(inside, i)
+    parts = [(which[key].alias("i"), F.col(f"v{k}").alias("x")) for k, key in enumerate(keys)]
     if len(parts) == 1:
         long = df.select(*parts[0])
     else:
         long = df.select(F.inline(F.array(*(F.struct(*part) for part in parts))))
     rows = (
-        long.groupBy("i", "cell")
+        long.select("i", _cell(intervals).alias("cell"), "x")
+        .groupBy("i", "cell")
         .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
         .collect()
     )
@@ -139,7 +135,7 @@ def quantiles(
     df: DataFrame,
     wanted: dict[str, tuple[Column, list[float]]],
     bounds: dict[str, dict] | None = None,
-    small: int = SMALL_COLUMN,
+    small: int = SMALL,
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolation quantiles of many expressions.
 
@@ -152,7 +148,8 @@ def quantiles(
         from millrace.plans.statistics import statistics
 
         bounds = statistics(df, values, ["n", "min", "max"])
-    if max(b["n"] for b in bounds.values()) <= small:
+    sizes = [bounds[key]["n"] for key in wanted]
+    if max(sizes) <= small and sum(sizes) <= 10 * small:
         keys = list(wanted)
         row = df.agg(
             *(

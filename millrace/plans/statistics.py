@@ -18,24 +18,30 @@ AGGREGATES = {
 }
 
 
+COLUMNS_PER_PASS = 16
+
+
 def statistics(df: DataFrame, values: dict[str, Column], names) -> dict[str, dict]:
-    """``{key: {statistic: value}}`` for every expression, from a single pass over the table.
+    """``{key: {statistic: value}}`` for every expression.
 
-    Partial aggregation leaves one row per task, so neither the row count nor skew matters.
+    One aggregate per ``COLUMNS_PER_PASS`` expressions: more would not fit one compiled loop, and
+    each pass over a columnar table reads only its own columns. Partial aggregation leaves one row
+    per task, so neither the row count nor skew matters.
     """
-    if not values:
-        return {}
-    keys, names = list(values), list(names)
-    aggregates = [
-        AGGREGATES[name](values[key]).alias(f"s{i}_{name}")
-        for i, key in enumerate(keys)
-        for name in names
-    ]
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *aggregates).first()
-    return {
-        key: {"rows": row["rows"], **{name: row[f"s{i}_{name}"] for name in names}}
-        for i, key in enumerate(keys)
-    }
+    keys, names, found = list(values), list(names), {}
+    for start in range(0, len(keys), COLUMNS_PER_PASS):
+        group = keys[start : start + COLUMNS_PER_PASS]
+        aggregates = [
+            AGGREGATES[name](values[key]).alias(f"s{i}_{name}")
+            for i, key in enumerate(group)
+            for name in names
+        ]
+        row = df.agg(F.count(F.lit(1)).alias("rows"), *aggregates).first()
+        found |= {
+            key: {"rows": row["rows"], **{name: row[f"s{i}_{name}"] for name in names}}
+            for i, key in enumerate(group)
+        }
+    return found
 
 
 def correlation(x: Column, y: Column) -> Column:
