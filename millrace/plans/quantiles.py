@@ -2,12 +2,12 @@
 
 Spark's exact ``percentile`` keeps one map of all distinct values in the final task. That is the
 right plan for few values and impossible for many. Above ``SMALL`` values per column, or ten times
-as many over all columns, the value at a rank is found by narrowing instead: the interval known to hold it is cut into ``CELLS`` equal
-cells, one aggregate counts each cell together with its smallest and largest value, and the cell
-holding the rank becomes the next interval. Each round returns at most ``CELLS`` rows per interval
-and ends as soon as the cell holds a single distinct value or the rank falls on its edge. A value
-repeated in a third of all rows is no special case. Every round separates the smallest from the
-largest value, so the search always ends.
+as many over all columns, the value at a rank is found by narrowing instead: the interval known to
+hold it is cut into ``CELLS`` equal cells, one aggregate counts each cell together with its smallest
+and largest value, and the cell holding the rank becomes the next interval. Each round returns at
+most ``CELLS`` rows per interval and ends as soon as the cell holds a single distinct value or the
+rank falls on its edge. A value repeated in a third of all rows is no special case. Every round
+separates the smallest from the largest value, so the search always ends.
 """
 
 from __future__ import annotations
