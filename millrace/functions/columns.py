@@ -84,6 +84,18 @@ def epoch_micros(df: DataFrame, name: str) -> Column:
     return value.cast("long")
 
 
+def from_epoch_micros(micros: Column, data_type: T.DataType) -> Column:
+    """The inverse of :func:`epoch_micros` for a time column of the given type."""
+    if isinstance(data_type, T.TimestampType):
+        return F.timestamp_micros(micros.cast("long"))
+    day = 86_400_000_000
+    whole = micros.cast("long")
+    days = F.floor(whole / F.lit(day)).cast("int")
+    rest = (whole - days.cast("long") * day).cast("decimal(18,0)") / F.lit(1_000_000)
+    interval = F.make_dt_interval(days=days, secs=rest.cast("decimal(18,6)"))
+    return (F.lit("1970-01-01").cast("timestamp_ntz") + interval).cast(data_type)
+
+
 def nan_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Turn NaN into NULL in the float columns, so that every later aggregate skips it."""
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, FLOAT_TYPES)]

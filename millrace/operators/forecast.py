@@ -11,7 +11,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import col, epoch_micros, type_of
+from millrace.functions.columns import col, epoch_micros, from_epoch_micros, type_of
 from millrace.operators.evaluation import regression_metrics
 from millrace.operators.windows import WindowSettings
 
@@ -109,14 +109,16 @@ def fit_linear(
     table = VectorAssembler(inputCols=list(inputs), outputCol="features").transform(flat)
     table = table.select("features", *labels.values()).persist(StorageLevel.MEMORY_AND_DISK)
     weights: dict[str, list] = {c: [] for c in settings.label_columns}
-    for (c, _), name in labels.items():
-        regression = LinearRegression(
-            labelCol=name, regParam=reg, elasticNetParam=elastic,
-            solver="normal" if elastic == 0 else "auto",
-        )
-        model = regression.fit(table.select("features", name))
-        weights[c].append((float(model.intercept), [float(w) for w in model.coefficients]))
-    table.unpersist()
+    try:
+        for (c, _), name in labels.items():
+            regression = LinearRegression(
+                labelCol=name, regParam=reg, elasticNetParam=elastic,
+                solver="normal" if elastic == 0 else "auto",
+            )
+            model = regression.fit(table.select("features", name))
+            weights[c].append((float(model.intercept), [float(w) for w in model.coefficients]))
+    finally:
+        table.unpersist()
     return LinearForecast(settings, weights)
 
 
@@ -164,5 +166,5 @@ def future_timestamps(
     steps = F.explode(F.sequence(F.lit(1), F.lit(label_width))).alias("step")
     steps_ahead = F.col("step").cast("long") + F.lit(shift - label_width)
     ahead = steps_ahead * F.lit(interval_seconds * 1_000_000)
-    moment = F.timestamp_micros(F.col("last") + ahead).cast(type_of(df, time))
+    moment = from_epoch_micros(F.col("last") + ahead, type_of(df, time))
     return last.select("last", steps).select("step", moment.alias(time))

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import col, epoch_micros, type_of, without_nan
+from millrace.functions.columns import (
+    col, epoch_micros, from_epoch_micros, type_of, without_nan,
+)
 from millrace.plans.order import with_position
 
 
@@ -121,7 +123,7 @@ class TimeResample:
 
     def _fill_gaps(self, df: DataFrame, grid: DataFrame, plan: dict, seconds: int) -> DataFrame:
         """Left join to a spine of all buckets, which executors generate from a range of numbers."""
-        time, step = col(self.time_column), seconds * 1_000_000
+        step = seconds * 1_000_000
         micros = epoch_micros(grid, self.time_column)
         ends = grid.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
         if ends["low"] is None:
@@ -129,11 +131,9 @@ class TimeResample:
         numbers = df.sparkSession.range((ends["high"] - ends["low"]) // step + 1)
         spine = numbers.select((F.lit(ends["low"]) + F.col("id") * step).alias("__micros"))
         joined = spine.join(grid.withColumn("__micros", micros), "__micros", "left")
-        start = F.lit("1970-01-01").cast(type_of(grid, self.time_column)) + F.make_dt_interval(
-            secs=(F.col("__micros") / F.lit(1_000_000)).cast("decimal(18,6)")
-        )
+        start = from_epoch_micros(F.col("__micros"), type_of(grid, self.time_column))
         columns = [
             F.coalesce(col(c), F.lit(0)).alias(c) if a in ("sum", "count") else col(c)
             for c, a in plan.items()
         ]
-        return joined.select(F.coalesce(time, start).alias(self.time_column), *columns)
+        return joined.select(start.alias(self.time_column), *columns)

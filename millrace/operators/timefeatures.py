@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import (
-    TEXT_TYPES, TIME_TYPES, col, epoch_micros, number, present, quoted, type_of,
+    TEXT_TYPES, TIME_TYPES, col, epoch_micros, from_epoch_micros, number, present, quoted, type_of,
 )
 from millrace.operators.base import Fitted, Step
 
@@ -66,10 +66,6 @@ def parse_text(name: str, fmt: str) -> Column:
     return F.expr(f"cast(try_to_timestamp({quoted(name)}, '{pattern}') as timestamp_ntz)")
 
 
-def _from_micros(micros: Column) -> Column:
-    return F.timestamp_micros(micros.cast("long")).cast("timestamp_ntz")
-
-
 def parse_time(df: DataFrame, name: str, kind: str, fmt: str | None = None) -> Column:
     """The column as TIMESTAMP_NTZ, by its kind (see :func:`detect_time_types`)."""
     if kind == "datetime64":
@@ -85,7 +81,7 @@ def parse_time(df: DataFrame, name: str, kind: str, fmt: str | None = None) -> C
         seconds = x * DAY_SECONDS - EXCEL_EPOCH_SECONDS
     else:
         raise ValueError(f"{name} holds no time ({kind})")
-    return _from_micros(F.round(seconds * 1e6))
+    return from_epoch_micros(F.round(seconds * 1e6), T.TimestampNTZType())
 
 
 def detect_time_types(

@@ -343,11 +343,16 @@ def test_streams(spark, tmp_path):
     assert spark.table("grid").count() == 7  # the last bucket is still open
 
 
-def test_position_needs_no_utc_session(spark):
+def test_no_utc_session_is_needed(spark):
     df = hourly(spark, 30).repartition(4)
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         assert with_position(df, "ts", "id", buckets=3).where("pos <> id").count() == 0
+        unix = spark.createDataFrame([(1672531200 + i * 3600,) for i in range(9)], "t long")
+        parsed = TimeFeatures(TimeFeatureSettings("t")).fit_transform(unix)
+        assert parsed.agg(F.min("t")).first()[0] == START
+        last = future_timestamps(df, "ts", 3600, 1, 1).first()["ts"]
+        assert last == START + datetime.timedelta(hours=30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
