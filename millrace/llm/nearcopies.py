@@ -1,0 +1,269 @@
+"""Near copies by SimHash: texts whose five-word shingle sets have a Jaccard similarity of 0.8 or more.
+
+Such texts differ in more bits of a 64-bit fingerprint than a search with certain results can allow for, so
+the fingerprint gets as many bits as the number of texts asks for (about a thousand for 200,000, twice as
+many for ten million) and the pigeonhole is read as a chance: each partition of correlated bits has
+a threshold of -1 (left out), 0 or 1 bit, and with it a cost and a chance to bring two near copies together.
+Dynamic programming picks the thresholds that reach ``RECALL`` for pairs right at the limit at the least
+estimated cost; partitions that the sample shows to be crowded count for less. A text is entered under its
+value of every chosen partition (threshold 1: under the value without each of its bits). Within one such key
+all texts are compared with the one of the smallest node number alone, so a group of thousands of copies
+gives thousands of pairs, not millions; chains of such pairs, over all keys, make the component.
+
+The keys come from three-word shingles, which near copies share more of. The similarity is then judged by
+1,024 other bits over the set of five-word shingles: their angle gives the cosine, and that the Jaccard
+coefficient. Its standard error at the limit is about 0.02; pairs up to one error below the limit pass.
+
+Defined results: equal texts are always together, empty and null texts too; a text with fewer words than a
+shingle is one shingle. See ``keep_one`` for keys.
+"""
+
+from __future__ import annotations
+
+import math
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace.llm.components import components
+from millrace.llm.frames import col, fresh, lists, ready_workers, without
+from millrace.llm.simhash import SEED, correlated_groups
+from millrace.session import materialize
+
+#: Bits that decide, and the most bits that keys are made of.
+DECIDING, MOST_BITS = 1024, 16_384
+#: Words of the shingles of keys, and of those that decide.
+KEY_WORDS, WORDS = 3, 5
+SIMILARITY = 0.8
+#: Chance to find a pair right at the limit.
+RECALL = 0.95
+#: Distinct texts that the cost estimate looks at.
+SAMPLE_ROWS = 1_024
+#: A key is narrow enough if a text meets this many unrelated ones in it, on average.
+LOAD = 0.25
+#: Steps of the dynamic programme for the chance.
+STEPS = 400
+#: Most bits that may differ among the first 64 of the deciding ones; unrelated texts differ in 32.
+FIRST_LOOK = 20
+#: Odd constants that make more hashes from one.
+MIXERS = np.random.default_rng(SEED).integers(1, 1 << 63, MOST_BITS // 64, dtype=np.uint64) | np.uint64(1)
+#: Shingles counted at once: as many as fit the counters of one byte.
+BLOCK = 255
+
+
+def wide_bits(hashes: np.ndarray, width: int) -> np.ndarray:
+    """So many bits: each set if it is set in over half of the hashes drawn from the shingles' own."""
+    counts, mixers = np.zeros(width, np.int64), MIXERS[: width // 64]
+    for at in range(0, len(hashes), BLOCK):
+        drawn = hashes[at : at + BLOCK, None] * mixers
+        drawn ^= drawn >> np.uint64(32)
+        drawn *= np.uint64(0x9E3779B97F4A7C15)
+        drawn ^= drawn >> np.uint64(29)
+        bits = np.unpackbits(drawn.view(np.uint8).reshape(len(drawn), width // 8), axis=1, bitorder="little")
+        counts += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    return (counts * 2 > len(hashes)).astype(np.uint8)
+
+
+def shingle_hashes(words: list[bytes], n: int) -> np.ndarray:
+    if len(words) <= n:
+        shingles = [b" ".join(words)]
+    else:
+        shingles = map(b" ".join, zip(*(words[i:] for i in range(n)), strict=False))
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(s, SEED) for s in shingles), np.uint64, max(1, len(words) - n + 1))
+
+
+def wide_prints(text: str | None, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bits that make keys, and the bits that decide, as signed numbers."""
+    words = (text or "").encode().lower().split()
+    both = wide_bits(shingle_hashes(words, KEY_WORDS), width), wide_bits(np.unique(shingle_hashes(words, WORDS)), DECIDING)
+    return tuple(np.packbits(b, bitorder="little").view(np.int64) for b in both)
+
+
+PRINTS = T.StructType([
+    T.StructField("keys", T.ArrayType(T.LongType(), False)), T.StructField("deciding", T.ArrayType(T.LongType(), False))])
+
+
+def print_column(df: DataFrame, text: str, width: int):
+    """Both fingerprints of a text column, computed in Arrow batches; ``width`` bits for keys."""
+    ready_workers(df.sparkSession)
+
+    def of(texts: pa.Array) -> pa.Array:
+        found = [wide_prints(t.as_py(), width) for t in texts]
+        none = np.zeros(0, np.int64)
+        arrays = [
+            lists(np.concatenate([f[k] for f in found]) if found else none, np.full(len(found), bits // 64))
+            for k, bits in enumerate((width, DECIDING))
+        ]
+        return pa.StructArray.from_arrays(arrays, names=["keys", "deciding"])
+
+    of.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(of, PRINTS)(col(text))
+
+
+def bits_of(numbers: np.ndarray) -> np.ndarray:
+    """The bits of rows of numbers."""
+    return np.unpackbits(np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1), axis=1, bitorder="little")
+
+
+def angle_share(jaccard: float) -> float:
+    """The share of bits in which two sets of equal size differ on average."""
+    return math.acos(2 * jaccard / (1 + jaccard)) / math.pi
+
+
+def limit_of(similarity: float) -> int:
+    """The most deciding bits that may differ: the mean at the limit and one standard error."""
+    share = angle_share(similarity)
+    return round(DECIDING * share + math.sqrt(DECIDING * share * (1 - share)))
+
+
+def key_share(similarity: float) -> float:
+    """The share of key bits in which texts at the limit differ, their words replaced here and there."""
+    kept = (2 * similarity / (1 + similarity)) ** (KEY_WORDS / WORDS)
+    return math.acos(kept) / math.pi
+
+
+def narrow_enough(texts: int) -> float:
+    """Bits of a key under which a text meets ``LOAD`` unrelated ones."""
+    return math.log2(max(2, texts) / LOAD)
+
+
+def key_bits(texts: int, similarity: float = SIMILARITY, recall: float = RECALL) -> int:
+    """Bits from which keys without a threshold reach the recall, in whole numbers of 64."""
+    width = math.ceil(narrow_enough(texts))
+    chance = (1 - key_share(similarity)) ** width / (1 + LOAD)
+    keys = math.log(1 - recall) / math.log1p(-chance)
+    return min(MOST_BITS, 64 * math.ceil(1.1 * keys * width / 64))
+
+
+def choose(options: list[list[tuple[float, float]]], wanted: float) -> list[int]:
+    """One option (cost, gain) of each partition at the least cost whose gains reach ``wanted``; if they can't,
+    those of the most gain. Gains are rounded down to ``STEPS`` steps."""
+    unit = wanted / STEPS
+    cost = np.full(STEPS + 1, np.inf)
+    cost[0] = 0.0
+    picks = []
+    for row in options:
+        after, pick = np.full(STEPS + 1, np.inf), np.zeros(STEPS + 1, np.int64)
+        for number, (extra, gain) in enumerate(row):
+            step = int(gain / unit)
+            shifted = np.full(STEPS + 1, np.inf)
+            shifted[min(step, STEPS) :] = cost[: STEPS + 1 - min(step, STEPS)] + extra
+            shifted[STEPS] = min(shifted[STEPS], cost[max(0, STEPS - step) :].min() + extra)
+            better = shifted < after
+            after[better], pick[better] = shifted[better], number
+        picks.append((pick, cost))
+        cost = after
+    at, chosen = int(np.flatnonzero(np.isfinite(cost))[-1]), []
+    for row, (pick, before) in zip(reversed(options), reversed(picks), strict=True):
+        number = int(pick[at])
+        step = int(row[number][1] / unit)
+        if at == STEPS:  # several sums are cut to the last step
+            low = max(0, STEPS - step)
+            at = low + int(np.argmin(before[low:]))
+        else:
+            at -= step
+        chosen.append(number)
+    return chosen[::-1]
+
+
+def wide_plan(sample: np.ndarray, texts: int, similarity: float = SIMILARITY, recall: float = RECALL) -> list[tuple[tuple[int, ...], int]]:
+    """Partitions of the key bits with their thresholds (0 or 1), for this many distinct texts."""
+    differ, wanted, plans = key_share(similarity), -math.log(1 - recall), []
+    need = narrow_enough(texts)
+    for threshold in (0, 1):
+        # leaving out each of the bits in turn makes a key one bit shorter and meets as many more texts
+        width = max(8, math.ceil(need + threshold * (1 + math.log2(need))))
+        groups = correlated_groups(sample, max(1, sample.shape[1] // width)) if len(sample) else []
+        options = []
+        for group in groups:
+            row = [(0.0, 0.0)]
+            for t in range(threshold + 1):
+                chance = sum(math.comb(len(group), k) * differ**k * (1 - differ) ** (len(group) - k) for k in range(t + 1))
+                load = texts * crowding(sample[:, list(group)], t)
+                row.append((math.comb(len(group), t) * (1 + load), -math.log1p(-min(0.999, chance / (1 + load)))))
+            options.append(row)
+        chosen = choose(options, wanted)
+        cost, gain = (sum(o[c][k] for o, c in zip(options, chosen, strict=True)) for k in (0, 1))
+        plans.append((gain, cost, [(g, c - 1) for g, c in zip(groups, chosen, strict=True) if c]))
+    enough = [p for p in plans if p[0] >= 0.97 * wanted]
+    return min(enough, key=lambda p: p[1])[2] if enough else max(plans, key=lambda p: p[0])[2]
+
+
+def crowding(bits: np.ndarray, threshold: int) -> float:
+    """The chance that an unrelated text shares a key, taking the bits as independent of each other."""
+    one = bits.mean(0)
+    same = one * one + (1 - one) * (1 - one)
+    return float(np.prod(same) if threshold == 0 else np.prod(same) * (1 + np.sum((1 - same) / same)))
+
+
+def key_numbers(numbers: np.ndarray, plan: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
+    """All keys of each row of fingerprint numbers."""
+    bits, columns = bits_of(numbers), []
+    for place, (group, threshold) in enumerate(plan):
+        for left_out in combinations(range(len(group)), threshold):
+            kept = [b for i, b in enumerate(group) if i not in left_out]
+            packed = np.zeros((len(bits), 8), np.uint8)
+            octets = np.packbits(bits[:, kept], axis=1, bitorder="little")
+            packed[:, : octets.shape[1]] = octets[:, :8]
+            salt = np.uint64(((place << 8) + (left_out[0] + 1 if left_out else 0) + 1) * 0xD6E8FEB86659FD93 % (1 << 64))
+            key = (packed.view(np.uint64).ravel() ^ salt) * np.uint64(0xBF58476D1CE4E5B9)
+            columns.append((key ^ (key >> np.uint64(31))) * np.uint64(0x94D049BB133111EB))
+    return np.column_stack(columns).view(np.int64) if columns else np.zeros((len(bits), 0), np.int64)
+
+
+def similar(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """Pairs ``a``, ``b`` of nodes that are near copies; ``nodes`` has ``node``, ``keys`` and ``deciding``."""
+    sample = nodes.select("keys").orderBy(F.xxhash64("node")).limit(SAMPLE_ROWS).collect()
+    words = len(sample[0]["keys"]) if sample else 1
+    taken = bits_of(np.array([r["keys"] for r in sample], np.int64).reshape(-1, words))
+    plan = wide_plan(taken, nodes.count(), similarity, recall)
+
+    def keys_of(numbers: pa.Array) -> pa.Array:
+        found = key_numbers(numbers.flatten().to_numpy(zero_copy_only=False).reshape(-1, words), plan)
+        return lists(found.ravel(), np.full(len(found), found.shape[1]))
+
+    keys_of.__annotations__ = {"numbers": pa.Array, "return": pa.Array}
+    look = F.col("deciding")[0]
+    entered = materialize(nodes.select("node", look.alias("look"), F.arrow_udf(keys_of, "array<long>")("keys").alias("all"))).select(
+        "node", "look", F.explode("all").alias("key"))
+    first = entered.groupBy("key").agg(
+        F.min("node").alias("b"), F.min_by("look", "node").alias("look_b"), F.count("*").alias("n")).where("n > 1")
+    near = F.bit_count(F.col("look").bitwiseXOR(F.col("look_b"))) <= FIRST_LOOK
+    pairs = entered.join(first, "key").where((F.col("node") != F.col("b")) & near).select(F.col("node").alias("a"), "b").distinct()
+    left, right = (nodes.select(F.col("node").alias(n), F.col("deciding").alias(f"of_{n}")) for n in ("a", "b"))
+    apart = F.aggregate(
+        F.zip_with("of_a", "of_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, one: total + one)
+    judged = pairs.join(left, "a").join(right, "b")
+    return judged.where(apart <= limit_of(similarity)).select("a", "b")
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """The table with one row of each group of near copies: the one of the smallest key, among equal keys the
+    one of the smallest text hash, and one of several equal rows. Rows without a key come last."""
+    node, width = F.xxhash64(F.coalesce(col(text), F.lit(""))), key_bits(df.count(), similarity)
+    prints = materialize(df.select(
+        col(key).alias("id"), F.xxhash64(col(text)).alias("h"), node.alias("node"), print_column(df, text, width).alias("p")))
+    members = prints.groupBy("id", "h", "node").agg(F.count("*").alias("n"))
+    nodes = materialize(prints.groupBy("node").agg(F.max("p.keys").alias("keys"), F.max("p.deciding").alias("deciding")))
+    ends = components(similar(nodes, similarity)).select(F.col("node").alias("of"), "component")
+    rooted = materialize(members.join(ends, F.col("node") == F.col("of"), "left").select(
+        "id", "h", "n", F.coalesce("component", "node").alias("root")))
+    order = F.struct(F.col("id").isNull().alias("keyless"), "id", "h")
+    chosen = rooted.groupBy("root").agg(F.min(order).alias("first"))
+    judged = materialize(rooted.join(chosen, "root").select("id", "h", "n", (order == F.col("first")).alias("stays")))
+    hashed = fresh(df, "text_hash")
+    rest = without(df.withColumn(hashed, F.xxhash64(col(text))), judged.where("not stays"), {key: "id", hashed: "h"})
+    repeated = judged.where("stays and n > 1").select("id", "h")
+    if repeated.isEmpty():
+        return rest.drop(hashed)
+    single = without(rest, repeated, {key: "id", hashed: "h"})
+    named = repeated.withColumnsRenamed({"id": "of_id", "h": "of_h"})
+    held = rest.select(F.struct(*map(col, rest.columns)).alias("row")).join(
+        named, F.col("row")[key].eqNullSafe(F.col("of_id")) & F.col("row")[hashed].eqNullSafe(F.col("of_h")), "left_semi")
+    return single.unionByName(held.select("row.*").dropDuplicates([key, hashed])).drop(hashed)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, sharding, simhash, toxicity
+from millrace.llm import bpe, decontaminate, extraction, licenses, sharding, simhash, topk, toxicity, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +47,80 @@ def op2_decontamination(spark, sf_dir):
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op3_extraction")
+def op3_extraction(spark, sf_dir):
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+def host_code(host: Column) -> Column:
+    """A number below 4096 that stands for a host."""
+    return F.conv(F.substring(F.md5(host.cast("binary")), 1, 3), 16, 10).cast("int")
+
+
+def page_captures(pages: DataFrame, step: int) -> DataFrame:
+    """Every page as a capture of the year 2024, at a second that its id decides."""
+    second = F.lit(1_704_067_200) + F.pmod(F.col("page_id") * F.lit(step), F.lit(31_536_000))
+    return pages.withColumn("fetched_at", F.timestamp_seconds(second))
+
+
+def host_list(pages: DataFrame) -> DataFrame:
+    """Dated list entries for the hosts of the pages: some hosts, some of their English parts, some parent
+    domains are added, removed after a time that the host decides, and half of them added again."""
+    hosts = pages.select(extraction.host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
+    coded = hosts.withColumn("code", host_code(F.col("host")))
+    listed = [
+        coded.where("code % 3 = 0").select("host", "code", F.expr("elt(1 + (code div 3) % 3, 'adult', 'malware', 'spam')")),
+        coded.where("code % 5 = 0").select(F.concat("host", F.lit("/en")), "code", F.lit("spam")),
+        coded.where("code % 11 = 0").select(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), "code", F.lit("bulk")),
+    ]
+    entries = reduce(DataFrame.union, listed).toDF("pattern", "code", "category")
+    days = F.array(
+        F.struct(F.lit("add").alias("action"), F.expr("code % 200").alias("day")),
+        F.struct(F.lit("remove").alias("action"), F.expr("code % 200 + 30 + code % 60").alias("day")),
+        F.when(F.col("code") % 2 == 0, F.struct(F.lit("add").alias("action"), F.expr("code % 200 + 75 + code % 60").alias("day"))),
+    )
+    dated = entries.select("pattern", "category", F.explode(days).alias("e")).where("e is not null")
+    return dated.select("pattern", "category", "e.action", F.timestamp_seconds(F.lit(1_704_067_200) + F.col("e.day") * 86_400).alias("at"))
+
+
+OP4 = r"""
+WITH capture AS (
+  SELECT page_id, url, 1704067200 + (page_id * 7919) % 31536000 AS fetched_at,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+coded AS (SELECT DISTINCT host, ('0x' || substr(md5(host), 1, 3))::INT AS code FROM capture WHERE host <> ''),
+entry AS (
+  SELECT host AS host, '' AS prefix, code, ['adult', 'malware', 'spam'][1 + (code // 3) % 3] AS category FROM coded WHERE code % 3 = 0
+  UNION ALL SELECT host, '/en', code, 'spam' FROM coded WHERE code % 5 = 0
+  UNION ALL SELECT regexp_extract(host, '([^.]+\.[^.]+)$', 1), '', code, 'bulk' FROM coded WHERE code % 11 = 0),
+change AS (
+  SELECT host, prefix, category, 'add' AS action, 1704067200 + (code % 200) * 86400 AS at FROM entry
+  UNION ALL SELECT host, prefix, category, 'remove', 1704067200 + (code % 200 + 30 + code % 60) * 86400 FROM entry
+  UNION ALL SELECT host, prefix, category, 'add', 1704067200 + (code % 200 + 75 + code % 60) * 86400 FROM entry WHERE code % 2 = 0),
+last_change AS (
+  SELECT c.page_id, c.url, c.fetched_at, h.category, h.host || h.prefix AS pattern, arg_max(h.action, (h.at, h.action)) AS action
+  FROM capture c JOIN change h
+    ON (c.host = h.host OR ends_with(c.host, '.' || h.host))
+   AND (h.prefix = '' OR c.path = h.prefix OR starts_with(c.path, h.prefix || '/')) AND h.at <= c.fetched_at
+  GROUP BY ALL),
+active AS (
+  SELECT page_id, url, fetched_at, string_agg(DISTINCT category, ',' ORDER BY category) AS categories,
+         string_agg(DISTINCT pattern, ',' ORDER BY pattern) AS patterns
+  FROM last_change WHERE action = 'add' GROUP BY ALL)
+SELECT c.page_id, c.url, c.fetched_at, count(*) AS captures, max(a.page_id) IS NULL AS allowed,
+       coalesce(max(a.categories), '') AS categories, coalesce(max(a.patterns), '') AS patterns
+FROM capture c LEFT JOIN active a ON a.page_id = c.page_id AND a.url = c.url AND a.fetched_at = c.fetched_at
+GROUP BY c.page_id, c.url, c.fetched_at"""
+
+
+@query("op4_url_filters", OP4)
+def op4_url_filters(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    judged = urlfilter.evaluate(page_captures(pages.select("page_id", "url"), 7919), host_list(pages))
+    return judged.withColumn("fetched_at", F.unix_seconds("fetched_at"))
+
+
 def token_digests(documents: DataFrame, coder: bpe.ByteBpe) -> DataFrame:
     """Per document: its ids, how many there are, and digests of the ids and of the bytes they stand for."""
     coded = coder.decode(coder.encode(documents.select("doc_id", "text")).drop("text"))
@@ -62,11 +137,116 @@ def op5_byte_bpe(spark, sf_dir):
     return token_digests(table(spark, sf_dir, "documents"), coder).drop("ids", "offsets")
 
 
+OP6 = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 5"""
+
+
+@query("op6_top_k", OP6)
+def op6_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def sql_texts(pairs) -> str:
+    return ", ".join("(" + ", ".join("'" + t.replace("'", "''") + "'" for t in pair) + ")" for pair in pairs)
+
+
+OP7 = f"""
+WITH template(license, words) AS (
+  SELECT license, string_split(trim(regexp_replace(lower(template), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ')
+  FROM (VALUES {sql_texts(licenses.TEMPLATES)}) AS t(license, template)),
+template_set AS (
+  SELECT license, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS t FROM template),
+unit AS (
+  SELECT doc_id, 0 AS line, text AS unit FROM documents WHERE text IS NOT NULL
+  UNION ALL
+  SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1))::INT, unnest(string_split(text, chr(10)))
+  FROM documents WHERE text IS NOT NULL),
+worded AS (
+  SELECT doc_id, line, string_split(trim(regexp_replace(lower(unit), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') AS words FROM unit),
+unit_set AS (
+  SELECT doc_id, line, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS u
+  FROM worded WHERE len(words) > 1),
+judged AS (
+  SELECT DISTINCT doc_id, line, license, len(u)::INT AS unit_size, len(t)::INT AS template_size, len(list_intersect(u, t))::INT AS common,
+         round(2.0::DOUBLE * len(list_intersect(u, t)) / (len(u) + len(t)), 9) AS dice
+  FROM unit_set JOIN template_set ON len(u) <= 1.5 * len(t) AND len(t) <= 1.5 * len(u))
+SELECT * FROM judged WHERE dice >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license) = 1"""
+
+
+@query("op7_licenses", OP7)
+def op7_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 @query("op8_simhash")
 def op8_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def archive_records(pages: DataFrame) -> DataFrame:
+    """Every page as an archive record: a third of them not-modified answers without a body, entity tags that
+    change every 90 days and are missing on every seventh record."""
+    timed = page_captures(pages, 104_729)
+    revisit = F.col("page_id") % 3 == 1
+    version = F.expr("unix_seconds(fetched_at) div 7776000").cast("string")
+    tag = F.concat(F.lit('"'), F.substring(F.md5(F.concat(warc.canonical_url(F.col("url")), version).cast("binary")), 1, 8), F.lit('"'))
+    headers = F.create_map(
+        F.lit("ETag"), F.when(F.col("page_id") % 7 != 0, tag),
+        F.lit("Date"), F.unix_seconds("fetched_at").cast("string"),
+        F.lit("Content-Length"), F.when(revisit, "0").otherwise(F.coalesce(F.octet_length("html"), F.lit(0)).cast("string")),
+        F.lit("Content-Type"), F.when(~revisit, "text/html"),
+        F.lit("Cache-Control"), F.concat(F.lit("max-age="), (F.col("page_id") % 1000).cast("string")),
+    )
+    return timed.select("page_id", "url", "fetched_at", F.when(revisit, 304).otherwise(200).alias("status"), headers.alias("headers"))
+
+
+OP9 = r"""
+WITH parted AS (
+  SELECT page_id, html, regexp_replace(url, '#.*$', '') AS plain, 1704067200 + (page_id * 104729) % 31536000 AS t FROM pages),
+canonical AS (
+  SELECT page_id, html, t,
+         regexp_replace(lower(regexp_extract(plain, '^[a-z]+://([^/?]*)', 1)), '^www[0-9]*\.', '') AS host,
+         regexp_replace(regexp_extract(plain, '^[a-z]+://[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         array_to_string(list_sort(list_filter(string_split(regexp_extract(plain, '\?(.*)$', 1), '&'),
+           lambda p: p <> '' AND NOT regexp_matches(p, '^((ref|fbclid|gclid|msclkid|sessionid|sid)(=|$)|utm_)'))), '&') AS query
+  FROM parted),
+record AS (
+  SELECT page_id, t, strlen(html) AS size, host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS u
+  FROM canonical),
+tagged AS (
+  SELECT *, CASE WHEN page_id % 7 <> 0 THEN '"' || substr(md5(u || (t // 7776000)), 1, 8) || '"' END AS etag FROM record),
+stored AS (
+  SELECT * FROM tagged WHERE page_id % 3 <> 1 QUALIFY row_number() OVER (PARTITION BY u, t ORDER BY page_id DESC) = 1),
+joined AS (
+  SELECT r.page_id, r.u AS canonical_url, r.t AS fetched_at, s.page_id AS refers_to, r.etag AS new_tag, s.etag AS old_tag, s.size
+  FROM (SELECT * FROM tagged WHERE page_id % 3 = 1) r ASOF LEFT JOIN stored s ON r.u = s.u AND r.t > s.t),
+judged AS (
+  SELECT *, CASE WHEN refers_to IS NULL THEN 'no_original' WHEN new_tag IS NULL OR old_tag IS NULL THEN 'unverified'
+                 WHEN new_tag = old_tag THEN 'resolved' ELSE 'mismatch' END AS state FROM joined)
+SELECT page_id, canonical_url, fetched_at, refers_to, state,
+       CASE WHEN state = 'resolved' THEN
+         'cache-control: max-age=' || (page_id % 1000) || chr(10) || 'content-length: ' || size || chr(10) || 'content-type: text/html'
+         || chr(10) || 'date: ' || fetched_at || chr(10) || 'etag: ' || new_tag END AS headers
+FROM judged"""
+
+
+@query("op9_warc_revisits", OP9)
+def op9_warc_revisits(spark, sf_dir):
+    found = warc.resolve(archive_records(table(spark, sf_dir, "pages")))
+    lines = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumn("headers", F.array_join(F.array_sort(lines), "\n")).withColumn("fetched_at", F.unix_seconds("fetched_at"))
+
+
 @query("op10_toxicity")
 def op10_toxicity(spark, sf_dir):
     return toxicity.score_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.frames import col, fresh, ready_workers, without
+from millrace.llm.frames import col, ready_workers
 from millrace.session import materialize
 
 BITS = 64
@@ -98,17 +98,18 @@ def signed(number: int) -> int:
 
 def correlated_groups(bits: np.ndarray, groups: int) -> list[tuple[int, ...]]:
     """The bits in equal groups: each starts at the bit most tied to the rest and takes the nearest ones."""
+    width = bits.shape[1]
     with np.errstate(invalid="ignore", divide="ignore"):
-        tie = np.abs(np.nan_to_num(np.corrcoef(bits, rowvar=False))) if len(bits) > 1 else np.eye(BITS)
-    left, found = list(range(BITS)), []
+        tie = np.abs(np.nan_to_num(np.corrcoef(bits, rowvar=False))) if len(bits) > 1 else np.eye(width)
+    left, found = np.ones(width, bool), []
     for g in range(groups):
-        size = len(left) // (groups - g)
-        group = [max(left, key=lambda b: tie[b, left].sum())]
-        left.remove(group[0])
+        size = int(left.sum()) // (groups - g)
+        near = tie @ left
+        group: list[int] = []
         while len(group) < size:
-            nearest = max(left, key=lambda b: tie[b, group].mean())
-            group.append(nearest)
-            left.remove(nearest)
+            group.append(int(np.argmax(np.where(left, near, -1.0))))
+            near = tie[:, group].sum(1)
+            left[group[-1]] = False
         found.append(tuple(sorted(group)))
     return found
 
@@ -208,31 +209,3 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     return prints.join(found, "fp").select(
         F.col("id").alias(key), hex_digits(F.col("fp")).alias("fingerprint"), "component_id"
     )
-
-
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
-             distance: int = DISTANCE) -> DataFrame:
-    """The table with one row of each component: the one of the smallest key, among equal keys the one of
-    the smallest text hash. Rows without a key stay only where no row of their component has one."""
-    text_hash = F.xxhash64(col(text))
-    prints = materialize(df.select(
-        col(key).alias("id"), text_hash.alias("h"), fingerprint_column(df, text, words).alias("fp")))
-    found = classes(prints.select("id", "fp"), distance)
-    member = prints.join(found, "fp").groupBy("id", "h", "fp", "component_id").agg(F.count("*").alias("n"))
-    root = F.struct(F.col("id").isNull(), "id", "h")
-    first = F.min(root).alias("first")
-    # a component is named by its smallest id; without any id, its fingerprint names it
-    name = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp "), F.col("fp").cast("string")))
-    members = materialize(member.withColumn("name", name))
-    chosen = members.groupBy("name").agg(first)
-    judged = materialize(members.join(chosen, "name").select(
-        "id", "h", "n", (root == F.col("first")).alias("stays")))
-    hashed = fresh(df, "text_hash")
-    rest = without(df.withColumn(hashed, text_hash), judged.where(~F.col("stays")), {key: "id", hashed: "h"})
-    repeated = judged.where("stays and n > 1").select("id", "h")
-    if repeated.isEmpty():
-        return rest.drop(hashed)
-    single = without(rest, repeated, {key: "id", hashed: "h"})
-    held = rest.join(repeated.withColumnsRenamed({"id": "of_id", "h": "of_h"}),
-                       col(key).eqNullSafe(F.col("of_id")) & (col(hashed) == F.col("of_h")), "left_semi")
-    return single.unionByName(held.dropDuplicates([key, hashed])).drop(hashed)

@@ -1,0 +1,126 @@
+"""Near copies: the search against Jaccard similarities of all pairs, and what stays of each group."""
+
+import math
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import nearcopies
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    random.seed(21)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    found = []
+    for g in range(60):
+        base = [random.choice(vocabulary) for _ in range(random.randint(60, 500))]
+        found.append(base)
+        for _ in range(random.randint(0, 6)):
+            copy = list(base)
+            for at in random.sample(range(len(copy)), max(1, round(len(copy) * random.choice([0.005, 0.01, 0.018, 0.1])))):
+                copy[at] = random.choice(vocabulary)
+            found.append(copy)
+    hot = [random.choice(vocabulary) for _ in range(300)]
+    for _ in range(150):
+        copy = list(hot)
+        copy[random.randrange(300)] = random.choice(vocabulary)
+        found.append(copy)
+    return [" ".join(t) for t in found]
+
+
+def test_widths_and_plans_reach_the_recall():
+    random.seed(2)
+    for rows in (10, 1_000, 200_000, 10**7):
+        width = nearcopies.key_bits(rows)
+        sample = np.array([[random.random() < 0.5 for _ in range(width)] for _ in range(100)], np.uint8)
+        plan = nearcopies.wide_plan(sample, rows)
+        differ, miss = nearcopies.key_share(0.8), 1.0
+        for group, t in plan:
+            miss *= 1 - sum(math.comb(len(group), k) * differ**k * (1 - differ) ** (len(group) - k) for k in range(t + 1))
+        assert 1 - miss > 0.93
+        assert len({b for g, _ in plan for b in g}) == sum(len(g) for g, _ in plan)
+
+
+def test_choose_is_optimal():
+    random.seed(3)
+    for _ in range(50):
+        options = [[(0.0, 0.0)] + [(random.random(), random.choice([0.1, 0.2, 0.4])) for _ in range(2)] for _ in range(5)]
+        chosen = nearcopies.choose(options, 0.8)
+        best = min(
+            sum(o[c][0] for o, c in zip(options, pick, strict=True))
+            for pick in np.ndindex(*(3,) * 5) if sum(o[c][1] for o, c in zip(options, pick, strict=True)) >= 0.8 - 1e-9
+        )
+        assert sum(o[c][1] for o, c in zip(options, chosen, strict=True)) >= 0.8 - 1e-9 or best > 10
+        assert sum(o[c][0] for o, c in zip(options, chosen, strict=True)) == pytest.approx(best)
+
+
+def test_keys_without_a_threshold_and_with_one():
+    random.seed(4)
+    a = np.array([[random.getrandbits(63), random.getrandbits(63)]], np.int64)
+    b = a.copy()
+    b[0, 0] ^= 1 << 5
+    exact, one = [(tuple(range(20)), 0), (tuple(range(20, 40)), 0)], [(tuple(range(20)), 1)]
+    same = nearcopies.key_numbers(a, exact) == nearcopies.key_numbers(b, exact)
+    assert same.tolist() == [[False, True]]
+    assert (nearcopies.key_numbers(a, one) == nearcopies.key_numbers(b, one)).sum() == 1
+
+
+def test_near_copies_share_a_group_and_others_do_not(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in nearcopies.keep_one(df).collect()}
+    sets = [shingles(t) for t in texts]
+    groups = {i: i for i in range(len(texts))}
+
+    def root(i):
+        while groups[i] != i:
+            i = groups[i]
+        return i
+
+    near = [(i, j) for i, j in combinations(range(len(texts)), 2) if jaccard(sets[i], sets[j]) >= 0.8]
+    for i, j in near:
+        groups[max(root(i), root(j))] = min(root(i), root(j))
+    copies = [i for i in range(len(texts)) if root(i) != i]
+    assert len([i for i in copies if i in kept]) <= 0.03 * len(copies)
+    alone = [i for i in range(len(texts)) if all(jaccard(sets[i], sets[j]) < 0.7 for j in range(len(texts)) if j != i)]
+    assert len(alone) > 20 and set(alone) <= kept
+    assert all(any(root(k) == root(i) for k in kept) for i in range(len(texts)))
+
+
+SCHEMA = "doc_id long, text string, node int, text_hash string"
+
+
+def test_one_row_stays_of_each_group(spark):
+    same = "one two three four five six seven eight nine ten"
+    rows = [(5, same, 1, "a"), (3, same, 1, "b"), (3, same, 1, "b"), (None, same, 1, "c"), (7, None, 1, "d"), (6, None, 1, "e"),
+            (8, "", 1, "f"), (9, "x", 1, "g"), (9, "a quite different text of its own here", 1, "h"), (None, "keyless text alone here now", 1, "i"),
+            (None, "keyless text alone here now", 1, "i"), (10, "long " * 60_000, 1, "j"), (11, "word", None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    kept = nearcopies.keep_one(df)
+    assert kept.columns == df.columns
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    expected = [(3, same), (6, None), (9, "x"), (9, rows[8][1]), (None, rows[9][1]), (10, rows[11][1]), (11, "word")]
+    assert found == sorted(expected, key=str)
+
+
+def test_empty_table(spark):
+    assert nearcopies.keep_one(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_a_hot_group_gives_no_square_of_pairs(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts[-150:])), "id long, text string")
+    nodes = df.select(F.xxhash64("text").alias("node"), nearcopies.print_column(df, "text", 256).alias("p"))
+    pairs = nearcopies.similar(nodes.select("node", "p.keys", "p.deciding")).count()
+    assert 140 <= pairs <= 150 * 40
