@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable
 
@@ -86,6 +87,8 @@ def _flat(name: str, value) -> list[tuple[str, object]]:
     return [(name, value)]
 
 
+# The name under which a state holds the folder of a table that is too large for it.
+TABLE = "table"
 STATE_SCHEMA = "step string, column string, name string, value string"
 
 
@@ -102,15 +105,22 @@ def state_table(spark: SparkSession, models: dict[str, Fitted]) -> DataFrame:
 
 
 def save_state(spark: SparkSession, model: Fitted, path: str) -> None:
-    """Write the fitted numbers of one step as a small JSON table."""
-    spark.createDataFrame(model.state_rows("step"), STATE_SCHEMA).coalesce(1).write.mode(
-        "overwrite"
-    ).json(path)
+    """Write the fitted numbers of one step as a small JSON table, and beside it the tables it refers to."""
+    rows = []
+    for step, column, name, value in model.state_rows("step"):
+        if name == TABLE:
+            below = f"tables/{hashlib.sha256(column.encode()).hexdigest()[:16]}"
+            spark.read.parquet(json.loads(value)).write.mode("overwrite").parquet(f"{path}/{below}")
+            value = json.dumps(below)
+        rows.append((step, column, name, value))
+    spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/state")
 
 
 def load_state(spark: SparkSession, model: type[Fitted], settings, path: str) -> Fitted:
-    """Rebuild a fitted step from the numbers saved by :func:`save_state`."""
+    """Rebuild a fitted step from what :func:`save_state` wrote; nothing else is needed."""
     state: dict[str, dict] = {}
-    for row in spark.read.schema(STATE_SCHEMA).json(path).where(F.col("name").isNotNull()).collect():
-        state.setdefault(row["column"], {})[row["name"]] = json.loads(row["value"])
+    saved = spark.read.schema(STATE_SCHEMA).json(f"{path}/state").where(F.col("name").isNotNull())
+    for row in saved.collect():
+        value = json.loads(row["value"])
+        state.setdefault(row["column"], {})[row["name"]] = f"{path}/{value}" if row["name"] == TABLE else value
     return model(settings, state)

@@ -21,10 +21,12 @@ def as_double(df: DataFrame, name: str) -> Column:
 
 
 def as_long(name: str) -> Column:
-    """Text read as BIGINT: digits exactly, other spellings of a whole number through DOUBLE."""
+    """Text read as BIGINT: digits exactly, other spellings of a whole number through DOUBLE. A number
+    that is not whole is NULL, never cut."""
     text = quoted(name)
     digits = F.expr(f"try_cast(trim({text}) as bigint)")
-    through_double = F.expr(f"try_cast(try_cast({text} as double) as bigint)")
+    value = F.expr(f"try_cast({text} as double)")
+    through_double = F.when(value == F.floor(value), F.expr(f"try_cast(try_cast({text} as double) as bigint)"))
     return F.when(col(name).rlike(WHOLE_NUMBER), digits).otherwise(through_double)
 
 

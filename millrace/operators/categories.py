@@ -207,6 +207,10 @@ def category_report(df: DataFrame, settings: CategorySettings) -> DataFrame:
     )
 
 
+# Keys under which rows that need no code from the large table are spread over its join.
+SPREAD = 4096
+
+
 @dataclass(frozen=True)
 class EncodeSettings:
     """Columns with up to ``driver_limit`` categories are mapped by a broadcast list; of larger ones
@@ -268,10 +272,15 @@ class EncodeModel(Fitted):
 
         found = joined(df, F.broadcast(short), "__found")
         if table is not None:
-            # Frequent values are settled above, so no key of this shuffled join is hot.
+            # Settled rows keep their place in the join under keys that match nothing and are many, so
+            # neither a frequent value nor NULL is a hot key, and the source is read once.
+            spread = F.monotonically_increasing_id() % SPREAD
+            nothing = -1 - spread if back else F.concat(F.lit("\0"), spread.cast("string"))
             settled = F.col("__found").isNotNull() | col(name).isNull()
-            tail = joined(found.where(~settled).drop("__found"), table, "__found")
-            found = found.where(settled).unionByName(tail)
+            key = F.when(settled, nothing).otherwise(col(name))
+            codes = table.select(F.col(source).alias("__match"), F.col(target).alias("__late"))
+            found = found.withColumn("__key", key).join(codes, F.col("__key") == F.col("__match"), "left")
+            found = found.withColumn("__found", F.coalesce("__found", "__late")).drop("__key", "__match", "__late")
         if back:
             missing = F.lit(self.settings.unknown_token)
         elif self.settings.handle_unknown == "error":

@@ -22,8 +22,9 @@ def dedup_rows(
     """Keep the row with the smallest ``row_id`` of every group of equal rows.
 
     Rows are equal when all columns but ``row_id`` (or the given ones, plus the label) are equal;
-    NULLs are equal to each other. Grouping combines copies before the shuffle, so a group holding a
-    third of the table sends one row per task. Columns outside the key follow their first row.
+    NULLs are equal to each other. Grouping is a hash aggregate that combines copies before the shuffle,
+    so a group holding a third of the table sends one row per task. Columns outside the key come with
+    their row by a semi join on the unique ``row_id``, so that no key is hot and nothing is sorted by text.
     """
     keys = _keys(df, row_id, columns, label)
     others = [c for c in df.columns if c not in keys and c != row_id]
@@ -31,11 +32,8 @@ def dedup_rows(
     grouped = df.groupBy(*(col(k) for k in keys))
     if not others:
         return grouped.agg(first).select(*(col(c) for c in df.columns))
-    followers = F.min_by(F.struct(*(col(c) for c in others)), col(row_id)).alias("__rest")
-    kept = grouped.agg(first, followers)
-    return kept.select(
-        *(F.col("__rest")[c].alias(c) if c in others else col(c) for c in df.columns)
-    )
+    kept = grouped.agg(first).select(col(row_id))
+    return df.join(kept, row_id, "left_semi").select(*(col(c) for c in df.columns))
 
 
 def duplicate_rows(

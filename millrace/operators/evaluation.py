@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import col
+from millrace.functions.columns import col, without_nan
 
 # Loss and metric that a task type is judged by.
 TASK_DEFAULTS = {
@@ -13,6 +13,10 @@ TASK_DEFAULTS = {
     "binary_classification": ("binary_crossentropy", "accuracy"),
     "classification": ("sparse_categorical_crossentropy", "accuracy"),
 }
+METRIC_COLUMNS = {
+    "mse": "mse", "mae": "mae", "accuracy": "accuracy", "binary_crossentropy": "log_loss",
+    "sparse_categorical_crossentropy": "log_loss",
+}
 SMALLEST_PROBABILITY = 1e-7
 
 
@@ -26,17 +30,18 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 def regression_metrics(df: DataFrame, y_true: str, y_pred: str, by: list[str] = ()) -> DataFrame:
     """MAE, MSE, RMSE and value ranges over rows that have both values."""
-    gap = F.when(col(y_true).isNotNull() & col(y_pred).isNotNull(), col(y_pred) - col(y_true))
+    truth, guess = without_nan(df, y_true), without_nan(df, y_pred)
+    gap = F.when(truth.isNotNull() & guess.isNotNull(), guess - truth)
     mse = F.avg(gap * gap)
     return _grouped(df, list(by)).agg(
         F.count(gap).alias("n"),
         F.avg(F.abs(gap)).alias("mae"),
         mse.alias("mse"),
         F.sqrt(mse).alias("rmse"),
-        F.min(col(y_pred)).alias("pred_min"),
-        F.max(col(y_pred)).alias("pred_max"),
-        F.min(col(y_true)).alias("true_min"),
-        F.max(col(y_true)).alias("true_max"),
+        F.min(guess).alias("pred_min"),
+        F.max(guess).alias("pred_max"),
+        F.min(truth).alias("true_min"),
+        F.max(truth).alias("true_max"),
     )
 
 
@@ -45,18 +50,24 @@ def predicted_binary(probability: Column) -> Column:
 
 
 def predicted_class(probabilities: Column) -> Column:
-    """Place of the largest probability, the first one on a tie."""
+    """Place of the largest probability, the first one on a tie; NaN is no probability."""
+    probabilities = F.transform(probabilities, lambda p: F.nanvl(p, F.lit(None).cast("double")))
     return (F.array_position(probabilities, F.array_max(probabilities)) - 1).cast("int")
 
 
 def binary_metrics(df: DataFrame, y_true: str, probability: str, by: list[str] = ()) -> DataFrame:
-    """Accuracy, the four counts, precision, recall, F1 and cross-entropy from one aggregate."""
-    truth, guess = col(y_true).cast("int"), predicted_binary(col(probability))
-    p = F.greatest(
-        F.lit(SMALLEST_PROBABILITY), F.least(F.lit(1 - SMALLEST_PROBABILITY), col(probability))
+    """Accuracy, the four counts, precision, recall, F1 and cross-entropy from one aggregate.
+
+    Rows without a truth or a probability (NaN is none) are not judged; ``n`` counts the others.
+    """
+    truth, given = without_nan(df, y_true).cast("int"), without_nan(df, probability)
+    guess = predicted_binary(given)
+    judged = truth.isNotNull() & given.isNotNull()
+    p = F.when(
+        judged, F.greatest(F.lit(SMALLEST_PROBABILITY), F.least(F.lit(1 - SMALLEST_PROBABILITY), given))
     )
     counts = _grouped(df, list(by)).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count_if(judged).alias("n"),
         F.count_if((truth == 1) & (guess == 1)).alias("tp"),
         F.count_if((truth == 0) & (guess == 1)).alias("fp"),
         F.count_if((truth == 0) & (guess == 0)).alias("tn"),
@@ -75,12 +86,15 @@ def binary_metrics(df: DataFrame, y_true: str, probability: str, by: list[str] =
 
 
 def multiclass_metrics(df: DataFrame, y_true: str, probabilities: str, by: list[str] = ()) -> DataFrame:
-    """Accuracy of the most probable class and the cross-entropy of the true one."""
-    truth = col(y_true).cast("int")
-    p = F.greatest(F.lit(SMALLEST_PROBABILITY), F.get(col(probabilities), truth))
-    right = (predicted_class(col(probabilities)) == truth).cast("int")
+    """Accuracy of the most probable class and the cross-entropy of the true one, over rows that have a
+    truth and a probability."""
+    truth, guess = without_nan(df, y_true).cast("int"), predicted_class(col(probabilities))
+    judged = truth.isNotNull() & guess.isNotNull()
+    own = F.nanvl(F.get(col(probabilities), truth).cast("double"), F.lit(0.0))
+    p = F.when(judged, F.greatest(F.lit(SMALLEST_PROBABILITY), own))
+    right = F.when(judged, (guess == truth).cast("int"))
     return _grouped(df, list(by)).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count_if(judged).alias("n"),
         F.sum(right).cast("long").alias("correct"),
         F.avg(right).alias("accuracy"),
         F.avg(-F.log(p)).alias("log_loss"),
@@ -146,16 +160,16 @@ def task_summary(
     Regression tables have ``(task, y_true, y_pred)``, the others ``(task, y_true, probs)``; the loss
     is the mean squared error or the cross-entropy, the metric MAE or accuracy.
     """
-    parts = []
-    if regression is not None:
-        found = regression_metrics(regression, "y_true", "y_pred", ["task"])
-        parts.append((found, "regression", "mse", "mae"))
-    if binary is not None:
-        found = binary_metrics(binary, "y_true", "probs", ["task"])
-        parts.append((found, "binary_classification", "log_loss", "accuracy"))
-    if multiclass is not None:
-        found = multiclass_metrics(multiclass, "y_true", "probs", ["task"])
-        parts.append((found, "classification", "log_loss", "accuracy"))
+    tables = {
+        "regression": (regression, regression_metrics, "y_pred"),
+        "binary_classification": (binary, binary_metrics, "probs"),
+        "classification": (multiclass, multiclass_metrics, "probs"),
+    }
+    parts = [
+        (metrics(given, "y_true", guess, ["task"]), kind, *(METRIC_COLUMNS[m] for m in TASK_DEFAULTS[kind]))
+        for kind, (given, metrics, guess) in tables.items()
+        if given is not None
+    ]
     if not parts:
         raise ValueError("give at least one table of predictions")
     rows = [

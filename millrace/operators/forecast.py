@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import col, epoch_micros, from_epoch_micros, type_of
+from millrace.functions.columns import col, epoch_micros, from_epoch_micros, number, type_of
 from millrace.operators.evaluation import regression_metrics
 from millrace.operators.windows import WindowSettings
+from millrace.plans.order import steps_in_order
+from millrace.plans.quantiles import quantiles
+from millrace.session import materialize
 
 
 def _long(windows: DataFrame, settings: WindowSettings, forecasts: dict[str, list]) -> DataFrame:
@@ -22,7 +23,8 @@ def _long(windows: DataFrame, settings: WindowSettings, forecasts: dict[str, lis
         F.struct(
             F.lit(label).alias("label"),
             F.lit(step + 1).alias("step"),
-            F.get(col(f"out_{label}"), F.lit(step)).alias("y_true"),
+            (F.get(col(f"out_{label}"), F.lit(step)) if f"out_{label}" in windows.columns
+             else F.lit(None).cast("double")).alias("y_true"),
             forecast.alias("y_pred"),
         )
         for label, steps in forecasts.items()
@@ -83,45 +85,93 @@ class LinearForecast:
         return _long(windows, self.settings, forecasts)
 
 
-def fit_linear(
-    windows: DataFrame, settings: WindowSettings, reg: float = 0.0, elastic: float = 0.0
-) -> LinearForecast:
-    """One MLlib linear regression per label and step; windows with a missing value are left out.
+@dataclass(frozen=True)
+class Moments:
+    """Count, means and centred second moments of all input and label values of complete windows."""
+
+    n: int
+    mean: np.ndarray
+    second: np.ndarray
+
 
-    The inputs are a handful of values, so the normal equations are one aggregate per model. The
-    assembled rows are persisted meanwhile, because every model reads them.
+def window_moments(windows: DataFrame, settings: WindowSettings) -> Moments:
+    """Everything that a linear model of any label, step and penalty needs, from two passes.
+
+    Each task adds up one small matrix in array code; the matrices are summed cell by cell, so the driver
+    gets as many numbers as one of them has. Windows with a missing value are left out.
+    """
+    cells = [F.get(col(f"in_{c}"), F.lit(j)) for c in settings.feature_columns for j in range(settings.input_width)]
+    cells += [F.get(col(f"out_{c}"), F.lit(j)) for c in settings.label_columns for j in range(settings.label_width)]
+    names = [f"v{i}" for i in range(len(cells))]
+    flat = windows.select(*(cell.cast("double").alias(name) for cell, name in zip(cells, names, strict=True))).dropna()
+    row = flat.agg(F.count(F.lit(1)).alias("n"), *(F.avg(name).alias(name) for name in names)).first()
+    width = len(names)
+    if not row["n"]:
+        return Moments(0, np.zeros(width), np.zeros((width, width)))
+    mean = np.array([row[name] for name in names])
+
+    def add_up(batches):
+        total = np.zeros((width, width))
+        for batch in batches:
+            values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - mean
+            total += values.T @ values
+        places = pa.array(np.arange(width * width, dtype=np.int64))
+        yield pa.RecordBatch.from_arrays([places, pa.array(total.ravel())], names=["place", "part"])
+
+    parts = flat.mapInArrow(add_up, "place long, part double").groupBy("place").agg(F.sum("part").alias("total"))
+    second = np.zeros(width * width)
+    for cell in parts.collect():
+        second[cell["place"]] = cell["total"]
+    return Moments(row["n"], mean, second.reshape(width, width) / row["n"])
+
+
+def solve_linear(moments: Moments, settings: WindowSettings, reg: float = 0.0, elastic: float = 0.0) -> LinearForecast:
+    """The weights with the least ``mean(residual²) / 2 + reg · penalty`` for each label and step.
+
+    The penalty is ``(1 - elastic) · Σ(σw)² / 2 + elastic · Σ|σw|`` over the inputs, σ their deviations.
     """
-    width = settings.input_width
-    inputs = {
-        f"x{i}_{j}": F.get(col(f"in_{c}"), F.lit(j))
-        for i, c in enumerate(settings.feature_columns)
-        for j in range(width)
-    }
-    labels = {
-        (c, j): f"y{i}_{j}"
-        for i, c in enumerate(settings.label_columns)
-        for j in range(settings.label_width)
-    }
-    flat = windows.select(
-        *(value.alias(name) for name, value in inputs.items()),
-        *(F.get(col(f"out_{c}"), F.lit(j)).alias(name) for (c, j), name in labels.items()),
-    ).dropna()
-    table = VectorAssembler(inputCols=list(inputs), outputCol="features").transform(flat)
-    table = table.select("features", *labels.values()).persist(StorageLevel.MEMORY_AND_DISK)
-    weights: dict[str, list] = {c: [] for c in settings.label_columns}
-    try:
-        for (c, _), name in labels.items():
-            regression = LinearRegression(
-                labelCol=name, regParam=reg, elasticNetParam=elastic,
-                solver="normal" if elastic == 0 else "auto",
-            )
-            model = regression.fit(table.select("features", name))
-            weights[c].append((float(model.intercept), [float(w) for w in model.coefficients]))
-    finally:
-        table.unpersist()
+    if not moments.n:
+        raise ValueError("no complete window to learn from")
+    inputs = len(settings.feature_columns) * settings.input_width
+    spread = np.sqrt(np.diag(moments.second)[:inputs])
+    scale = np.where(spread > 0, spread, 1.0)
+    gram = moments.second[:inputs, :inputs] / np.outer(scale, scale)
+    weights: dict[str, list] = {}
+    place = inputs
+    for label in settings.label_columns:
+        weights[label] = []
+        for _ in range(settings.label_width):
+            target = moments.second[:inputs, place] / scale
+            if elastic:
+                scaled = _coordinate_descent(gram, target, reg * (1 - elastic), reg * elastic)
+            else:
+                scaled = np.linalg.lstsq(gram + reg * np.eye(inputs), target, rcond=1e-12)[0]
+            own = np.where(spread > 0, scaled / scale, 0.0)
+            weights[label].append((float(moments.mean[place] - own @ moments.mean[:inputs]), own.tolist()))
+            place += 1
     return LinearForecast(settings, weights)
 
 
+def _coordinate_descent(gram: np.ndarray, target: np.ndarray, ridge: float, lasso: float, rounds: int = 10_000) -> np.ndarray:
+    weights = np.zeros(len(target))
+    for _ in range(rounds):
+        largest = 0.0
+        for j in range(len(weights)):
+            free = target[j] - gram[j] @ weights + gram[j, j] * weights[j]
+            new = np.sign(free) * max(abs(free) - lasso, 0.0) / (gram[j, j] + ridge) if gram[j, j] + ridge > 0 else 0.0
+            largest, weights[j] = max(largest, abs(new - weights[j])), new
+        if largest < 1e-12:
+            break
+    return weights
+
+
+def fit_linear(
+    windows: DataFrame, settings: WindowSettings, reg: float = 0.0, elastic: float = 0.0
+) -> LinearForecast:
+    """One linear regression per label and step over all input values of a window."""
+    return solve_linear(window_moments(windows, settings), settings, reg, elastic)
+
+
 @dataclass(frozen=True)
 class SweepConfig:
     name: str
@@ -134,29 +184,63 @@ def model_sweep(
     validation: DataFrame,
     settings: WindowSettings,
     configs: list[SweepConfig],
-    parallelism: int = 3,
 ) -> DataFrame:
-    """Train all configurations, several at a time, and compare them on the validation windows.
+    """Solve all configurations from one set of moments and compare them on the validation windows.
 
-    The driver threads only submit Spark jobs. A failing configuration is reported, not raised.
+    A failing configuration is reported, not raised.
     """
-    spark = train.sparkSession
+    spark, moments = train.sparkSession, window_moments(train, settings)
 
     def run(config: SweepConfig) -> tuple:
         try:
-            model = fit_linear(train, settings, config.reg, config.elastic)
+            model = solve_linear(moments, settings, config.reg, config.elastic)
             row = regression_metrics(model.predict(validation), "y_true", "y_pred").first()
-            return (config.name, "ok", row["mae"], row["rmse"], None)
+            return (config.name, "ok", row["n"], row["mae"], row["rmse"], None)
         except Exception as error:
-            return (config.name, "failed", None, None, f"{type(error).__name__}: {error}")
+            return (config.name, "failed", None, None, None, f"{type(error).__name__}: {error}")
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        rows = list(pool.map(run, configs))
+    rows = [run(config) for config in configs]
     return spark.createDataFrame(
-        rows, "config string, status string, mae double, rmse double, error string"
+        rows, "config string, status string, n long, mae double, rmse double, error string"
     )
 
 
+def last_inputs(df: DataFrame, settings: WindowSettings, time: str, row_id: str) -> DataFrame:
+    """The input window that ends with the last row, in the form of :func:`make_windows` without labels;
+    ``start_pos`` is 0 and ``last_time`` the time of the last row. Empty if there are too few rows."""
+    used = list(dict.fromkeys(settings.feature_columns))
+    narrow = df.select(col(time).alias("__t"), col(row_id).alias("__id"), *(number(df, c).alias(c) for c in used))
+    tail = narrow.orderBy(F.desc("__t"), F.desc("__id")).limit(settings.input_width)
+    cells = F.array_sort(F.collect_list(F.struct("__t", "__id", *(col(c) for c in used))))
+    gathered = tail.agg(cells.alias("cells")).where(F.size("cells") == settings.input_width)
+    arrays = [F.col("cells").getField(c).alias(f"in_{c}") for c in used]
+    last = F.element_at("cells", -1)["__t"].alias("last_time")
+    return gathered.select(F.lit(0).cast("long").alias("start_pos"), last, *arrays)
+
+
+def interval_micros(df: DataFrame, time: str, row_id: str) -> int:
+    """The sampling interval: the median step between the times of neighbouring rows."""
+    moments = df.select(epoch_micros(df, time).alias("place")).where("place is not null")
+    steps = materialize(steps_in_order(moments.withColumn("x", F.col("place")), "place", "x"))
+    return int(quantiles(steps, {"s": (F.col("step").cast("double"), [0.5])})["s"][0])
+
+
+def forecast_ahead(
+    df: DataFrame, settings: WindowSettings, time: str, row_id: str, predict, interval_seconds: float | None = None
+) -> DataFrame:
+    """``(label, step, time, y_pred)`` for the steps behind the last row of the table.
+
+    ``predict`` turns windows into forecasts (:func:`persistence_forecast` with its settings, or the
+    ``predict`` of a fitted model). Without an interval the table's own is measured.
+    """
+    window = last_inputs(df, settings, time, row_id)
+    micros = interval_micros(df, time, row_id) if interval_seconds is None else int(interval_seconds * 1_000_000)
+    last = F.broadcast(window.select(epoch_micros(window, "last_time").alias("last")))
+    moment = F.col("last") + (F.col("step") + F.lit(settings.shift - settings.label_width)) * F.lit(micros)
+    ahead = predict(window).join(last)  # one row: the end of the table
+    return ahead.select("label", "step", from_epoch_micros(moment, type_of(df, time)).alias(time), "y_pred")
+
+
 def future_timestamps(
     df: DataFrame, time: str, interval_seconds: int, label_width: int, shift: int
 ) -> DataFrame:

@@ -6,9 +6,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.columns import (
-    col, number, numeric_columns, present, text_columns, without_nan,
+    col, number, numeric_columns, present, text_columns, type_of, without_nan,
 )
 from millrace.operators.base import Fitted, Step
 from millrace.plans.counts import modes
@@ -92,7 +93,8 @@ class FillModel(Fitted):
             if s["indicator"]:
                 made[name + INDICATOR] = value.isNull().cast("tinyint")
             if s["fill"] in FILLS[:4] and s["value"] is not None:
-                made[name] = F.coalesce(value, F.lit(s["value"]))
+                fill = F.lit(s["value"])
+                made[name] = F.coalesce(value, fill.cast(type_of(df, name)) if s["fill"] == "mode" else fill)
         return made
 
     def _transform(self, df: DataFrame) -> DataFrame:
@@ -143,7 +145,9 @@ class FillMissing(Step):
         )
         values: dict[str, object] = {c: m[0] for c, m in medians.items()}
         values |= {c: stats[c]["mean"] for c in using("mean", numbers)}
-        values |= modes(df, using("mode", numbers), as_number=True)
+        whole = [c for c in using("mode", numbers) if isinstance(type_of(df, c), T.IntegralType)]
+        values |= {c: None if v is None else int(v) for c, v in modes(df, whole, "decimal(20,0)").items()}
+        values |= modes(df, [c for c in using("mode", numbers) if c not in whole], "double")
         values |= modes(df, using("mode", texts))
         values |= {c: v for c, v in s.constants.items() if filled.get(c) == "constant"}
         return {

@@ -9,9 +9,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import number, numeric_columns
+from millrace.functions.columns import finite, number, numeric_columns
 from millrace.operators.base import Fitted, Step
-from millrace.operators.outliers import OutlierModel, OutlierRule, Outliers, OutlierSettings
+from millrace.operators.outliers import (
+    OutlierModel, OutlierRule, Outliers, OutlierSettings, is_infinite,
+)
 from millrace.plans.quantiles import quantiles
 from millrace.plans.statistics import statistics
 
@@ -50,7 +52,7 @@ class ProfileModel(Fitted):
             else:
                 score = x
                 flag = (x < F.lit(s["lower_bound"])) | (x > F.lit(s["upper_bound"]))
-            judged[name] = (F.coalesce(flag, F.lit(False)), score)
+            judged[name] = (F.coalesce(flag | is_infinite(x), F.lit(False)), score)
         return judged
 
     def row_flag(self, df: DataFrame) -> Column:
@@ -106,7 +108,7 @@ class OutlierProfile(Step):
     def learn(self, df: DataFrame) -> dict[str, dict]:
         method, threshold = self.settings.resolved()
         names = numeric_columns(df) if self.settings.columns is None else self.settings.columns
-        values = {c: number(df, c) for c in names}
+        values = {c: finite(df, c) for c in names}
         stats = statistics(df, values, ["n", "mean", "std_sample", "min", "max"])
         if method == "zscore":
             return {

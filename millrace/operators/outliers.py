@@ -13,10 +13,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.functions.columns import col, number
+from millrace.functions.columns import col, finite, number
 from millrace.operators.base import Fitted, Step
-from millrace.plans.isolation import anomalous_ranges, in_ranges
+from millrace.plans.isolation import TREE_ROWS, TREES, anomalous_ranges, in_ranges
 from millrace.plans.quantiles import quantiles
 from millrace.plans.statistics import statistics
 
@@ -41,6 +42,8 @@ class OutlierRule:
     quantile_range: tuple[float, float] = (10, 90)
     contamination: float = 0.1
     random_state: int = 42
+    trees: int = TREES
+    tree_rows: int = TREE_ROWS
     feature_range_business: tuple[float, float] | None = None
     detect_function: Callable[[Column], Column] | None = None
     handle_function: Callable[[Column, Column, dict], Column] | None = None
@@ -112,6 +115,23 @@ def _shares(rule: OutlierRule) -> list[float]:
     return shares + [0.5]
 
 
+def is_infinite(x: Column) -> Column:
+    """Infinities are learned from by no rule, and outliers by each."""
+    return F.abs(x) == F.lit(float("inf"))
+
+
+def _works(df: DataFrame, rule: OutlierRule, x: Column) -> bool:
+    """Whether the user's detector makes a condition of the column; if not, the column is left alone."""
+    try:
+        kind = df.select(rule.detect_function(x).alias("flag")).schema["flag"].dataType
+    except Exception as error:
+        warnings.warn(f"detector of {rule.column} failed and is skipped: {error}", stacklevel=2)
+        return False
+    if not isinstance(kind, T.BooleanType):
+        warnings.warn(f"detector of {rule.column} gives no condition and is skipped", stacklevel=2)
+    return isinstance(kind, T.BooleanType)
+
+
 class OutlierModel(Fitted):
     """``state[column]["rules"]`` lists what each rule of the column learned."""
 
@@ -137,10 +157,10 @@ class OutlierModel(Fitted):
         elif method == "isolationforest":
             flag = in_ranges(x, learned["ranges"])
         elif method == "custom":
-            flag = rule.detect_function(x)
+            return F.coalesce(rule.detect_function(x), F.lit(False))
         else:
             flag = (x < F.lit(learned["lower_bound"])) | (x > F.lit(learned["upper_bound"]))
-        return F.coalesce(flag, F.lit(False))
+        return F.coalesce(flag | is_infinite(x), F.lit(False))
 
     def flags(self, df: DataFrame) -> dict[str, Column]:
         """Outlier flag per column, by its first rule."""
@@ -241,13 +261,12 @@ class Outliers(Step):
         unknown = sorted({r.column for r in self.settings.rules} - set(df.columns))
         if unknown:
             warnings.warn(f"columns not in the table: {unknown}", stacklevel=2)
-        values = {r.column: number(df, r.column) for r in rules}
+        values = {r.column: finite(df, r.column) for r in rules}
         stats = statistics(df, values, ["n", "mean", "std", "min", "max"])
         wanted: dict[str, list[float]] = {}
         for rule in rules:
-            if rule.method in ("iqr", "robust", "mad") or rule.handle in ("impute", "custom"):
-                known = wanted.setdefault(rule.column, [])
-                known += [s for s in _shares(rule) if s not in known]
+            known = wanted.setdefault(rule.column, [])
+            known += [s for s in _shares(rule) if s not in known]
         found = quantiles(df, {c: (values[c], shares) for c, shares in wanted.items()}, stats)
         at = {c: dict(zip(shares, found[c], strict=True)) for c, shares in wanted.items()}
         spread = self._median_deviations(df, rules, values, stats, at)
@@ -275,6 +294,8 @@ class Outliers(Step):
         needed = {"iqr": 4, "custom": 0, "minmax_business": 0}.get(method, 2)
         if method not in ("custom", "minmax_business") and stats["min"] == stats["max"]:
             learned["detect_method"] = NOTHING
+        elif method == "custom" and not _works(df, rule, number(df, rule.column)):
+            learned["detect_method"] = NOTHING
         elif stats["n"] < needed:
             learned["detect_method"] = NOTHING
         elif method == "zscore":
@@ -301,7 +322,7 @@ class Outliers(Step):
             row_id = col(self.settings.row_id) if self.settings.row_id else None
             learned["contamination"] = rule.contamination
             learned["ranges"] = anomalous_ranges(
-                df, x, stats["n"], rule.contamination, rule.random_state, row_id
+                df, x, stats["n"], rule.contamination, rule.random_state, row_id, rule.trees, rule.tree_rows
             )
         return learned
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.functions.columns import col, kind_of, number, numeric_columns, without_nan
+from millrace.functions.columns import col, epoch_micros, kind_of, number, numeric_columns, without_nan
 from millrace.operators.base import Fitted, Step
 from millrace.plans.quantiles import quantiles
 from millrace.plans.statistics import correlation, statistics
@@ -40,6 +41,48 @@ def describe_table(
     )
 
 
+def describe_columns(df: DataFrame, estimate_distinct: bool = False) -> DataFrame:
+    """Every column of any kind: rows, missing, distinct values, range and mean.
+
+    ``low``, ``high`` and ``mean`` are numbers: of the values themselves, of their length for text, of
+    seconds since 1970 for times, of 0 and 1 for booleans. ``first`` and ``last`` are the smallest and
+    largest value as text. NaN is missing. Nested columns are judged by their JSON text.
+    """
+    numbers, texts = {}, {}
+    for field in df.schema.fields:
+        name, kind = field.name, kind_of(field.dataType)
+        value = without_nan(df, name)
+        if kind == "numeric":
+            numbers[name] = number(df, name)
+        elif kind == "time":
+            numbers[name] = epoch_micros(df, name) / F.lit(1_000_000.0)
+        elif isinstance(field.dataType, T.BooleanType):
+            numbers[name] = value.cast("int").cast("double")
+        else:
+            value = value if isinstance(field.dataType, T.StringType) else F.to_json(value)
+            numbers[name] = F.char_length(value).cast("double")
+        texts[name] = value
+    stats = statistics(df, numbers, ["n", "mean", "min", "max"])
+    ends = df.agg(*(
+        pick(v).cast("string").alias(f"{e}{i}") for i, v in enumerate(texts.values()) for e, pick in (("l", F.min), ("h", F.max))
+    )).first()
+    distinct = F.approx_count_distinct if estimate_distinct else F.count_distinct
+    counts = df.agg(*(distinct(v).alias(f"d{i}") for i, v in enumerate(texts.values()))).first()
+    kinds = {f.name: "boolean" if isinstance(f.dataType, T.BooleanType) else kind_of(f.dataType) for f in df.schema.fields}
+    rows = [
+        (
+            c, kinds[c], stats[c]["n"], stats[c]["rows"] - stats[c]["n"], counts[f"d{i}"], stats[c]["min"], stats[c]["max"],
+            stats[c]["mean"], ends[f"l{i}"], ends[f"h{i}"],
+        )
+        for i, c in enumerate(texts)
+    ]
+    return df.sparkSession.createDataFrame(
+        rows,
+        "column string, kind string, n long, missing long, distinct_values long, low double, high double, mean double, "
+        "first string, last string",
+    )
+
+
 def useless_columns(df: DataFrame) -> list[str]:
     """Columns that are all missing or hold a single value, found by one min/max aggregate."""
     aggregates = []

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import inspect
+import pickle
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
 from pyspark.ml import Estimator, Transformer
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.operators.base import Fitted, state_table
+from millrace.operators.base import Fitted, Unchanged, load_state, save_state, state_table
 from millrace.session import materialize
 
 
@@ -108,5 +111,32 @@ class Prepared:
                 return getattr(fitted, name)
         raise KeyError(f"no step {step!r}; there are {[n for n, _ in self.steps]}")
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write all steps below one folder: settings, learned numbers, and the tables they refer to.
+
+        Settings may hold functions, so they are pickled; load only what you have saved yourself.
+        """
+        rows = []
+        for place, (name, step) in enumerate(self.steps):
+            own = isinstance(step, Fitted) and not isinstance(step, Unchanged)
+            if own:
+                save_state(spark, step, f"{path}/{place}")
+            kept = (type(step), step.settings) if own else step
+            rows.append((place, name, own, bytearray(cloudpickle.dumps(kept))))
+        schema = "place int, name string, fitted boolean, content binary"
+        table = spark.createDataFrame(rows, schema).coalesce(1)
+        table.withColumn("keep_row_changes", F.lit(self.keep_row_changes)).write.mode("overwrite").parquet(f"{path}/steps")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Prepared":
+        """The steps that :meth:`save` wrote; they need nothing but that folder."""
+        steps, keep = [], True
+        for row in spark.read.parquet(f"{path}/steps").orderBy("place").collect():
+            kept, keep = pickle.loads(bytes(row["content"])), row["keep_row_changes"]
+            if row["fitted"]:
+                kept = load_state(spark, *kept, f"{path}/{row['place']}")
+            steps.append((row["name"], kept))
+        return cls(steps, keep)
+
     def fitted_state(self, spark: SparkSession) -> DataFrame:
         return state_table(spark, {n: s for n, s in self.steps if isinstance(s, Fitted)})

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import (
-    TEXT_TYPES, TIME_TYPES, col, epoch_micros, from_epoch_micros, number, present, quoted, type_of,
+    FLOAT_TYPES, TEXT_TYPES, TIME_TYPES, col, epoch_micros, from_epoch_micros, number, present, quoted, type_of,
 )
 from millrace.operators.base import Fitted, Step
+from millrace.plans.order import steps_in_order
+from millrace.plans.quantiles import quantiles
+from millrace.session import materialize
 
 # Strptime directives and the same fields in Spark's date patterns.
 DIRECTIVES = {
@@ -41,7 +44,6 @@ EXCEL_EPOCH_SECONDS = 2_209_161_600  # 1899-12-30 to 1970-01-01
 DAY_SECONDS = 86_400.0
 YEAR_SECONDS = 365.2425 * DAY_SECONDS
 PERIODS = {"Day": DAY_SECONDS, "Month": YEAR_SECONDS / 12, "Year": YEAR_SECONDS}
-PROBE_ROWS = 100
 
 
 def spark_pattern(fmt: str) -> str:
@@ -90,9 +92,11 @@ def detect_time_types(
     """``datetime64``, ``string``, ``unix_timestamp``, ``excel_date`` or ``unknown_numeric`` each.
 
     A numeric column is a time if all its values have 10 or 13 digits (unix), or lie in the range of
-    Excel day numbers (five digits), and the first hundred values in order rise at a regular pace:
-    median absolute deviation of the gaps up to ``regularity`` times their median. Fewer than five
-    values stay undecided. One aggregate serves all columns; the probe is a top-100 per column.
+    Excel day numbers (five digits), and all its values rise at a regular pace along ``order_by``: no
+    step falls, and the median absolute deviation of the steps is up to ``regularity`` times their median.
+    Without ``order_by`` the values are taken in their own order, so that only the pace is judged. Fewer
+    than five values stay undecided. One aggregate serves all columns; a column with the right digits is
+    then ordered once, in buckets.
     """
     kinds, numeric = {}, []
     for name in columns:
@@ -131,20 +135,17 @@ def detect_time_types(
 
 
 def _rises_regularly(df: DataFrame, name: str, order_by: str | None, regularity: float) -> bool:
+    if order_by and isinstance(type_of(df, order_by), FLOAT_TYPES):
+        raise ValueError("order_by must be a time or a whole number")
     order = col(order_by) if order_by else number(df, name)
-    probe = df.where(number(df, name).isNotNull()).orderBy(order).limit(PROBE_ROWS)
-    values = [r["x"] for r in probe.select(number(df, name).alias("x")).collect()]
-    gaps = sorted(b - a for a, b in zip(values, values[1:], strict=False))
-    if not gaps or gaps[0] < 0:
+    rows = df.select(order.alias("place"), number(df, name).alias("x")).where("x is not null")
+    steps = materialize(steps_in_order(rows, "place", "x"))
+    falls = steps.agg(F.min("step").alias("least")).first()["least"]
+    if falls is None or falls < 0:
         return False
-    middle = _median(gaps)
-    spread = _median(sorted(abs(g - middle) for g in gaps))
-    return middle > 0 and spread / middle <= regularity
-
-
-def _median(ordered: list[float]) -> float:
-    half = len(ordered) // 2
-    return ordered[half] if len(ordered) % 2 else (ordered[half - 1] + ordered[half]) / 2
+    middle = quantiles(steps, {"m": (F.col("step"), [0.5])})["m"][0]
+    away = F.abs(F.col("step") - F.lit(middle))
+    return middle > 0 and quantiles(steps, {"m": (away, [0.5])})["m"][0] / middle <= regularity
 
 
 def find_time_column(df: DataFrame, order_by: str | None = None) -> str | None:

@@ -1,7 +1,9 @@
 """Isolation forest on one column.
 
 An isolation forest is defined on small subsamples (256 values per tree), so the trees grow on the
-driver from a bounded, reproducible sample. Over one column the mean path length is a step function
+driver. Their values are chosen from all rows by a hash of the row key: the rows with the smallest
+hashes, dealt out to the trees in that order, so that no tree shares a row with another. Where the
+table has fewer rows than that, every tree draws from all of them. Over one column the mean path length is a step function
 of the value: scoring all rows is a lookup of the value's step, one aggregate counts the rows per
 step, and the steps above the cut-off merge into a short list of value ranges. Rows are flagged by
 comparing with those ranges, which is a plain column expression.
@@ -16,7 +18,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_ROWS = 20_000
+from millrace.functions.columns import col
+
 TREE_ROWS = 256
 TREES = 100
 EULER_GAMMA = 0.5772156649015329
@@ -49,11 +52,18 @@ def _grow(values: np.ndarray, rng: np.random.Generator) -> list[tuple[float, flo
     return steps
 
 
-def anomaly_steps(sample: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def anomaly_steps(
+    pool: np.ndarray, seed: int, count: int = TREES, tree_rows: int = TREE_ROWS
+) -> tuple[np.ndarray, np.ndarray]:
     """Left edges and anomaly scores (0…1, high is anomalous) of the forest's step function."""
     rng = np.random.default_rng(seed)
-    size = min(TREE_ROWS, len(sample))
-    trees = [_grow(rng.choice(sample, size, replace=False), rng) for _ in range(TREES)]
+    size = min(tree_rows, len(pool))
+    if len(pool) >= count * tree_rows:
+        parts = [pool[i * tree_rows : (i + 1) * tree_rows] for i in range(count)]
+    else:
+        ordered = np.sort(pool)
+        parts = [rng.choice(ordered, size, replace=False) for _ in range(count)]
+    trees = [_grow(part, rng) for part in parts]
     edges = np.unique(np.array([e for tree in trees for e, _ in tree]))
     total = np.zeros(len(edges))
     for tree in trees:
@@ -63,21 +73,21 @@ def anomaly_steps(sample: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray
     return edges, 2.0 ** (-(total / len(trees)) / average_path(size))
 
 
-def draw_sample(df: DataFrame, value: Column, rows: int, seed: int, row_id: Column | None) -> np.ndarray:
-    """At most ``SAMPLE_ROWS`` values, chosen by a hash of the row id where there is one."""
-    share = min(1.0, 2.0 * SAMPLE_ROWS / max(1, rows))
-    present = df.select(value.alias("x"), *([row_id.alias("id")] if row_id is not None else []))
-    present = present.where(F.col("x").isNotNull())
-    if row_id is None:
-        drawn = present if share == 1.0 else present.sample(share, seed)
-        picked = drawn.limit(SAMPLE_ROWS)
-    else:
-        place = F.xxhash64(F.col("id"), F.lit(seed)).bitwiseAND(F.lit(LARGEST_HASH - 1))
-        keyed = present.withColumn("place", place)
-        if share < 1.0:
-            keyed = keyed.where(F.col("place") < F.lit(int(share * LARGEST_HASH)))
-        picked = keyed.orderBy("place", "id").limit(SAMPLE_ROWS)
-    return np.sort(np.array([r["x"] for r in picked.select("x").collect()], dtype=float))
+def draw_pool(
+    df: DataFrame, value: Column, rows: int, seed: int, row_id: Column | None, wanted: int
+) -> np.ndarray:
+    """The values of the ``wanted`` rows with the smallest hashes, in the order of the hashes.
+
+    The hash is taken over the row id, or over the whole row where there is none.
+    """
+    keys = [row_id] if row_id is not None else [col(c) for c in df.columns]
+    place = F.xxhash64(*keys, F.lit(seed)).bitwiseAND(F.lit(LARGEST_HASH - 1))
+    keyed = df.select(value.alias("x"), place.alias("place")).where(F.col("x").isNotNull())
+    share = 2.0 * wanted / max(1, rows)
+    if share < 1.0:  # twice the rows that are wanted are left to sort
+        keyed = keyed.where(F.col("place") < F.lit(int(share * LARGEST_HASH)))
+    picked = keyed.orderBy("place", "x").limit(wanted).collect()
+    return np.array([r["x"] for r in picked], dtype=float)
 
 
 def anomalous_ranges(
@@ -87,13 +97,15 @@ def anomalous_ranges(
     contamination: float,
     seed: int,
     row_id: Column | None = None,
+    trees: int = TREES,
+    tree_rows: int = TREE_ROWS,
 ) -> list[list[float | None]]:
     """Value ranges ``[from, to)`` whose score lies above the ``1 - contamination`` quantile of all
     rows; ``None`` marks an open end."""
-    sample = draw_sample(df, value, rows, seed, row_id)
-    if len(sample) < 2 or sample[0] == sample[-1]:
+    pool = draw_pool(df, value, rows, seed, row_id, trees * tree_rows)
+    if len(pool) < 2 or pool.min() == pool.max():
         return []
-    edges, scores = anomaly_steps(sample, seed)
+    edges, scores = anomaly_steps(pool, seed, trees, tree_rows)
     keyed = df.select(value.alias("x")).where(F.col("x").isNotNull())
     steps = Bucketizer(splits=[*edges.tolist(), float("inf")], inputCol="x", outputCol="step")
     counted = steps.transform(keyed).groupBy("step").count().collect()

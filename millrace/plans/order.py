@@ -4,11 +4,14 @@ The order is ascending ``(time, row_id)``; ``row_id`` must be unique. ``order_bu
 contiguous buckets of about equal size at approximate quantiles of the time. An instant that holds
 more than a bucket's share of the rows (a default timestamp, say) becomes buckets of its own, cut by
 ``row_id``. Everything a later step needs from other buckets is one number per bucket, and the
-number of buckets is limited by ``MAX_BUCKETS``, so it is summed on the driver and broadcast back.
+number of buckets is limited by ``MAX_BUCKETS``, so it is summed on the driver and broadcast back. Cuts are doubles, which
+only coarsens them: times that share a double share a bucket, and where they are too many their exact
+instants are told apart as BIGINT. Missing times come first of all.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from dataclasses import dataclass
 
@@ -24,7 +27,8 @@ ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 8192
 CUT_SAMPLE = 500_000
 BUCKET = "__bucket"
-EARLIEST = -(2**53)  # place of a missing time: before every other, as in an ascending Spark sort
+# Stands for a missing time where one number is needed: before every time that Spark can write.
+EARLIEST = -(2**60)
 
 
 def _cuts(df: DataFrame, key: Column, buckets: int, rows: int) -> list[float]:
@@ -62,30 +66,47 @@ def bucket_count(df: DataFrame, rows: int) -> int:
 
 def order_buckets(df: DataFrame, time: str, row_id: str, buckets: int | None = None) -> DataFrame:
     """Add ``__bucket``, a BIGINT that never decreases along ``(time, row_id)``."""
-    key = F.coalesce(epoch_micros(df, time), F.lit(EARLIEST))
-    rows = df.count()
+    key = epoch_micros(df, time)
+    sizes = df.agg(F.count(F.lit(1)).alias("rows"), F.count(key).alias("timed")).first()
+    rows, missing = sizes["rows"], sizes["rows"] - sizes["timed"]
     buckets = buckets or bucket_count(df, rows)
-    cuts = _cuts(df, key, buckets, rows)
-    hot = {int(cut): times for cut, times in Counter(cuts).items() if times > 1}
-    keyed = _bucketize(df, key, [*cuts, *hot, *(h + 1 for h in hot)], "__time_bucket")
-    bucket = F.col("__time_bucket").cast("long") * (MAX_BUCKETS + 1)
-    if not hot:
-        return keyed.withColumn(BUCKET, bucket).drop("__time_bucket")
-
-    # An instant met by t cuts holds about t buckets of rows: give it t + 1 pieces. The cuts of
-    # row_id are taken over the rows of all such instants and merged down to that number.
-    id_cuts = _cuts(df.where(key.isin(list(hot))), col(row_id), buckets, rows)
+    cuts = _cuts(df.where(key.isNotNull()), key, buckets, rows)
+    share = max(1.0, rows / max(1, buckets))
+    hot = sorted(cut for cut, times in Counter(cuts).items() if times > 1)
+    edges = [*cuts, *hot, *(math.nextafter(h, math.inf) for h in hot)]
+    coarse = F.when(key.isNull(), F.lit(-1.0)).otherwise(F.col("__time_bucket")).cast("long")
+    start = F.coalesce(key.cast("double"), F.lit(float("-inf")))
+    keyed = _bucketize(df, start, edges, "__time_bucket")
+
+    # The rows of one double, instant by instant: each instant gets pieces by its number of rows.
+    shared = key.isNull() if missing > share else F.lit(False)
+    if hot:
+        shared = shared | key.cast("double").isin(hot)
+    found = []
+    if hot or missing > share:
+        found = df.where(shared).groupBy(key.alias("instant")).count().collect()
+    pieces, taken = [], Counter()
+    for row in sorted(found, key=lambda r: (r["instant"] is not None, r["instant"])):
+        instant, place = row["instant"], None if row["instant"] is None else float(row["instant"])
+        n = math.ceil(row["count"] / share)
+        pieces.append((EARLIEST if instant is None else instant, taken[place], n))
+        taken[place] += n
+    step = 1 + max(taken.values(), default=0)
+    if not pieces:
+        return keyed.withColumn(BUCKET, coarse * step).drop("__time_bucket")
+
+    id_cuts = _cuts(df.where(shared), col(row_id), buckets, sum(r["count"] for r in found))
     fine = len(set(id_cuts)) + 1
-    pieces = df.sparkSession.createDataFrame(
-        [(instant, times + 1) for instant, times in hot.items()], "__instant long, __pieces long"
-    )
-    keyed = keyed.withColumn("__instant", key).join(F.broadcast(pieces), "__instant", "left")
+    table = df.sparkSession.createDataFrame(pieces, "__instant long, __offset long, __pieces long")
+    keyed = keyed.withColumn("__instant", F.coalesce(key, F.lit(EARLIEST)))
+    keyed = keyed.join(F.broadcast(table), "__instant", "left")
     keyed = _bucketize(
         keyed, F.when(F.col("__pieces").isNotNull(), col(row_id)), id_cuts, "__id_bucket"
     )
     piece = F.floor(F.col("__id_bucket") * F.col("__pieces") / F.lit(fine)).cast("long")
-    helpers = ["__time_bucket", "__id_bucket", "__instant", "__pieces"]
-    return keyed.withColumn(BUCKET, bucket + F.coalesce(piece, F.lit(0))).drop(*helpers)
+    within = F.coalesce(F.col("__offset") + piece, F.lit(0))
+    helpers = ["__time_bucket", "__id_bucket", "__instant", "__offset", "__pieces"]
+    return keyed.withColumn(BUCKET, coarse * step + within).drop(*helpers)
 
 
 def _with_lookup(df: DataFrame, rows: list[tuple], schema: T.StructType) -> DataFrame:
@@ -160,6 +181,20 @@ def carry_fill(
     return _with_lookup(keyed, rows, schema).withColumns(filled).drop(*helpers)
 
 
+def steps_in_order(df: DataFrame, order: str, value: str, buckets: int | None = None) -> DataFrame:
+    """``step``: each value minus the one before it, in the global order ``(order, value)``."""
+    keyed = order_buckets(df, order, value, buckets)
+    place = F.struct(col(order), col(value))
+    ends = keyed.groupBy(BUCKET).agg(F.max_by(col(value), place).alias("last")).collect()
+    lasts = {r[BUCKET]: r["last"] for r in ends}
+    places = sorted(lasts)
+    before_bucket = [(b, lasts[a]) for a, b in zip(places, places[1:], strict=False)]
+    schema = T.StructType([T.StructField(BUCKET, T.LongType()), T.StructField("__before", type_of(df, value))])
+    in_order = Window.partitionBy(BUCKET).orderBy(col(order), col(value))
+    step = col(value) - F.coalesce(F.lag(col(value)).over(in_order), F.col("__before"))
+    return _with_lookup(keyed, before_bucket, schema).select(step.alias("step")).where("step is not null")
+
+
 @dataclass(frozen=True)
 class OrderKey:
     """The ``(time, row_id)`` of one row; ``time`` in microseconds or as plain BIGINT."""

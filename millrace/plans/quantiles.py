@@ -13,6 +13,7 @@ separates the smallest from the largest value, so the search always ends.
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 SMALL = 200_000
 CELLS = 1024
+LARGEST = sys.float_info.max
 
 
 @dataclass
@@ -41,18 +43,28 @@ class _Target:
 def _cell(intervals: list[tuple]) -> Column:
     """Cell number of ``x`` inside interval ``i``; never decreasing in ``x``."""
 
-    def bound(place: int) -> Column:
-        return F.get(F.array(*(F.lit(interval[place]) for interval in intervals)), F.col("i"))
+    def bound(place: int, within=lambda value: value) -> Column:
+        return F.get(F.array(*(F.lit(within(interval[place])) for interval in intervals)), F.col("i"))
 
     x, low, high, log = F.col("x"), bound(1), bound(2), bound(3)
+    lowest, highest = low, high
     if all(isinstance(interval[1], int) for interval in intervals):
         share = (x - low).cast("double") / (high - low).cast("double")
     else:
+        # Steps run between finite ends; the infinities have the outermost cells to themselves.
+        low, high = bound(1, _finite), bound(2, _finite)
         share = (x * 0.5 - low * 0.5) / (high * 0.5 - low * 0.5)
     if any(interval[3] for interval in intervals):
         share = F.when(log & (low > 0), F.ln(x / low) / F.ln(high / low)).otherwise(share)
     inner = F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), F.floor(share * CELLS)))
-    return F.when(x <= low, 0).when(x >= high, CELLS - 1).otherwise(inner).cast("int")
+    inner = F.when(lowest < low, F.greatest(F.lit(1), inner)).otherwise(inner)
+    inner = F.when(highest > high, F.least(F.lit(CELLS - 2), inner)).otherwise(inner)
+    return F.when(x <= lowest, 0).when(x >= highest, CELLS - 1).otherwise(inner).cast("int")
+
+
+def _finite(value):
+    """The value, infinities as the outermost finite numbers."""
+    return max(-LARGEST, min(LARGEST, value)) if isinstance(value, float) else value
 
 
 def _histograms(df: DataFrame, values: dict[str, Column], intervals: list[tuple]) -> dict:
@@ -180,6 +192,7 @@ def quantiles(
         result[key] = []
         for share in shares:
             spot = share * (bounds[key]["n"] - 1)
-            low, high = at[math.floor(spot)], at[math.ceil(spot)]
-            result[key].append(low + (high - low) * (spot - math.floor(spot)))
+            low, high, part = at[math.floor(spot)], at[math.ceil(spot)], spot - math.floor(spot)
+            # The weighted sum of ``percentile``, so that both ways agree, infinities included.
+            result[key].append(low if part == 0 or low == high else low * (1 - part) + high * part)
     return result

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,10 +46,29 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_scopes: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder of the shared one for all that is materialized meanwhile; it goes away at the end.
+
+    Tables read from it must not be used afterwards: write or collect them inside.
+    """
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    _scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(folder)
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write the table once to the shared folder and read it back: later passes prune and push down
     into it, and a lost executor re-reads files instead of replaying the whole lineage."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}.parquet"
+    path = f"{_scopes[-1] if _scopes else shared_folder(spark)}/{uuid.uuid4().hex}.parquet"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

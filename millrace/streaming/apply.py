@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import col
+from millrace.functions.columns import col, without_nan
 from millrace.operators.base import Fitted
 from millrace.operators.sampling import AGGREGATIONS, frequency_seconds
 
@@ -30,6 +30,6 @@ def resample_stream(
     return (
         stream.withWatermark(time, late)
         .groupBy(F.window(col(time), f"{seconds} seconds").alias("__window"))
-        .agg(*(AGGREGATIONS[a](col(c)).alias(c) for c, a in aggregation.items()))
+        .agg(*(AGGREGATIONS[a](without_nan(stream, c)).alias(c) for c, a in aggregation.items()))
         .select(F.col("__window.start").alias(time), *(col(c) for c in aggregation))
     )

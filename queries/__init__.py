@@ -1,7 +1,7 @@
 """Registered queries: each runs one operator over the whole given tables, most with equivalent SQL."""
 
 from queries import (  # noqa: F401
-    categories, cleaning, evaluation, features, forecasting, handling, outliers, rows, scaling,
+    categories, cleaning, evaluation, features, forecasting, handling, hardening, outliers, rows, scaling,
     stages,
 )
 from queries.registry import ORACLES, QUERIES  # noqa: F401

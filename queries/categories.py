@@ -220,8 +220,8 @@ MODES = """(SELECT event_type FROM dirty WHERE event_type IS NOT NULL GROUP BY 1
 @query(
     "fill_mode",
     f"""WITH {DIRTY} SELECT event_id, coalesce(event_type, {MODES}) AS event_type,
-          coalesce(user_id::DOUBLE, (SELECT user_id FROM dirty WHERE user_id IS NOT NULL GROUP BY 1
-                                     ORDER BY count(*) DESC, 1 LIMIT 1)::DOUBLE) AS user_id
+          coalesce(user_id, (SELECT user_id FROM dirty WHERE user_id IS NOT NULL GROUP BY 1
+                             ORDER BY count(*) DESC, 1 LIMIT 1)) AS user_id
         FROM dirty""",
 )
 def _(spark, sf_dir):

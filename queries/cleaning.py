@@ -14,7 +14,7 @@ from millrace.operators.casting import (
 from millrace.operators.dedup import duplicate_rows
 from millrace.operators.outlier_profile import OutlierProfile, ProfileSettings
 from millrace.operators.outliers import OutlierRule, Outliers, OutlierSettings
-from millrace.operators.profiling import column_types_table, describe_table, drop_useless_columns
+from millrace.operators.profiling import column_types_table, describe_columns, describe_table, drop_useless_columns
 from millrace.operators.scaling import Scale
 from millrace.session import shared_folder
 from millrace.sources.tables import SideOutput, load_tables, require_valid
@@ -100,6 +100,31 @@ def _(spark, sf_dir):
     return profile.withColumns({c: F.round(c, 4) for c in doubles})
 
 
+def _column_sql(name: str, kind: str, value: str) -> str:
+    return f"""SELECT '{name}' AS "column", '{kind}' AS kind, count({name}) AS n, count(*) - count({name}) AS missing,
+        count(DISTINCT {name}) AS distinct_values, round(min({value})::DOUBLE, 4) AS low, round(max({value})::DOUBLE, 4) AS high,
+        round(avg({value}), 4) AS mean, {"NULL" if kind == "numeric" else f"min({name})::VARCHAR"} AS first,
+        {"NULL" if kind == "numeric" else f"max({name})::VARCHAR"} AS last FROM kinds"""
+
+
+@query(
+    "describe_columns",
+    "WITH kinds AS (SELECT *, o_totalprice > 100000 AS dear FROM orders) " + " UNION ALL ".join((
+        _column_sql("o_orderkey", "numeric", "o_orderkey"), _column_sql("o_totalprice", "numeric", "o_totalprice"),
+        _column_sql("o_orderdate", "time", "epoch(o_orderdate)"), _column_sql("o_orderpriority", "categorical", "length(o_orderpriority)"),
+        _column_sql("o_orderstatus", "categorical", "length(o_orderstatus)"), _column_sql("dear", "boolean", "dear::INT"),
+    )),
+)
+def _(spark, sf_dir):
+    """Numbers, times, texts and booleans; the text form of numbers is left out."""
+    names = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus"]
+    orders = table(spark, sf_dir, "orders").select(*names, (F.col("o_totalprice") > 100_000).alias("dear"))
+    profile = describe_columns(orders)
+    doubles = {c: F.round(c, 4) for c in ("low", "high", "mean")}
+    shown = {c: F.when(F.col("kind") != "numeric", F.col(c)) for c in ("first", "last")}
+    return profile.withColumns(doubles | shown)
+
+
 @query("drop_useless_columns", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def _(spark, sf_dir):
     events = table(spark, sf_dir, "events").drop("props")

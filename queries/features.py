@@ -48,18 +48,54 @@ def _time_spellings(spark, sf_dir):
     )
 
 
+NUMERIC_TIMES = """numeric_times AS (
+  SELECT event_id, 1700000000 + event_id * 600 AS seconds, (1700000000 + event_id * 600) * 1000 AS millis,
+         45000 + event_id / 1000.0::DOUBLE AS excel, 1700000000 + (event_id * 7919 % 1000003) * 600 AS shuffled,
+         CASE WHEN event_id < (SELECT max(event_id) // 4 FROM events) THEN 1700000000 + event_id * 600
+              ELSE 1900000000 + (event_id * 7919 % 100003) * 60 END AS late_random,
+         epoch_us(ts) // 1000000 AS arrival, user_id FROM events)"""
+
+
+def _numeric_times(spark, sf_dir):
+    """Regular, shuffled, partly random and irregular numbers that look like times."""
+    key, micros = F.col("event_id"), F.unix_micros(F.col("ts").cast("timestamp"))
+    events = table(spark, sf_dir, "events")
+    last = events.agg(F.expr("max(event_id) div 4").alias("early"))
+    regular = F.lit(1_700_000_000) + key * 600
+    late = F.lit(1_900_000_000) + F.pmod(key * 7919, F.lit(100_003)) * 60
+    return events.join(F.broadcast(last)).select(
+        "event_id",
+        regular.alias("seconds"),
+        (regular * 1000).alias("millis"),
+        (F.lit(45_000) + key / 1000.0).alias("excel"),
+        (F.lit(1_700_000_000) + F.pmod(key * 7919, F.lit(1_000_003)) * 600).alias("shuffled"),
+        F.when(key < F.col("early"), regular).otherwise(late).alias("late_random"),
+        F.floor(micros / 1_000_000).alias("arrival"),
+        "user_id",
+    )
+
+
+def _kind_sql(name: str) -> str:
+    """Digits, rise and pace of one column, from all its values."""
+    return f"""(
+  WITH v AS (SELECT {name}::DOUBLE AS x, {name}::DOUBLE - lag({name}::DOUBLE) OVER (ORDER BY event_id, {name}) AS d FROM numeric_times),
+       m AS (SELECT count(*) AS n, min(x) AS lo, max(x) AS hi, min(d) AS least, median(d) AS mid, bool_and(x = floor(x)) AS whole FROM v),
+       s AS (SELECT median(abs(d - mid)) AS away FROM v, m)
+  SELECT '{name}' AS "column", CASE WHEN least < 0 OR mid <= 0 OR away / mid > 0.5 THEN 'unknown_numeric'
+         WHEN whole AND (lo >= 1e9 AND hi < 1e10 OR lo >= 1e12 AND hi < 1e13) THEN 'unix_timestamp'
+         WHEN lo >= 10000 AND hi < 100000 THEN 'excel_date' ELSE 'unknown_numeric' END AS kind, n FROM m, s)"""
+
+
+NUMERIC_NAMES = ("arrival", "excel", "late_random", "millis", "seconds", "shuffled", "user_id")
+
+
 @query(
     "detect_time_type",
-    """SELECT k.name AS "column", k.kind, count(*) AS n FROM events,
-         (VALUES ('eu_text', 'string'), ('excel', 'excel_date'), ('millis', 'unix_timestamp'),
-                 ('seconds', 'unix_timestamp'), ('stamp', 'datetime64'), ('us_text', 'string'),
-                 ('user_id', 'unknown_numeric'), ('value', 'unknown_numeric')) AS k(name, kind)
-       GROUP BY 1, 2""",
+    f"WITH {NUMERIC_TIMES} SELECT * FROM ({' UNION ALL '.join(map(_kind_sql, NUMERIC_NAMES))})",
 )
 def _(spark, sf_dir):
-    spelt = _time_spellings(spark, sf_dir).drop("event_id")
-    # Arrival gaps are irregular here, so the spacing test is set to accept them.
-    kinds = detect_time_types(spelt, sorted(spelt.columns), regularity=2.0)
+    spelt = _numeric_times(spark, sf_dir)
+    kinds = detect_time_types(spelt, list(NUMERIC_NAMES), order_by="event_id")
     cells = [F.struct(F.lit(c).alias("column"), F.lit(k).alias("kind")) for c, k in kinds.items()]
     counted = spelt.agg(F.count(F.lit(1)).alias("n"))
     return counted.select(F.inline(F.array(*cells)), "n")

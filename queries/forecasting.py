@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators.evaluation import regression_metrics
 from millrace.operators.forecast import (
-    SweepConfig, fit_linear, future_timestamps, model_sweep, persistence_forecast, seasonal_forecast,
+    SweepConfig, fit_linear, forecast_ahead, future_timestamps, model_sweep, persistence_forecast,
+    seasonal_forecast,
 )
+from millrace.operators.missing import FillMissing, FillSettings
 from millrace.operators.sampling import TimeResample
 from millrace.operators.scaling import Scale, ScaleSettings
+from millrace.operators.splitting import Ratios, TimeSplit
 from millrace.operators.windows import WindowSettings, label_matrix, make_windows
 from millrace.session import materialize
 from millrace.sources.tables import to_result_frame
@@ -79,35 +83,115 @@ def _(spark, sf_dir):
     return _long(seasonal_forecast(_windows(spark, sf_dir), SETTINGS, period=24))
 
 
-def _regression_sql(step: int) -> str:
-    """Least squares has a property SQL can state: the mean forecast is the mean of the label."""
-    return f"""SELECT 'value' AS label, {step} AS step, count(*) AS n, round(avg(v{24 + step}), 6) AS mean_true,
-        round(avg(v{24 + step}), 6) AS mean_pred FROM w"""
+INPUTS = [*(f"v{i}" for i in range(6)), *(f"u{i}" for i in range(6))]
+
+
+def _residual_sql(step: int, place: int) -> str:
+    """Least squares leaves residuals that no input explains: their inner product with each is 0."""
+    return f"""SELECT 'value' AS label, {step} AS step, {place} AS input, count(*) AS n,
+        round(sqrt(avg({INPUTS[place]}::DOUBLE ** 2)), 6) AS norm, 0.0::DOUBLE AS mean_residual, 0.0::DOUBLE AS explained FROM w"""
 
 
 @query(
     "forecast_baseline",
-    f"WITH {AHEAD} {' UNION ALL '.join(_regression_sql(i) for i in range(1, 6))}",
+    f"WITH {AHEAD} " + " UNION ALL ".join(_residual_sql(s, p) for s in range(1, 6) for p in range(12)),
 )
 def _(spark, sf_dir):
     windows = materialize(_windows(spark, sf_dir))
     predicted = fit_linear(windows, SETTINGS).predict(windows)
-    return predicted.groupBy("label", "step").agg(
+    inputs = windows.select("start_pos", F.posexplode(F.concat("in_value", "in_user_id")).alias("input", "x"))
+    residual = F.col("y_pred") - F.col("y_true")
+    size = F.sqrt(F.avg(F.col("x") ** 2)) * F.sqrt(F.avg(F.col("y_true") ** 2))
+    judged = predicted.join(inputs, "start_pos").groupBy("label", "step", "input").agg(
         F.count("y_pred").alias("n"),
-        r6(F.avg("y_true")).alias("mean_true"),
-        r6(F.avg("y_pred")).alias("mean_pred"),
+        r6(F.sqrt(F.avg(F.col("x") ** 2))).alias("norm"),
+        F.abs(r6(F.avg(residual))).alias("mean_residual"),
+        F.abs(r6(F.avg(residual * F.col("x")) / size)).alias("explained"),
     )
+    return judged
+
 
+SINGLE = WindowSettings(("value",), ("value",), input_width=1, label_width=1, shift=1)
+SWEEP = f"""WITH pair AS (
+  SELECT value AS x, lead(value) {OVER} AS y, row_number() {OVER} - 1 AS pos, count(*) OVER () - 1 AS n FROM events),
+cut AS (SELECT *, n * 7 // 10 AS edge FROM pair WHERE pos < n),
+known AS (SELECT avg(x) AS mx, avg(y) AS my, var_pop(x) AS vx, covar_pop(x, y) AS c FROM cut WHERE pos < edge - 2),
+slope(config, w) AS (
+  SELECT 'plain', c / vx FROM known UNION ALL SELECT 'ridge', c / (vx * 1.5) FROM known
+  UNION ALL SELECT 'lasso', sign(c) * greatest(abs(c) / sqrt(vx) - 0.1, 0) / sqrt(vx) FROM known),
+judged AS (SELECT config, my + w * (x - mx) - y AS gap FROM cut, known, slope WHERE pos >= edge)
+SELECT config, count(*) AS n, round(avg(abs(gap)), 6) AS mae, round(sqrt(avg(gap * gap)), 6) AS rmse FROM judged GROUP BY config"""
 
-@query("model_sweep")
+
+@query("model_sweep", SWEEP)
 def _(spark, sf_dir):
-    windows = materialize(_windows(spark, sf_dir))
+    """One input, where the three penalties have closed forms."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    windows = materialize(make_windows(events, SINGLE, "ts", "event_id"))
     cut = windows.count() * 7 // 10
     # Windows that reach past the cut are in neither part, so no label is seen in training.
-    train = windows.where(F.col("start_pos") < cut - SETTINGS.total)
+    train = windows.where(F.col("start_pos") < cut - SINGLE.total)
     validation = windows.where(F.col("start_pos") >= cut)
-    configs = [SweepConfig("plain"), SweepConfig("ridge", 1.0), SweepConfig("lasso", 0.1, 1.0)]
-    return model_sweep(train, validation, SETTINGS, configs)
+    configs = [SweepConfig("plain"), SweepConfig("ridge", 0.5), SweepConfig("lasso", 0.1, 1.0)]
+    found = model_sweep(train, validation, SINGLE, configs)
+    return found.select("config", "n", r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"))
+
+
+HOURLY = WindowSettings(label_columns=("value", "users"), feature_columns=("value", "users"))
+GRID = """hours AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS ts, avg(value) AS value, avg(user_id) AS users FROM events GROUP BY 1)"""
+
+
+def _hourly(spark, sf_dir):
+    """The events as a regular series of hours, hours without events included."""
+    events = table(spark, sf_dir, "events").select("ts", "value", F.col("user_id").cast("double").alias("users"))
+    grid = TimeResample("ts", "1H", keep_empty=True).apply(events)
+    return grid.withColumn("hour", F.unix_seconds(F.col("ts").cast("timestamp")))
+
+
+@query(
+    "forecast_ahead",
+    f"""WITH {GRID}, tail AS (SELECT * FROM hours ORDER BY ts DESC LIMIT 1)
+        SELECT label, step::INT AS step, ts + to_hours((19 + step)::INT) AS ts,
+               round(CASE label WHEN 'value' THEN value ELSE users END, 6) AS y_pred
+        FROM tail, generate_series(1, 5) AS g(step), (VALUES ('value'), ('users')) AS l(label)""",
+)
+def _(spark, sf_dir):
+    """Behind the last row: two labels, the interval measured on the series."""
+    ahead = forecast_ahead(_hourly(spark, sf_dir), HOURLY, "ts", "hour", lambda w: persistence_forecast(w, HOURLY))
+    return ahead.withColumn("y_pred", r6(F.col("y_pred")))
+
+
+def _run_sql(label: str, step: int) -> str:
+    return f"""SELECT '{label}' AS label, {step} AS step, count(y) AS n, round(avg(abs(x - y)), 6) AS mae FROM (
+      SELECT {label} AS x, lead({label}, {19 + step}) OVER (ORDER BY pos) AS y, lead({label}, 24) OVER (ORDER BY pos) AS e, pos, low, n FROM test)
+      WHERE pos >= low + 5 AND pos + 24 < n"""
+
+
+@query(
+    "weather_run",
+    f"""WITH {GRID}, span AS (SELECT unnest(generate_series((SELECT min(ts) FROM hours), (SELECT max(ts) FROM hours), INTERVAL '1 hour')) AS ts),
+        whole AS (SELECT s.ts, last_value(h.value IGNORE NULLS) OVER o AS value, last_value(h.users IGNORE NULLS) OVER o AS users,
+                         row_number() OVER (ORDER BY s.ts) - 1 AS pos, count(*) OVER () AS n
+                  FROM span s LEFT JOIN hours h ON s.ts = h.ts WINDOW o AS (ORDER BY s.ts)),
+        cut AS (SELECT *, floor(n * 0.6 + 0.5) + floor(n * 0.2 + 0.5) AS low FROM whole),
+        test AS (SELECT * FROM cut WHERE pos >= low)
+        {" UNION ALL ".join(_run_sql(label, step) for label in ("value", "users") for step in range(1, 6))}""",
+)
+def _(spark, sf_dir):
+    """The whole run: resample, fill, split, scale by the training part, window, forecast, unscale, judge."""
+    ready = FillMissing(FillSettings(rules={"value": "ffill", "users": "ffill"}, time="ts", row_id="hour"))
+    series = materialize(ready.fit_transform(_hourly(spark, sf_dir)))
+    split = TimeSplit(Ratios(0.6, 0.2, 0.2)).apply(series, "ts", "hour")
+    train, test = (split.where(F.col("split") == part).drop("split") for part in ("train", "test"))
+    standard = ScaleSettings.from_dict({"transformers": [{"standard": {"columns": ["value", "users"]}}]}, only_listed=True)
+    scaler = Scale(standard).fit(train)
+    windows = make_windows(scaler.transform(test), HOURLY, "ts", "hour")
+    judged = []
+    for label in HOURLY.label_columns:
+        own = persistence_forecast(windows, HOURLY).where(F.col("label") == label)
+        back = scaler.inverse(own, {"y_pred": label, "y_true": label})
+        judged.append(regression_metrics(back, "y_true", "y_pred", ["label", "step"]))
+    return judged[0].unionByName(judged[1]).select("label", "step", "n", r6(F.col("mae")).alias("mae"))
 
 
 @query(

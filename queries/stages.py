@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from millrace.operators.outliers import OutlierRule, Outliers, OutlierSettings
 from millrace.operators.sampling import SystematicSample
 from millrace.operators.scaling import Scale, ScaleSettings
 from millrace.operators.splitting import TimeSplit
-from millrace.operators.stages import Preparation, RowStep, Stage
+from millrace.operators.stages import Preparation, Prepared, RowStep, Stage
 from millrace.operators.timefeatures import TimeFeatures, TimeFeatureSettings
+from millrace.session import scratch, shared_folder
 from queries.registry import DIRTY, dirty_events, query, r6
 
 
@@ -93,8 +95,12 @@ FITTED_SQL = " UNION ALL ".join(
 
 @query("fitted_state", f"{PREPARED} {FITTED_SQL}")
 def _(spark, sf_dir):
-    """Every fitted number of the run above; names of methods and formats are left out."""
-    state = _preparation().fit(_input(spark, sf_dir)).fitted_state(spark)
+    """Every fitted number of the run above, saved, read back after the scratch folder is gone, and applied;
+    names of methods and formats are left out."""
+    saved = f"{shared_folder(spark)}/prepared-{uuid.uuid4().hex}"
+    with scratch(spark):
+        _preparation().fit(_input(spark, sf_dir)).save(spark, saved)
+    state = Prepared.load(spark, saved).fitted_state(spark)
     number = r6(F.expr("try_cast(value as double)"))
     return state.select("step", "column", "name", number.alias("number")).where("number is not null")
 
