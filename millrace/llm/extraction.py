@@ -195,6 +195,8 @@ class Page:
         if tag == "br":
             self.pieces.append(" ")
         if not self.counts.get(tag):
+            if tag == "p":  # stands for an empty paragraph
+                self.flush()
             return
         if tag in INLINE:  # an inline end tag doesn't reach out of its block
             for element in reversed(self.open):

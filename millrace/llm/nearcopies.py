@@ -108,7 +108,7 @@ def print_column(df: DataFrame, text: str, width: int):
 
 def bits_of(numbers: np.ndarray) -> np.ndarray:
     """The bits of rows of numbers."""
-    return np.unpackbits(np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1), axis=1, bitorder="little")
+    return np.unpackbits(np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), 8 * numbers.shape[1]), axis=1, bitorder="little")
 
 
 def angle_share(jaccard: float) -> float:

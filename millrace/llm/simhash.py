@@ -150,7 +150,9 @@ def allocate(costs: list[list[float]], total: int) -> tuple[float, list[int]]:
 
 def plan(bits: np.ndarray, distinct: int, distance: int = DISTANCE) -> list[Partition]:
     """The partitions and thresholds of the least estimated cost for this many distinct fingerprints."""
-    options = []
+    if not len(bits):
+        bits = np.zeros((1, BITS), np.uint8)
+    options, distinct = [], max(1, distinct)
     for count in range(1, distance + 3):
         groups = correlated_groups(bits, count)
         costs = []

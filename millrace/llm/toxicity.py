@@ -48,7 +48,7 @@ SECOND_PERSON = frozenset(
 SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "*": ""})
 
 WORD = re.compile(r"[^\W\d_]+")
-DISGUISED = re.compile(r"(?<![\w@$*!])[^\W\d_]+(?:[0-9@$*!]+[^\W\d_]+)+(?![\w@$*!])|\b[^\W\d_](?:[.\-_ ][^\W\d_]){3,}\b")
+DISGUISED = re.compile(r"(?<![\w@$*!])[0-9@$*!]{0,2}[^\W\d_]+(?:[0-9@$*!]+[^\W\d_]+)+(?![\w@$*!])|\b[^\W\d_](?:[.\-_ ][^\W\d_]){3,}\b")
 PUNCTUATION = re.compile(r"[^\w\s]")
 SHOUT = re.compile(r"[!?]")
 #: Lengths of the word starts in the lexicon.

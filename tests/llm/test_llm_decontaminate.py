@@ -62,11 +62,11 @@ def tables(spark):
     random.seed(8)
     vocabulary = [f"w{i}" for i in range(400)] + ["the", "of", "and"] * 40
     make = lambda n: [random.choice(vocabulary) for _ in range(n)]
-    items = [(i, " ".join(make(random.randint(15, 50)))) for i in range(30)]
+    items = [(i, " ".join(make(random.randint(15, 50)))) for i in range(12)]
     items += [(30, items[3][1]), (30, items[4][1]), (31, None), (32, ""), (33, "one two"), (None, items[5][1]), (34, items[6][1].upper())]
     docs = []
-    for k in range(120):
-        text, item = make(random.randint(0, 150)), random.choice(items[:30])[1].split()
+    for k in range(60):
+        text, item = make(random.randint(0, 80)), random.choice(items[:12])[1].split()
         if k % 3:
             part = list(item)
             if k % 2:
@@ -87,7 +87,7 @@ def tables(spark):
 def test_pairs_match_brute_force(tables):
     documents, benchmark, docs, items = tables
     rows = dc.overlaps(documents, benchmark).collect()
-    assert {(r["doc_id"], r["item_id"]) for r in rows} == brute(docs[:-6], items) | brute(docs[-5:], items) | {(502, 0)}
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == brute(docs[:62] + docs[63:], items) | {(502, 0)}
     text = {}
     for d, t in docs:
         text.setdefault(d, words_of(t))
@@ -110,7 +110,7 @@ def test_a_full_bit_table_changes_nothing(tables, monkeypatch):
 
 def test_only_clean_rows_stay(tables):
     documents, benchmark, docs, items = tables
-    bad = {d for d, _ in brute(docs, items)}
+    bad = {d for d, _ in brute(docs[:62] + docs[63:], items)} | {502}
     kept = dc.decontaminate(documents, benchmark)
     assert kept.columns == documents.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(d) for d, _ in docs if d not in bad)

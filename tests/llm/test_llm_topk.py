@@ -45,14 +45,14 @@ def rows_of(kind):
 
 
 @pytest.mark.parametrize("kind", ["mixed", "ties", "large", "few"])
-@pytest.mark.parametrize("bins, query_rows", [(512, 1024), (4, 3)])
+@pytest.mark.parametrize("bins, query_rows", [(512, 1024), (32, 7)])
 def test_matches_brute_force(spark, monkeypatch, kind, bins, query_rows):
-    if bins == 4:
+    if bins == 32:
         monkeypatch.setattr(topk, "BINS", bins)
         monkeypatch.setattr(topk, "ENOUGH", 1)
     rows = rows_of(kind)
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).repartition(3)
-    found = topk.top_k(df, F.col("vec_id") % 50 == 0, k=5, query_rows=max(query_rows, 7 if kind == "mixed" else 1))
+    found = topk.top_k(df, F.col("vec_id") % 50 == 0, k=5, query_rows=query_rows)
     assert found.columns == ["query_id", "rank", "vec_id", "score"]
     assert sorted(map(tuple, found.collect())) == brute(rows, 5)
 
