@@ -47,7 +47,7 @@ IN_LETTER, IN_NUMBER, IN_OTHER, IN_WHITE, JOINED, ONE_LEFT, TWO_LEFT, ENDED = ra
 STATES = 8
 BLOCK = 256
 #: Pieces kept by one worker; beyond it the cache starts anew, which changes no result.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 200_000
 #: Pieces up to this many bytes are merged side by side.
 SHORT_PIECE = 32
 NO_RANK = 1 << 40
@@ -310,7 +310,7 @@ def offsets_of(lengths: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     before = np.cumsum(lengths) - lengths
     firsts = np.cumsum(per_text) - per_text
     base = np.append(before, 0)[np.minimum(firsts, len(before))]
-    return (before - np.repeat(base, per_text)).astype(np.int64)
+    return (before - np.repeat(base, per_text)).astype(np.int32)
 
 
 class ByteBpe:
@@ -328,7 +328,7 @@ class ByteBpe:
         schema = with_fields(
             df,
             T.StructField(ids, T.ArrayType(T.IntegerType(), False), False),
-            T.StructField(offsets, T.ArrayType(T.LongType(), False), False),
+            T.StructField(offsets, T.ArrayType(T.IntegerType(), False), False),
         )
         shared, arrow = self._shared(df), to_arrow_schema(schema)
 

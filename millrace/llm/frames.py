@@ -14,13 +14,16 @@ from pyspark.sql import types as T
 
 #: Bytes of text that one pass of array code works on; bounds the memory of a task.
 CHUNK_BYTES = 2 << 20
+#: Rows that a Python worker gets at once, at most.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
 
 
 def ready_workers(spark: SparkSession) -> None:
-    """Let the Python workers of a local session find this package where the driver found it.
-
-    On a cluster the package is shipped with ``--py-files``.
+    """Let the Python workers of a local session find this package where the driver found it (on a cluster
+    the package is shipped with ``--py-files``), and keep the batches they get small: rows hold whole texts.
     """
+    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if spark.sparkContext.master.startswith("local") and root not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(p for p in (root, env.get("PYTHONPATH", "")) if p)

@@ -123,18 +123,18 @@ def op4_url_filters(spark, sf_dir):
 
 def token_digests(documents: DataFrame, coder: bpe.ByteBpe) -> DataFrame:
     """Per document: its ids, how many there are, and digests of the ids and of the bytes they stand for."""
-    coded = coder.decode(coder.encode(documents.select("doc_id", "text")).drop("text"))
+    coded = coder.decode(coder.encode(documents.select("doc_id", "text")).select("doc_id", "ids"))
     written = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written.cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), "ids", "offsets",
+        F.sha2("decoded", 256).alias("decoded_sha256"), "ids",
     )
 
 
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark, sf_dir):
     coder = bpe.ByteBpe(bpe.path_of(RANK_FILE))
-    return token_digests(table(spark, sf_dir, "documents"), coder).drop("ids", "offsets")
+    return token_digests(table(spark, sf_dir, "documents"), coder).drop("ids")
 
 
 OP6 = """
