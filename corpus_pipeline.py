@@ -35,7 +35,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the bytes they decode to."""
-    return queries.token_digests(docs, bpe.ByteBpe(bpe.path_of(queries.RANK_FILE))).drop("offsets")
+    return queries.token_digests(docs, bpe.ByteBpe(bpe.path_of(queries.RANK_FILE)))
 
 
 STAGES: list[tuple[str, Stage]] = [
