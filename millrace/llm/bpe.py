@@ -47,7 +47,7 @@ IN_LETTER, IN_NUMBER, IN_OTHER, IN_WHITE, JOINED, ONE_LEFT, TWO_LEFT, ENDED = ra
 STATES = 8
 BLOCK = 256
 #: Pieces kept by one worker; beyond it the cache starts anew, which changes no result.
-CACHED_PIECES = 200_000
+CACHED_PIECES = 150_000
 #: Pieces up to this many bytes are merged side by side.
 SHORT_PIECE = 32
 NO_RANK = 1 << 40
@@ -284,6 +284,18 @@ class Coder:
         return self.content[ragged(self.start[ids], self.length[ids])]
 
 
+    def decode_lists(self, ids: np.ndarray, offsets: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The bytes of each list of ids, as one binary value; the last token tells how long it is."""
+        last = np.cumsum(counts) - 1
+        sizes = np.where(counts > 0, offsets[last] + self.length[ids[last]], 0) if len(ids) else np.zeros(len(counts), np.int64)
+        ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+        content = self.decode(ids)
+        if len(content) != ends[-1]:
+            raise ValueError("offsets and tokens disagree")
+        buffers = [None, pa.py_buffer(ends), pa.py_buffer(content)]
+        return pa.Array.from_buffers(pa.binary(), len(counts), buffers)
+
+
 @lru_cache(maxsize=4)
 def coder(content: bytes) -> Coder:
     return Coder(content)
@@ -323,13 +335,17 @@ class ByteBpe:
         ready_workers(df.sparkSession)
         return df.sparkSession.sparkContext.broadcast(self.content)
 
-    def encode(self, df: DataFrame, text: str = "text", ids: str = "ids", offsets: str = "offsets") -> DataFrame:
-        """Add the token ids of a text and the byte offset at which each token starts."""
-        schema = with_fields(
-            df,
+    def encode(self, df: DataFrame, text: str = "text", ids: str = "ids", offsets: str = "offsets",
+               decoded: str | None = None) -> DataFrame:
+        """Add the token ids of a text and the byte offset at which each token starts; if a name is given,
+        also the bytes that the ids decode to, each token's put at its offset."""
+        fields = [
             T.StructField(ids, T.ArrayType(T.IntegerType(), False), False),
             T.StructField(offsets, T.ArrayType(T.IntegerType(), False), False),
-        )
+        ]
+        if decoded:
+            fields.append(T.StructField(decoded, T.BinaryType(), False))
+        schema = with_fields(df, *fields)
         shared, arrow = self._shared(df), to_arrow_schema(schema)
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,7 +354,10 @@ class ByteBpe:
                 for chunk in text_chunks(batch, text):
                     found, counts = encode_texts(own, text_of(chunk, text))
                     starts = offsets_of(own.length[found], counts)
-                    yield extended(chunk, arrow, {ids: lists(found, counts), offsets: lists(starts, counts)})
+                    new = {ids: lists(found, counts), offsets: lists(starts, counts)}
+                    if decoded:
+                        new[decoded] = own.decode_lists(found, starts, counts)
+                    yield extended(chunk, arrow, new)
 
         return df.mapInArrow(work, schema)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one pass of array code works on; bounds the memory of a task.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 #: Rows that a Python worker gets at once, at most.
 BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
 

@@ -123,7 +123,7 @@ def op4_url_filters(spark, sf_dir):
 
 def token_digests(documents: DataFrame, coder: bpe.ByteBpe) -> DataFrame:
     """Per document: its ids, how many there are, and digests of the ids and of the bytes they stand for."""
-    coded = coder.decode(coder.encode(documents.select("doc_id", "text")).select("doc_id", "ids"))
+    coded = coder.encode(documents.select("doc_id", "text"), decoded="decoded")
     written = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written.cast("binary"), 256).alias("ids_sha256"),

@@ -62,7 +62,7 @@ NEAR = 5
 #: Labelled rows that learning looks at, at most.
 SAMPLE_ROWS = 20_000
 #: Words whose weight one worker remembers; beyond it the memory starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 TREES, DEPTH, SEED = 12, 3, 7
 N_FEATURES = 14
 

@@ -70,6 +70,14 @@ def test_frames_round_trip(spark, coder):
         assert row["offsets"] == [0, *ends][: len(row["ids"])]
 
 
+def test_decoding_in_the_same_pass(spark, coder):
+    texts = [None, "", "héllo wörld", "", "😀", " \n "]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = coder.encode(df, decoded="back").orderBy("doc_id").collect()
+    assert [bytes(r["back"]).decode() for r in rows] == [t or "" for t in texts]
+    assert coder.encode(df.limit(0), decoded="back").collect() == []
+
+
 def test_empty_table_and_null_ids(spark, coder):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert coder.decode(coder.encode(empty)).collect() == []
