@@ -64,15 +64,12 @@ def evaluate(captures: DataFrame, entries: DataFrame, key: str = "page_id", url:
     seconds = slice_days * 86_400
     slice_of = lambda t: F.floor(F.unix_seconds(t) / F.lit(seconds))
     once = captures.groupBy(col(key).alias("key"), col(url).alias("url"), col(time).alias("time")).agg(F.count("*").alias("captures"))
-    last = once.agg(F.max("time").alias("last"))
+    last = once.agg(F.max(F.unix_seconds("time")).alias("last")).first()["last"] or 0
     active = intervals(entries)
     few = active.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    end = F.least(F.coalesce(F.col("valid_to"), F.col("last")), F.col("last"))
-    sliced = (
-        active.join(F.broadcast(last)).where(F.col("valid_from") <= F.col("last"))  # one row: the last capture
-        .withColumn("slice", F.explode(F.sequence(slice_of(F.col("valid_from")), F.greatest(slice_of(F.col("valid_from")), slice_of(end)))))
-        .select("pattern", "category", "valid_from", "valid_to", "slice")
-    )
+    first = slice_of(F.col("valid_from"))
+    end = F.least(F.coalesce(slice_of(F.col("valid_to")), F.lit(last // seconds)), F.lit(last // seconds))
+    sliced = active.where(first <= last // seconds).withColumn("slice", F.explode(F.sequence(first, F.greatest(first, end))))
     asked = once.select("key", "url", "time", "captures", F.explode_outer(covering_patterns(F.col("url"))).alias("asked")).withColumn(
         "asked_slice", slice_of(F.col("time")))
     meets = (
