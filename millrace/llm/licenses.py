@@ -1,7 +1,8 @@
 """License scans with built-in functions only: Dice coefficient over the word bigrams of normalised text.
 
 Units are the lines of a text and the whole text. A unit is lower-cased, everything but letters and digits
-becomes a blank, and its different word bigrams are compared with those of licence templates. A coefficient
+becomes a blank, and its different word bigrams (64-bit hashes of two words) are compared with those of
+licence templates. A coefficient
 of ``t`` needs sizes within a factor of ``(2 - t) / t``, so a unit whose size fits no template goes no further,
 and a bigram meets only templates whose bounds hold the size of its unit. Bigrams meet templates by an
 equi-join with the template table, which is a fixed list (or one of checked size); common bigrams are counted
@@ -72,22 +73,31 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 )
 
 
-def normalised(text: Column) -> Column:
-    """Lower case, and one blank for every run of anything but letters and digits."""
-    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
-def bigrams(normal: Column) -> Column:
-    """The different pairs of neighbouring words of a normalised text."""
-    words = F.split(normal, " ")
-    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    return F.array_distinct(F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+def bigrams(unit: Column) -> Column:
+    """Hashes of the different pairs of neighbouring words of a unit whose words stand between blanks."""
+    def pairs(words: Column) -> Column:
+        n = F.greatest(F.size(words) - 1, F.lit(0))
+        return F.array_distinct(F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.xxhash64(a, b)))
+
+    return bound(F.filter(F.split(unit, " "), lambda w: w != ""), pairs)
+
+
+def unit_bigrams(text: Column) -> Column:
+    """The bigrams of the whole text, then those of each line; the text is normalised once."""
+    normal = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
+    units = bound(normal, lambda t: F.concat(F.array(F.replace(t, F.lit("\n"), F.lit(" "))), F.split(t, "\n")))
+    return F.transform(units, bigrams)
 
 
 def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     """``license``, the size of a template, and one row for each of its bigrams."""
     rows = spark.createDataFrame(list(templates), "license string, template string")
-    sized = rows.select("license", bigrams(normalised(F.col("template"))).alias("bigrams"))
+    sized = rows.select("license", unit_bigrams(F.col("template"))[0].alias("bigrams"))
     return sized.select("license", F.size("bigrams").alias("template_size"), F.explode("bigrams").alias("bigram"))
 
 
@@ -107,20 +117,13 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates: Data
     sizes = [r["template_size"] for r in table.select("template_size").distinct().collect()]
     few = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     most = bounds(similarity)
+    # a generator computes its rows once; a projection would be repeated in the filter on it
     units = df.where(col(text).isNotNull()).select(
-        col(key).alias("id"), F.xxhash64(col(text)).alias("text_hash"),
-        F.posexplode(F.concat(F.array(col(text)), F.split(col(text), "\n"))).alias("line", "unit"),
-    )
-    normal = units.select("id", "text_hash", "line", normalised(F.col("unit")).alias("normal"))
-    # a unit has at most one bigram less than words, and at least the square root of that many different ones is
-    # no useful bound: the number of words prunes from below, the number of different bigrams from both sides
-    words = F.length("normal") - F.length(F.replace(F.col("normal"), F.lit(" "))) + 1
-    possible = normal.where(words - 1 >= min(sizes, default=1) / most)
-    size = F.size("bigrams")
-    fits = F.lit(False)
+        col(key).alias("id"), F.xxhash64(col(text)).alias("text_hash"), F.posexplode(unit_bigrams(col(text))).alias("line", "bigrams"))
+    size, fits = F.size("bigrams"), F.lit(False)
     for low, high in merged_ranges(sizes, most):
         fits = fits | size.between(low, high)
-    sized = possible.select("id", "text_hash", "line", bigrams(F.col("normal")).alias("bigrams")).where(fits)
+    sized = units.where(fits)
     each = sized.select("id", "text_hash", "line", size.alias("unit_size"), F.explode("bigrams").alias("bigram"))
     t = table.withColumnRenamed("bigram", "template_bigram")
     meets = (
