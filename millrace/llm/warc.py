@@ -8,7 +8,8 @@ headers are kept and those that a 304 may update replace them; headers that desc
 Defined results: a revisit without an earlier full response is ``no_original``; one whose validators differ is
 ``mismatch``, one without common validators ``unverified``, all others ``resolved``. Only resolved revisits get
 merged headers. Null headers are no headers. Captures without a time are ``no_original``. Repeated revisits
-are repeated; among full responses of one url and instant the one of the largest id counts.
+are repeated; among full responses of one url and instant the one of the largest id counts (and among equal
+ids the one of the largest header list).
 """
 
 from __future__ import annotations
@@ -76,13 +77,13 @@ def resolve(captures: DataFrame, key: str = "page_id", url: str = "url", time: s
         lower_names(col(headers)).alias("headers"))
     originals = named.where((F.col("status") == full) & F.col("id").isNotNull())
     revisits = named.where(F.col("status") == not_modified)
-    found = latest_earlier(originals.select("key", "time", F.col("id").alias("value")), revisits)
-    found = found.select(F.col("key").alias("of_key"), F.col("time").alias("of_time"), F.col("found").alias("refers_to"))
-    referred = revisits.join(found, F.col("key").eqNullSafe(F.col("of_key")) & (F.col("time") == F.col("of_time")), "left")
-    # maps can't be grouped; the largest header list of an id stands for it
-    stored = originals.groupBy(F.col("id").alias("stored_id")).agg(
-        F.max(F.array_sort(F.map_entries("headers"))).alias("stored"))
-    both = referred.join(stored, F.col("refers_to") == F.col("stored_id"), "left").withColumn("stored", F.map_from_entries("stored"))
+    # the headers travel with the event, so that no later join by record has a hot or a missing key
+    record = F.struct("id", F.array_sort(F.map_entries("headers")).alias("headers"))
+    found = latest_earlier(originals.select("key", "time", record.alias("value")), revisits)
+    found = found.select(
+        F.col("key").alias("of_key"), F.col("time").alias("of_time"), F.col("found.id").alias("refers_to"),
+        F.map_from_entries("found.headers").alias("stored"))
+    both = revisits.join(found, F.col("key").eqNullSafe(F.col("of_key")) & (F.col("time") == F.col("of_time")), "left")
     agree = agreement(F.col("stored"), F.col("headers"))
     state = (
         F.when(F.col("refers_to").isNull(), "no_original").when(agree.isNull(), "unverified")
