@@ -69,19 +69,24 @@ class CategorySettings:
             raise ValueError("similarity_threshold must lie between 0 and 1")
 
 
-def shares(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(column, value, n, total)`` for every distinct category, combined before the shuffle."""
-    counts = value_counts(df, columns)
+def shares(df: DataFrame, columns: list[str], counts: DataFrame | None = None) -> DataFrame:
+    """``(column, value, n, total)`` for every distinct category, combined before the shuffle.
+
+    ``counts`` are the value counts of the columns, where they have been taken already.
+    """
+    counts = value_counts(df, columns) if counts is None else counts
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
     return counts.join(F.broadcast(totals), "column")
 
 
-def frequent_categories(df: DataFrame, columns: list[str], threshold: float) -> dict[str, list[tuple]]:
+def frequent_categories(
+    df: DataFrame, columns: list[str], threshold: float, counts: DataFrame | None = None
+) -> dict[str, list[tuple]]:
     """Categories holding at least ``threshold`` of their column, most frequent first.
 
     There cannot be more than 1 / threshold of them per column, which bounds the driver list.
     """
-    rows = shares(df, columns).where(F.col("n") >= F.lit(threshold) * F.col("total")).collect()
+    rows = shares(df, columns, counts).where(F.col("n") >= F.lit(threshold) * F.col("total")).collect()
     found: dict[str, list[tuple]] = {c: [] for c in columns}
     for row in sorted(rows, key=lambda r: (-r["n"], r["value"])):
         found[row["column"]].append((row["value"], row["n"]))
@@ -120,15 +125,15 @@ def closest_spelling(value: Column, n: Column, known: list[tuple], threshold: fl
     return F.array_max(fitting)
 
 
-def category_typos(df: DataFrame, settings: CategorySettings) -> DataFrame:
+def category_typos(df: DataFrame, settings: CategorySettings, counts: DataFrame | None = None) -> DataFrame:
     """``(column, wrong, correct, similarity)`` for spellings close to a more frequent category.
 
     The right spelling is a category that is not rare, so every distinct value is compared with a
     list of at most 1 / rare_threshold entries and no pairs of values are formed.
     """
     names = present(df, settings.columns)
-    known = frequent_categories(df, names, settings.rare_threshold)
-    counts = value_counts(df, names)
+    counts = materialize(value_counts(df, names)) if counts is None else counts
+    known = frequent_categories(df, names, settings.rare_threshold, counts)
     best = F.lit(None)
     for name in names:
         if known[name]:
@@ -182,13 +187,14 @@ class Categories(Step):
 
 
 def category_report(df: DataFrame, settings: CategorySettings) -> DataFrame:
-    """Per column: categories, rare ones, typos, most frequent and its share."""
+    """Per column: categories, rare ones, typos, most frequent and its share. The columns are counted once."""
     names = present(df, settings.columns)
-    typos = category_typos(df, settings).groupBy("column").agg(F.count(F.lit(1)).alias("typos"))
+    counts = materialize(value_counts(df, names))
+    typos = category_typos(df, settings, counts).groupBy("column").agg(F.count(F.lit(1)).alias("typos"))
     best = F.min(F.struct((-F.col("n")).alias("order"), F.col("value"))).alias("best")
     rare = F.count_if(F.col("n") < F.lit(settings.rare_threshold) * F.col("total"))
     summary = (
-        shares(df, names)
+        shares(df, names, counts)
         .groupBy("column")
         .agg(
             F.count(F.lit(1)).alias("categories"),

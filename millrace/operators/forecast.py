@@ -130,6 +130,8 @@ def solve_linear(moments: Moments, settings: WindowSettings, reg: float = 0.0, e
 
     The penalty is ``(1 - elastic) · Σ(σw)² / 2 + elastic · Σ|σw|`` over the inputs, σ their deviations.
     """
+    if reg < 0 or not 0 <= elastic <= 1:
+        raise ValueError("regParam must not be negative, and elasticNetParam must lie between 0 and 1")
     if not moments.n:
         raise ValueError("no complete window to learn from")
     inputs = len(settings.feature_columns) * settings.input_width

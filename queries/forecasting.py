@@ -73,16 +73,6 @@ def _(spark, sf_dir):
     return _long(persistence_forecast(_windows(spark, sf_dir), SETTINGS))
 
 
-@query(
-    "forecast_same_hour",
-    f"""WITH {AHEAD} SELECT start_pos, 'value' AS label, step, round({TRUE}, 6) AS y_true,
-          round(CASE step WHEN 1 THEN v1 WHEN 2 THEN v2 WHEN 3 THEN v3 WHEN 4 THEN v4 ELSE v5 END, 6) AS y_pred
-        FROM w, {STEPS}""",
-)
-def _(spark, sf_dir):
-    return _long(seasonal_forecast(_windows(spark, sf_dir), SETTINGS, period=24))
-
-
 INPUTS = [*(f"v{i}" for i in range(6)), *(f"u{i}" for i in range(6))]
 
 
@@ -205,12 +195,29 @@ def _(spark, sf_dir):
 
 @query(
     "to_result_frame",
-    f"""WITH {AHEAD} SELECT start_time, round(v5, 6) AS forecast FROM w""",
+    f"""WITH {GRID}, tail AS (SELECT * FROM hours ORDER BY ts DESC LIMIT 1)
+        SELECT ts + to_hours((19 + step)::INT) AS ts, round(value, 6) AS value, round(users, 6) AS users
+        FROM tail, generate_series(1, 5) AS g(step)""",
+)
+def _(spark, sf_dir):
+    """Forecasts of both labels beside the times they are for."""
+    ahead = forecast_ahead(_hourly(spark, sf_dir), HOURLY, "ts", "hour", lambda w: persistence_forecast(w, HOURLY), 3600)
+    wide = ahead.groupBy("ts").pivot("label", list(HOURLY.label_columns)).agg(F.first("y_pred"))
+    return to_result_frame(wide.select("ts", *(r6(F.col(c)).alias(c) for c in HOURLY.label_columns)), "ts", ["value", "users"], view="forecasts")
+
+
+@query(
+    "forecast_same_hour",
+    f"""WITH {GRID}, span AS (SELECT unnest(generate_series((SELECT min(ts) FROM hours), (SELECT max(ts) FROM hours), INTERVAL '1 hour')) AS ts),
+        whole AS (SELECT s.ts, h.value, h.users, row_number() OVER (ORDER BY s.ts) - 1 AS start_pos, count(*) OVER () AS n
+                  FROM span s LEFT JOIN hours h ON s.ts = h.ts),
+        {", ".join(f"l{k} AS (SELECT start_pos, n, lead(value, {24 + k}) OVER o AS tv, lead(value, {k}) OVER o AS pv, lead(users, {24 + k}) OVER o AS tu, lead(users, {k}) OVER o AS pu FROM whole WINDOW o AS (ORDER BY start_pos))" for k in range(1, 6))}
+        {" UNION ALL ".join(f"SELECT start_pos, '{label}' AS label, {k} AS step, round(t{label[0]}, 6) AS y_true, round(p{label[0]}, 6) AS y_pred FROM l{k} WHERE start_pos + 29 < n" for label in ("value", "users") for k in range(1, 6))}""",
 )
 def _(spark, sf_dir):
-    last = r6(F.get("in_value", F.lit(5))).alias("forecast")
-    forecasts = _windows(spark, sf_dir).select("start_time", last)
-    return to_result_frame(forecasts, "start_time", ["forecast"], view="forecasts")
+    """The same hour a day before, on the regular series."""
+    windows = make_windows(_hourly(spark, sf_dir), HOURLY, "ts", "hour")
+    return _long(seasonal_forecast(windows, HOURLY, period=24))
 
 
 @query(

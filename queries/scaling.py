@@ -155,12 +155,14 @@ def _(spark, sf_dir):
 
 @query(
     "scaling_report",
-    """SELECT "column", method, scaled FROM (VALUES
-         ('l_extendedprice', 'standard', true), ('l_discount', 'minmax', true),
-         ('l_quantity', 'robust', true), ('l_tax', 'standard', true), ('l_orderkey', 'user_skip', false),
-         ('l_linenumber', 'user_skip', false), ('is_outlier_q', 'flag_skip', false),
-         ('*', '4 of 7 scaled', true)) AS t("column", method, scaled)
-       WHERE (SELECT count(*) FROM lineitem) > 0""",
+    f"""WITH judged AS (
+          SELECT * FROM (VALUES ('l_extendedprice', 'standard'), ('l_discount', 'minmax'), ('l_quantity', 'robust'),
+                                ('l_orderkey', 'user_skip'), ('l_linenumber', 'user_skip')) AS listed("column", method)
+          UNION ALL SELECT c, CASE WHEN odd THEN 'robust' ELSE 'standard' END FROM ({SHAPE.format(c="l_tax", t="lineitem")})
+          UNION ALL SELECT 'is_outlier_q', CASE WHEN count(DISTINCT (l_quantity > 25)::INT) <= 2 THEN 'flag_skip' ELSE 'standard' END FROM lineitem),
+        known AS (SELECT "column", method, method IN ('standard', 'minmax', 'robust') AS scaled FROM judged)
+        SELECT * FROM known
+        UNION ALL SELECT '*', sum(scaled::INT)::BIGINT || ' of ' || count(*) || ' scaled', sum(scaled::INT) > 0 FROM known""",
 )
 def _(spark, sf_dir):
     return _mixed(spark, sf_dir)[1].report(spark)

@@ -3,6 +3,7 @@
 import datetime
 import math
 from functools import partial
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,12 +13,16 @@ from millrace.operators.base import Apply, load_state, save_state
 from millrace.operators.casting import (
     CastNumeric, CastNumericSettings, Sentinel, cast_categorical, fix_sentinels,
 )
-from millrace.operators.categories import Categories, CategorySettings, Encode, EncodeSettings, null_tokens
+from millrace.operators.categories import (
+    Categories, CategorySettings, Encode, EncodeModel, EncodeSettings, null_tokens,
+)
 from millrace.operators.dedup import RemoveDuplicates, dedup_rows
 from millrace.operators.evaluation import (
     binary_metrics, classification_report, multiclass_metrics, predicted_class, regression_metrics,
 )
-from millrace.operators.forecast import SweepConfig, fit_linear, future_timestamps, model_sweep
+from millrace.operators.forecast import (
+    SweepConfig, fit_linear, forecast_ahead, future_timestamps, model_sweep, persistence_forecast,
+)
 from millrace.operators.missing import FillMissing, FillSettings
 from millrace.operators.outliers import OutlierRule, Outliers, OutlierSettings
 from millrace.operators.profiling import DropUseless
@@ -25,13 +30,14 @@ from millrace.operators.sampling import SystematicSample
 from millrace.operators.scaling import Scale, ScaleModel, Scaler, ScaleSettings, scaling_stats
 from millrace.operators.selection import SelectByCorrelation, SelectSettings
 from millrace.operators.splitting import Ratios, TimeSplit
-from millrace.operators.stages import Preparation, RowStep, Stage
+from millrace.operators.stages import Preparation, Prepared, RowStep, Stage
 from millrace.operators.timefeatures import (
     TimeFeatures, TimeFeatureSettings, detect_time_format, detect_time_types, find_time_column,
     parse_success_rate, spark_pattern, wind_vector,
 )
 from millrace.operators.windows import WindowSettings, label_matrix, make_windows
 from millrace.plans.order import with_position
+from millrace.session import scratch
 from millrace.sources.tables import SideOutput, load_tables
 from millrace.streaming.apply import apply_fitted, resample_stream
 
@@ -462,3 +468,62 @@ def test_a_whole_weather_run(spark, tmp_path):
     restored = prepared.attribute("Scale", "inverse")(forecast.where("label = 'T'"), {"y_pred": "T", "y_true": "T"})
     found = regression_metrics(restored, "y_true", "y_pred", ["label", "step"]).collect()
     assert len(found) == 5 and all(r["mae"] < 30 for r in found)
+
+
+def test_a_saved_encoder_outlives_its_scratch_folder(spark, sf_dir, tmp_path):
+    settings = EncodeSettings(("c_name",), driver_limit=10)
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name")
+    with scratch(spark) as folder:
+        model = Encode(settings).fit(customers)
+        before = sorted(map(tuple, model.transform(customers).collect()))
+        save_state(spark, model, str(tmp_path / "encoder"))
+    assert not Path(folder.removeprefix("file:")).exists()
+    again = load_state(spark, EncodeModel, settings, str(tmp_path / "encoder"))
+    assert sorted(map(tuple, again.transform(customers).collect())) == before
+
+
+def test_a_saved_preparation_is_complete(spark, tmp_path):
+    rows = [(i, START + datetime.timedelta(hours=i), None if i % 5 == 0 else float(i % 7), f"c{i % 30}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, x double, c string")
+    fill = FillMissing(FillSettings({"x": "median"}))
+    stages = [Stage((fill, Encode(EncodeSettings(("c",), driver_limit=5)))), Stage((RowStep("half", lambda d: d.where("id % 2 = 0")),), True)]
+    with scratch(spark):
+        prepared, ready = Preparation(stages).fit_transform(df)
+        before = sorted(map(tuple, ready.collect()))
+        prepared.save(spark, str(tmp_path / "all"))
+    with scratch(spark):
+        assert sorted(map(tuple, Prepared.load(spark, str(tmp_path / "all")).transform(df).collect())) == before
+
+
+def test_linear_models_match_closed_forms(spark):
+    rng = np.random.default_rng(5)
+    series = np.cumsum(rng.normal(size=300))
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(series)], "id long, x double")
+    one = WindowSettings(("x",), ("x",), input_width=1, label_width=1, shift=1)
+    windows = make_windows(df, one, "id", "id")
+    x, y = series[:-1], series[1:]
+    cov, var = np.mean((x - x.mean()) * (y - y.mean())), x.var()
+    wanted = {
+        (0.0, 0.0): cov / var, (0.5, 0.0): cov / (1.5 * var),
+        (0.2, 1.0): np.sign(cov) * max(abs(cov) / np.sqrt(var) - 0.2, 0) / np.sqrt(var),
+    }
+    for (reg, elastic), slope in wanted.items():
+        intercept, weights = fit_linear(windows, one, reg, elastic).weights["x"][0]
+        assert weights[0] == pytest.approx(slope) and intercept == pytest.approx(y.mean() - slope * x.mean())
+    wide = WindowSettings(("x",), ("x",), input_width=4, label_width=2, shift=3)
+    model = fit_linear(make_windows(df, wide, "id", "id"), wide)
+    rows = np.array([series[i : i + 7] for i in range(294)])
+    for step in range(2):
+        expected = np.linalg.lstsq(np.column_stack([np.ones(294), rows[:, :4]]), rows[:, 5 + step], rcond=None)[0]
+        intercept, weights = model.weights["x"][step]
+        assert np.allclose([intercept, *weights], expected, atol=1e-8)
+
+
+def test_forecast_times_follow_the_measured_interval(spark):
+    df = hourly(spark, 40)
+    settings = WindowSettings(("x",), ("x",), input_width=3, label_width=2, shift=4)
+    rows = forecast_ahead(df, settings, "ts", "id", lambda w: persistence_forecast(w, settings)).orderBy("step").collect()
+    last = START + datetime.timedelta(hours=39)
+    assert [r["ts"] for r in rows] == [last + datetime.timedelta(hours=h) for h in (3, 4)]
+    assert {r["y_pred"] for r in rows} == {math.sin(39 / 5) + 39 % 7}
+    assert forecast_ahead(df.limit(2), settings, "ts", "id", lambda w: persistence_forecast(w, settings), 3600).count() == 0

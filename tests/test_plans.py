@@ -10,7 +10,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import epoch_micros, number
-from millrace.operators.categories import _numbered
+from millrace.operators.categories import Encode, EncodeSettings, _numbered
+from millrace.operators.dedup import dedup_rows
 from millrace.operators.splitting import Ratios, ShuffledSplit, TimeSplit
 from millrace.operators.windows import WindowSettings, make_windows
 from millrace.plans import order
@@ -157,10 +158,54 @@ def test_numbering_follows_the_alphabet(spark):
 
 def test_mode_takes_the_smallest_of_equally_frequent_values(spark):
     df = spark.createDataFrame([(2.0, "b"), (10.0, "a"), (10.0, "b"), (2.0, "a"), (None, None)], "n double, t string")
-    assert modes(df, ["n"], as_number=True) == {"n": 2.0}
+    assert modes(df, ["n"], "double") == {"n": 2.0}
     assert modes(df, ["t"]) == {"t": "a"}
 
 
+def test_modes_keep_large_whole_numbers(spark):
+    large = 2**53 + 1
+    df = spark.createDataFrame([(large,), (large,), (large + 1,)], "n long")
+    assert modes(df, ["n"], "decimal(20,0)") == {"n": large}
+
+
+@pytest.mark.parametrize("edge", [float("-inf"), float("inf")])
+def test_both_quantile_ways_agree_on_infinities(spark, edge):
+    rng = random.Random(3)
+    rows = [(rng.gauss(0, 1),) for _ in range(500)] + [(edge,)] * 3
+    df = spark.createDataFrame(rows, "x double").repartition(3)
+    wanted = {"x": (F.col("x"), [0.0, 0.1, 0.5, 0.9, 0.996, 1.0])}
+    assert quantiles(df, wanted, small=0) == quantiles(df, wanted)
+
+
+@pytest.mark.parametrize("buckets", [1, 8, 40])
+def test_positions_at_sentinel_times(spark, buckets):
+    """A third at the last instant, some in the year 1 and some without a time, in any number of buckets."""
+    last, first = datetime.datetime(9999, 12, 31, 23, 59, 59, 999999), datetime.datetime(1, 1, 1)
+    rows = [(i, last if i % 3 == 0 else first if i % 7 == 0 else None if i % 5 == 0 else START) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz").repartition(4)
+    both = with_position(df, "ts", "id", buckets=buckets).join(naive_position(df).select("id", "want"), "id")
+    assert both.count() == 2000 and both.where("pos <> want").count() == 0
+    sizes = order_buckets(df, "ts", "id", buckets=40).groupBy(order.BUCKET).count()
+    assert sizes.agg(F.max("count")).first()[0] < 300
+
+
+def test_dedup_groups_by_hashing(spark):
+    df = spark.createDataFrame([(1, "a", 2.0), (2, "a", 3.0)], "id long, t string, x double")
+    plan = physical_plan(dedup_rows(df, "id", ["t"]))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_encoding_large_columns_reads_the_source_once(spark, sf_dir):
+    columns = ("c_name", "c_back", "c_both")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        "c_custkey", "c_name", F.reverse("c_name").alias("c_back"), F.concat("c_name", "c_mktsegment").alias("c_both"))
+    model = Encode(EncodeSettings(columns, driver_limit=10)).fit(customers)
+    coded = model.transform(customers)
+    assert physical_plan(coded).count("FileScan parquet [c_custkey") == 1
+    names = model.decode(coded).exceptAll(customers)
+    assert names.count() == 0
+
+
 def physical_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
