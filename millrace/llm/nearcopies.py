@@ -255,8 +255,11 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", similarity:
     rooted = materialize(members.join(ends, F.col("node") == F.col("of"), "left").select(
         "id", "h", "n", F.coalesce("component", "node").alias("root")))
     order = F.struct(F.col("id").isNull().alias("keyless"), "id", "h")
-    chosen = rooted.groupBy("root").agg(F.min(order).alias("first"))
-    judged = materialize(rooted.join(chosen, "root").select("id", "h", "n", (order == F.col("first")).alias("stays")))
+    # rows meet the chosen ones by their own key: a join by group would bring a hot group together
+    chosen = rooted.groupBy("root").agg(F.min(order).alias("first")).select(
+        F.col("first.id").alias("of_id"), F.col("first.h").alias("of_h"))
+    own = F.col("id").eqNullSafe(F.col("of_id")) & F.col("h").eqNullSafe(F.col("of_h"))
+    judged = materialize(rooted.join(chosen, own, "left").select("id", "h", "n", F.col("of_h").isNotNull().alias("stays")))
     hashed = fresh(df, "text_hash")
     rest = without(df.withColumn(hashed, F.xxhash64(col(text))), judged.where("not stays"), {key: "id", hashed: "h"})
     repeated = judged.where("stays and n > 1").select("id", "h")
