@@ -6,9 +6,13 @@ many for ten million) and the pigeonhole is read as a chance: each partition of
 a threshold of -1 (left out), 0 or 1 bit, and with it a cost and a chance to bring two near copies together.
 Dynamic programming picks the thresholds that reach ``RECALL`` for pairs right at the limit at the least
 estimated cost; partitions that the sample shows to be crowded count for less. A text is entered under its
-value of every chosen partition (threshold 1: under the value without each of its bits). Within one such key
-all texts are compared with the one of the smallest node number alone, so a group of thousands of copies
-gives thousands of pairs, not millions; chains of such pairs, over all keys, make the component.
+value of every chosen partition (threshold 1: under the value without each of its bits).
+
+Within one such key all texts are compared with the one of the smallest node number. Those surely linked to it
+leave the key, unless by the triangle inequality of the differing bits they could also be near a text that is
+not; so a group of thousands of copies gives thousands of pairs, not millions. All that is left is compared with
+each other, in blocks of bounded size; crowded keys take further such rounds with several leaders first, while
+these shrink them. Chains of pairs, over all keys, make the component.
 
 The keys come from three-word shingles, which near copies share more of. The similarity is then judged by
 1,024 other bits over the set of five-word shingles: their angle gives the cosine, and that the Jaccard
@@ -21,18 +25,20 @@ shingle is one shingle. See ``keep_one`` for keys.
 from __future__ import annotations
 
 import math
+import warnings
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.components import components
 from millrace.llm.frames import col, fresh, lists, ready_workers, without
-from millrace.llm.simhash import SEED, correlated_groups
+from millrace.llm.simhash import SEED, correlated_groups, within_shares
 from millrace.session import materialize
 
 #: Bits that decide, and the most bits that keys are made of.
@@ -48,8 +54,17 @@ SAMPLE_ROWS = 1_024
 LOAD = 0.25
 #: Steps of the dynamic programme for the chance.
 STEPS = 400
-#: Most bits that may differ among the first 64 of the deciding ones; unrelated texts differ in 32.
-FIRST_LOOK = 20
+#: Numbers of 64 deciding bits that travel with the keys for a first look.
+LOOK = 4
+#: Standard errors below the mean at the limit under which all deciding bits say that two texts are surely near,
+#: and above it, beyond which the first look says that they are not.
+SURE_ERRORS, LOOK_ERRORS = 3, 4
+#: Texts of a crowded key that all others are compared with in one round.
+LEADERS = 8
+#: Texts that are compared with each other in one task.
+BLOCK_TEXTS = 64
+#: A further round is worth its cost if the one before took this share of the texts out of crowded keys.
+SHRINK = 0.1
 #: Odd constants that make more hashes from one.
 MIXERS = np.random.default_rng(SEED).integers(1, 1 << 63, MOST_BITS // 64, dtype=np.uint64) | np.uint64(1)
 #: Shingles counted at once: as many as fit the counters of one byte.
@@ -116,10 +131,10 @@ def angle_share(jaccard: float) -> float:
     return math.acos(2 * jaccard / (1 + jaccard)) / math.pi
 
 
-def limit_of(similarity: float) -> int:
-    """The most deciding bits that may differ: the mean at the limit and one standard error."""
+def limit_of(similarity: float, errors: float = 1, bits: int = DECIDING) -> int:
+    """The most deciding bits that may differ: the mean at the limit and so many standard errors."""
     share = angle_share(similarity)
-    return round(DECIDING * share + math.sqrt(DECIDING * share * (1 - share)))
+    return round(bits * share + errors * math.sqrt(bits * share * (1 - share)))
 
 
 def key_share(similarity: float) -> float:
@@ -172,8 +187,16 @@ def choose(options: list[list[tuple[float, float]]], wanted: float) -> list[int]
     return chosen[::-1]
 
 
-def wide_plan(sample: np.ndarray, texts: int, similarity: float = SIMILARITY, recall: float = RECALL) -> list[tuple[tuple[int, ...], int]]:
+Plan = list[tuple[tuple[int, ...], int]]
+
+
+def wide_plan(sample: np.ndarray, texts: int, similarity: float = SIMILARITY, recall: float = RECALL) -> Plan:
     """Partitions of the key bits with their thresholds (0 or 1), for this many distinct texts."""
+    return plan_and_gain(sample, texts, similarity, recall)[0]
+
+
+def plan_and_gain(sample: np.ndarray, texts: int, similarity: float, recall: float) -> tuple[Plan, bool]:
+    """The plan, and whether it reaches the recall."""
     differ, wanted, plans = key_share(similarity), -math.log(1 - recall), []
     need = narrow_enough(texts)
     for threshold in (0, 1):
@@ -186,20 +209,19 @@ def wide_plan(sample: np.ndarray, texts: int, similarity: float = SIMILARITY, re
             for t in range(threshold + 1):
                 chance = sum(math.comb(len(group), k) * differ**k * (1 - differ) ** (len(group) - k) for k in range(t + 1))
                 load = texts * crowding(sample[:, list(group)], t)
-                row.append((math.comb(len(group), t) * (1 + load), -math.log1p(-min(0.999, chance / (1 + load)))))
+                row.append((math.comb(len(group), t) * (1 + load), -math.log1p(-min(0.999, chance))))
             options.append(row)
         chosen = choose(options, wanted)
         cost, gain = (sum(o[c][k] for o, c in zip(options, chosen, strict=True)) for k in (0, 1))
         plans.append((gain, cost, [(g, c - 1) for g, c in zip(groups, chosen, strict=True) if c]))
     enough = [p for p in plans if p[0] >= 0.97 * wanted]
-    return min(enough, key=lambda p: p[1])[2] if enough else max(plans, key=lambda p: p[0])[2]
+    return (min(enough, key=lambda p: p[1])[2], True) if enough else (max(plans, key=lambda p: p[0])[2], False)
 
 
 def crowding(bits: np.ndarray, threshold: int) -> float:
-    """The chance that an unrelated text shares a key, taking the bits as independent of each other."""
-    one = bits.mean(0)
-    same = one * one + (1 - one) * (1 - one)
-    return float(np.prod(same) if threshold == 0 else np.prod(same) * (1 + np.sum((1 - same) / same)))
+    """The chance that another text shares a key: as seen in the sample or as independent bits give it, whichever
+    is larger."""
+    return within_shares(bits, tuple(range(bits.shape[1])), threshold)[threshold]
 
 
 def key_numbers(numbers: np.ndarray, plan: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
@@ -217,41 +239,115 @@ def key_numbers(numbers: np.ndarray, plan: list[tuple[tuple[int, ...], int]]) ->
     return np.column_stack(columns).view(np.int64) if columns else np.zeros((len(bits), 0), np.int64)
 
 
-def similar(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """Pairs ``a``, ``b`` of nodes that are near copies; ``nodes`` has ``node``, ``keys`` and ``deciding``."""
+def planned(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[Plan, bool]:
+    """The plan for these nodes, and whether it reaches the recall."""
     sample = nodes.select("keys").orderBy(F.xxhash64("node")).limit(SAMPLE_ROWS).collect()
     words = len(sample[0]["keys"]) if sample else 1
     taken = bits_of(np.array([r["keys"] for r in sample], np.int64).reshape(-1, words))
-    plan = wide_plan(taken, nodes.count(), similarity, recall)
+    plan, reached = plan_and_gain(taken, nodes.count(), similarity, recall)
+    return plan, reached or not sample
+
+
+LOOKS = [f"look{i}" for i in range(LOOK)]
+
+
+def look_apart(one: str, other: str) -> Column:
+    """The bits in which the first looks differ; the arguments are prefixes of their columns."""
+    return sum((F.bit_count(col(one + n).bitwiseXOR(col(other + n))) for n in LOOKS), F.lit(0))
+
+
+def with_leaders(members: DataFrame, leaders: int, most: int) -> DataFrame:
+    """The members of each key beside each other text ``b`` that leads it, from which they are ``far``; without pairs
+    that are not near and alone in their key."""
+    slot = F.pmod(F.xxhash64("node", "key"), F.lit(leaders)).alias("slot")
+    least = members.groupBy("key", slot).agg(
+        F.min("node").alias("b"), *(F.min_by(n, "node").alias("b" + n) for n in LOOKS), F.count("*").alias("n"))
+    if leaders > 1:
+        least = least.drop("n").join(least.groupBy("key").agg(F.sum("n").alias("n")), "key")
+    met = members.join(least.where("n > 1"), "key").where("node <> b").withColumn("far", look_apart("", "b"))
+    return materialize(met.where((F.col("n") > 2) | (F.col("far") <= most)).select("key", "node", *LOOKS, "b", "n", "far"))
+
+
+def left_over(met: DataFrame, judged: DataFrame, sure: int, most: int) -> DataFrame:
+    """The members that may be near another one of their key than those they met, with their number ``m``. A member
+    leaves if it is surely near a leader, and all that could be near it are so too."""
+    linked = judged.where(F.col("apart") <= sure).select(F.col("a").alias("node"), "b", F.lit(True).alias("linked"))
+    told = materialize(met.where("n > 2").join(linked, ["node", "b"], "left").withColumn("linked", F.col("linked").isNotNull()))
+    gaps = told.where("not linked").groupBy("key", "b").agg(F.min("far").alias("gap"))
+    leaves = F.col("linked") & (F.col("gap").isNull() | (F.col("far") < F.col("gap") - most))
+    left = told.join(gaps, ["key", "b"], "left").groupBy("key", "node", *LOOKS).agg(F.max(leaves).alias("leaves")).where("not leaves")
+    left = left.join(met.select("key", F.col("b").alias("node")).distinct(), ["key", "node"], "left_anti")  # leaders met all
+    sizes = left.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    return materialize(left.drop("leaves").join(sizes, "key"))
+
+
+def all_pairs(left: DataFrame, most: int) -> DataFrame:
+    """Pairs of members of a key that are near at first look; members are dealt to blocks, blocks are paired."""
+    blocks = F.ceil(F.col("m") / BLOCK_TEXTS).cast("int")
+    dealt = left.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
+    one = dealt.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"),
+                       F.col("node").alias("a"), *(F.col(n).alias("a" + n) for n in LOOKS))
+    other = dealt.select("key", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"),
+                         F.col("node").alias("b"), *(F.col(n).alias("b" + n) for n in LOOKS))
+    met = one.join(other, ["key", "i", "j"]).where(((F.col("i") < F.col("j")) | (F.col("a") > F.col("b"))) & (look_apart("a", "b") <= most))
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+
+def similar(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, plan: Plan | None = None) -> DataFrame:
+    """Pairs ``a``, ``b`` of nodes that are near copies; ``nodes`` has ``node``, ``keys`` and ``deciding``. Of a group
+    of near copies there are pairs enough to connect it."""
+    plan = planned(nodes, similarity, recall)[0] if plan is None else plan
+    sure, most = limit_of(similarity, -SURE_ERRORS), limit_of(similarity, LOOK_ERRORS, 64 * LOOK)
 
     def keys_of(numbers: pa.Array) -> pa.Array:
-        found = key_numbers(numbers.flatten().to_numpy(zero_copy_only=False).reshape(-1, words), plan)
+        flat = numbers.flatten().to_numpy(zero_copy_only=False)
+        found = key_numbers(flat.reshape(len(numbers), len(flat) // max(1, len(numbers))), plan)
         return lists(found.ravel(), np.full(len(found), found.shape[1]))
 
     keys_of.__annotations__ = {"numbers": pa.Array, "return": pa.Array}
-    look = F.col("deciding")[0]
-    entered = materialize(nodes.select("node", look.alias("look"), F.arrow_udf(keys_of, "array<long>")("keys").alias("all"))).select(
-        "node", "look", F.explode("all").alias("key"))
-    first = entered.groupBy("key").agg(
-        F.min("node").alias("b"), F.min_by("look", "node").alias("look_b"), F.count("*").alias("n")).where("n > 1")
-    near = F.bit_count(F.col("look").bitwiseXOR(F.col("look_b"))) <= FIRST_LOOK
-    pairs = entered.join(first, "key").where((F.col("node") != F.col("b")) & near).select(F.col("node").alias("a"), "b").distinct()
+    looks = [F.col("deciding")[i].alias(n) for i, n in enumerate(LOOKS)]
+    members = materialize(nodes.select("node", *looks, F.arrow_udf(keys_of, "array<long>")("keys").alias("all"))).select(
+        "node", *LOOKS, F.explode("all").alias("key"))
+    found, open_before, leaders = [], math.inf, 1
+    while True:
+        met = with_leaders(members, leaders, most)
+        found.append(judge(nodes, met.where(F.col("far") <= most).select(F.col("node").alias("a"), "b"), similarity))
+        left = left_over(met, found[-1], sure, most)
+        crowded = left.where(F.col("m") > BLOCK_TEXTS)
+        still_open = crowded.count()
+        if not still_open or still_open > (1 - SHRINK) * open_before:
+            found.append(judge(nodes, all_pairs(left, most), similarity))
+            break
+        found.append(judge(nodes, all_pairs(left.where(F.col("m") <= BLOCK_TEXTS), most), similarity))
+        members, open_before, leaders = crowded.select("node", *LOOKS, "key"), still_open, LEADERS
+    return reduce(DataFrame.union, found).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def judge(nodes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs near by all deciding bits, and in how many they are ``apart``."""
     left, right = (nodes.select(F.col("node").alias(n), F.col("deciding").alias(f"of_{n}")) for n in ("a", "b"))
     apart = F.aggregate(
         F.zip_with("of_a", "of_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, one: total + one)
-    judged = pairs.join(left, "a").join(right, "b")
-    return judged.where(apart <= limit_of(similarity)).select("a", "b")
+    judged = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", apart.alias("apart"))
+    return materialize(judged.where(F.col("apart") <= limit_of(similarity)))
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The table with one row of each group of near copies: the one of the smallest key, among equal keys the
     one of the smallest text hash, and one of several equal rows. Rows without a key come last."""
     node, width = F.xxhash64(F.coalesce(col(text), F.lit(""))), key_bits(df.count(), similarity)
-    prints = materialize(df.select(
-        col(key).alias("id"), F.xxhash64(col(text)).alias("h"), node.alias("node"), print_column(df, text, width).alias("p")))
+    while True:
+        prints = materialize(df.select(
+            col(key).alias("id"), F.xxhash64(col(text)).alias("h"), node.alias("node"), print_column(df, text, width).alias("p")))
+        nodes = materialize(prints.groupBy("node").agg(F.max("p.keys").alias("keys"), F.max("p.deciding").alias("deciding")))
+        plan, reached = planned(nodes, similarity)
+        if reached or width >= MOST_BITS:
+            break
+        width = min(MOST_BITS, 2 * width)
+    if not reached:
+        warnings.warn(f"keys of {width} bits find fewer than {RECALL:.0%} of the pairs at the limit", stacklevel=2)
     members = prints.groupBy("id", "h", "node").agg(F.count("*").alias("n"))
-    nodes = materialize(prints.groupBy("node").agg(F.max("p.keys").alias("keys"), F.max("p.deciding").alias("deciding")))
-    ends = components(similar(nodes, similarity)).select(F.col("node").alias("of"), "component")
+    ends = components(similar(nodes, similarity, plan=plan)).select(F.col("node").alias("of"), "component")
     rooted = materialize(members.join(ends, F.col("node") == F.col("of"), "left").select(
         "id", "h", "n", F.coalesce("component", "node").alias("root")))
     order = F.struct(F.col("id").isNull().alias("keyless"), "id", "h")

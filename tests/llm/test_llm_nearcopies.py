@@ -124,3 +124,42 @@ def test_a_hot_group_gives_no_square_of_pairs(spark, texts):
     nodes = df.select(F.xxhash64("text").alias("node"), nearcopies.print_column(df, "text", 256).alias("p"))
     pairs = nearcopies.similar(nodes.select("node", "p.keys", "p.deciding")).count()
     assert 140 <= pairs <= 150 * 40
+
+
+def test_pairs_meet_in_a_key_whose_first_text_is_unrelated(spark, monkeypatch):
+    """All texts share one key: its first text is near none of the others, or near one of two hot groups."""
+    random.seed(5)
+    make = lambda n: [random.choice("abcdefghijklmnopqrstuvwxyz") + str(random.randrange(4000)) for _ in range(n)]
+
+    def copy(words):
+        changed = list(words)
+        changed[random.randrange(len(words))] = "changed" + str(random.randrange(10**6))
+        return changed
+
+    singles = [make(200) for _ in range(90)]
+    texts = singles + [copy(t) for t in singles]
+    for size in (150, 100):
+        hot = make(200)
+        texts += [copy(hot) for _ in range(size)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "id long, text string")
+    monkeypatch.setattr(nearcopies, "key_numbers", lambda numbers, plan: np.zeros((len(numbers), 1), np.int64))
+    nodes = df.select("id", F.xxhash64("text").alias("node"), nearcopies.print_column(df, "text", 256).alias("p"))
+    rows = nodes.select("id", "node").collect()
+    number = {r["node"]: r["id"] for r in rows}
+    found = {tuple(sorted((number[r["a"]], number[r["b"]]))) for r in nearcopies.similar(nodes.select("node", "p.keys", "p.deciding")).collect()}
+    assert {(i, 90 + i) for i in range(90)} <= found
+    for low, high in ((180, 330), (330, 430)):
+        inside = [p for p in found if low <= p[0] < high]
+        groups = {i: i for i in range(low, high)}
+        for _ in range(20):
+            for a, b in inside:
+                groups[a] = groups[b] = min(groups[a], groups[b])
+        assert set(groups.values()) == {low}
+    assert len(found) <= 90 + 10 * 250
+
+
+def test_load_counts_clusters():
+    """Bits that are even on the whole but agree within clusters crowd a key."""
+    random.seed(6)
+    families = np.random.default_rng(6).integers(0, 2, (4, 24), dtype=np.uint8)
+    assert nearcopies.crowding(np.repeat(families, 50, axis=0), 0) > 0.2
