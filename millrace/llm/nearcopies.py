@@ -14,9 +14,10 @@ not; so a group of thousands of copies gives thousands of pairs, not millions. A
 each other, in blocks of bounded size; crowded keys take further such rounds with several leaders first, while
 these shrink them. Chains of pairs, over all keys, make the component.
 
-The keys come from three-word shingles, which near copies share more of. The similarity is then judged by
-1,024 other bits over the set of five-word shingles: their angle gives the cosine, and that the Jaccard
-coefficient. Its standard error at the limit is about 0.02; pairs up to one error below the limit pass.
+The keys come from three-word shingles, which near copies share more of. Pairs are then filtered by 1,024 other
+bits over the set of five-word shingles: their angle gives the cosine, and that the Jaccard coefficient, with a
+standard error of about 0.02 at the limit. Pairs up to ``LIMIT_ERRORS`` errors beyond the limit pass, and for each
+of them the Jaccard coefficient of the two sets of shingle hashes decides.
 
 Defined results: equal texts are always together, empty and null texts too; a text with fewer words than a
 shingle is one shingle. See ``keep_one`` for keys.
@@ -59,6 +60,8 @@ LOOK = 4
 #: Standard errors below the mean at the limit under which all deciding bits say that two texts are surely near,
 #: and above it, beyond which the first look says that they are not.
 SURE_ERRORS, LOOK_ERRORS = 3, 4
+#: Standard errors above the mean at the limit up to which pairs are verified; few shingles give larger errors.
+LIMIT_ERRORS = 5
 #: Texts of a crowded key that all others are compared with in one round.
 LEADERS = 8
 #: Texts that are compared with each other in one task.
@@ -121,6 +124,18 @@ def print_column(df: DataFrame, text: str, width: int):
     return F.arrow_udf(of, PRINTS)(col(text))
 
 
+def shingle_column(df: DataFrame, text: str):
+    """The different hashes of the five-word shingles of a text column, computed in Arrow batches."""
+    ready_workers(df.sparkSession)
+
+    def of(texts: pa.Array) -> pa.Array:
+        found = [np.unique(shingle_hashes((t.as_py() or "").encode().lower().split(), WORDS)).view(np.int64) for t in texts]
+        return lists(np.concatenate(found) if found else np.zeros(0, np.int64), np.array([len(f) for f in found], np.int64))
+
+    of.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(of, "array<long>")(col(text))
+
+
 def bits_of(numbers: np.ndarray) -> np.ndarray:
     """The bits of rows of numbers."""
     return np.unpackbits(np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), 8 * numbers.shape[1]), axis=1, bitorder="little")
@@ -131,7 +146,7 @@ def angle_share(jaccard: float) -> float:
     return math.acos(2 * jaccard / (1 + jaccard)) / math.pi
 
 
-def limit_of(similarity: float, errors: float = 1, bits: int = DECIDING) -> int:
+def limit_of(similarity: float, errors: float = LIMIT_ERRORS, bits: int = DECIDING) -> int:
     """The most deciding bits that may differ: the mean at the limit and so many standard errors."""
     share = angle_share(similarity)
     return round(bits * share + errors * math.sqrt(bits * share * (1 - share)))
@@ -294,8 +309,8 @@ def all_pairs(left: DataFrame, most: int) -> DataFrame:
 
 
 def similar(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, plan: Plan | None = None) -> DataFrame:
-    """Pairs ``a``, ``b`` of nodes that are near copies; ``nodes`` has ``node``, ``keys`` and ``deciding``. Of a group
-    of near copies there are pairs enough to connect it."""
+    """Pairs ``a``, ``b`` of nodes that may be near copies by their bits; ``nodes`` has ``node``, ``keys`` and
+    ``deciding``. Of a group of near copies there are pairs enough to connect it."""
     plan = planned(nodes, similarity, recall)[0] if plan is None else plan
     sure, most = limit_of(similarity, -SURE_ERRORS), limit_of(similarity, LOOK_ERRORS, 64 * LOOK)
 
@@ -332,6 +347,18 @@ def judge(nodes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     return materialize(judged.where(F.col("apart") <= limit_of(similarity)))
 
 
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs whose sets of five-word shingles have at least this Jaccard coefficient; ``texts`` has ``node``, ``text``."""
+    pairs = materialize(pairs)
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    one = texts.join(asked, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    held = materialize(one.select("node", shingle_column(one, "text").alias("shingles")))
+    left, right = (held.select(F.col("node").alias(n), F.col("shingles").alias(f"of_{n}")) for n in ("a", "b"))
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    counted = pairs.join(right, "b").join(left, "a").select("a", "b", common.alias("n"), (F.size("of_a") + F.size("of_b")).alias("both"))
+    return counted.where(F.col("n") >= (similarity - 1e-9) * (F.col("both") - F.col("n"))).select("a", "b")
+
+
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The table with one row of each group of near copies: the one of the smallest key, among equal keys the
     one of the smallest text hash, and one of several equal rows. Rows without a key come last."""
@@ -347,7 +374,8 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", similarity:
     if not reached:
         warnings.warn(f"keys of {width} bits find fewer than {RECALL:.0%} of the pairs at the limit", stacklevel=2)
     members = prints.groupBy("id", "h", "node").agg(F.count("*").alias("n"))
-    ends = components(similar(nodes, similarity, plan=plan)).select(F.col("node").alias("of"), "component")
+    texts = df.select(node.alias("node"), col(text).alias("text"))
+    ends = components(verified(similar(nodes, similarity, plan=plan), texts, similarity)).select(F.col("node").alias("of"), "component")
     rooted = materialize(members.join(ends, F.col("node") == F.col("of"), "left").select(
         "id", "h", "n", F.coalesce("component", "node").alias("root")))
     order = F.struct(F.col("id").isNull().alias("keyless"), "id", "h")

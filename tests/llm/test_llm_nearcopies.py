@@ -163,3 +163,27 @@ def test_load_counts_clusters():
     random.seed(6)
     families = np.random.default_rng(6).integers(0, 2, (4, 24), dtype=np.uint8)
     assert nearcopies.crowding(np.repeat(families, 50, axis=0), 0) > 0.2
+
+
+def test_the_jaccard_coefficient_itself_decides(spark):
+    """Pairs right above and right below the limit."""
+    random.seed(7)
+    texts = []
+    for at in range(400):
+        base = [f"w{random.randrange(5000)}" for _ in range(random.randint(100, 300))]
+        other = list(base)
+        goal = 0.79 if at % 2 else 0.81
+        for place in random.sample(range(len(base)), len(base)):
+            changed = other[:place] + ["changed"] + other[place + 1 :]
+            if jaccard(shingles(" ".join(base)), shingles(" ".join(changed))) < goal - 0.01 * (goal > 0.8):
+                if goal < 0.8:
+                    other = changed
+                break
+            other = changed
+        texts += [" ".join(base), " ".join(other)]
+    near = [jaccard(shingles(texts[i]), shingles(texts[i + 1])) for i in range(0, len(texts), 2)]
+    kept = {r["doc_id"] for r in nearcopies.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    above, below = ([2 * i + 1 for i, j in enumerate(near) if (j >= 0.8) == side] for side in (True, False))
+    assert len(above) > 150 and len(below) > 150
+    assert set(below) <= kept
+    assert len([i for i in above if i in kept]) <= 0.1 * len(above)
