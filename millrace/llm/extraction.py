@@ -3,8 +3,8 @@
 Pass one hashes the subtree of every element of a page (tag, class and all that stands in it). Spark counts,
 per host, on how many pages with different main text each hash occurs; a subtree on at least ``MIN_PAGES``
 of them is template. Counting different texts keeps copies of one article from passing for a template. Pass
-two reads the pages again, deletes template subtrees and what its name marks as menu, notice, advert, form,
-sidebar, comments and so on, and returns the blocks that are left, those of the article where a page has one.
+two reads the pages again, deletes template subtrees, hidden elements and what its tag or a whole name of its class, id
+or role marks as menu, notice, advert, form, sidebar, comments and so on (never what is or holds an article), and returns the blocks that are left, those of the article where a page has one.
 Inside an article only containers are deleted as template: prose that several articles share stays.
 
 Template hashes are broadcast while there are at most ``BROADCAST_ROWS`` of them; beyond that every page gets
@@ -47,12 +47,14 @@ PROSE = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd
 NEVER_TEXT = frozenset(
     "head nav footer aside form button select option datalist dialog menu noscript template svg canvas object audio video map".split()
 )
-#: Parts of class, id and role names that mark what is not main text.
+#: Class, id and role names that mark what is not main text.
 NAMES = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
     "notice notices popup modal overlay newsletter subscribe subscription paywall sidebar menu nav navbar navigation breadcrumb "
-    "breadcrumbs footer topbar masthead toolbar share sharing social related recommended pagination pager widget login signup search "
-    "skip contentinfo complementary dialog alert form".split()
+    "breadcrumbs footer topbar masthead toolbar pagination pager login signup contentinfo complementary dialog cookie-notice "
+    "cookie-banner cookie-consent cookie-bar consent-banner gdpr-banner ad-slot ad-box ad-banner ad-container share-buttons "
+    "social-links social-share related-posts related-articles search-form login-form skip-link role=search "
+    "role=form role=alert".split()
 )
 COMMENTS = frozenset("comment comments commentlist disqus replies respond".split())
 #: An open element that a new one of these ends.
@@ -66,9 +68,21 @@ ENDS = {
 }
 
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+)>""")
-MARK = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?(?:false|until))|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
-WORDS = re.compile(r"[a-z0-9]+")
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b")
+
+
+def is_main(tag: str, names: frozenset) -> bool:
+    """Whether an element is main text: articles may be comments."""
+    return tag == "main" or (tag == "article" and not names & COMMENTS)
+
+
+def is_hidden(name: str, value: str) -> bool:
+    """Whether this attribute hides its element."""
+    value = html.unescape(value).strip()
+    return (
+        (name == "hidden" and value not in ("false", "until-found")) or (name == "aria-hidden" and value == "true")
+        or (name == "style" and NO_DISPLAY.search(value) is not None))
 
 
 @dataclass(slots=True)
@@ -173,18 +187,24 @@ class Page:
             self.close()
         if tag in VOID:
             return
-        names, label = frozenset(), tag.encode()
-        if marks:
-            for name, *values in MARK.findall(marks):
-                value = "".join(values).lower()
-                names |= frozenset(WORDS.findall(value))
-                label += f" {value}".encode() if name.lower() == "class" else b""
-        element = Element(
-            tag, names, bool(marks) and HIDDEN.search(marks) is not None, len(self.blocks), len(self.pieces), self.main_depth > 0)
+        names, hidden, label = frozenset(), False, tag.encode()
+        given: set[str] = set()
+        for name, *values in ATTRIBUTE.findall(marks) if marks else ():
+            name, value = name.lower(), "".join(values).lower()
+            if name in given:  # the first of several counts
+                continue
+            given.add(name)
+            if name in ("class", "id", "role"):
+                names |= frozenset(value.split())
+                names |= frozenset(f"role={v}" for v in value.split()) if name == "role" else frozenset()
+                label += f" {value}".encode() if name == "class" else b""
+            else:
+                hidden = hidden or is_hidden(name, value)
+        element = Element(tag, names, hidden, len(self.blocks), len(self.pieces), self.main_depth > 0)
         element.parts.append(label)
         self.open.append(element)
         self.counts[tag] = self.counts.get(tag, 0) + 1
-        if tag in ("article", "main") and not names & COMMENTS:
+        if is_main(tag, names):
             self.main_depth += 1
             for outer in reversed(self.open[:-1]):
                 if outer.holds_main:
@@ -232,7 +252,7 @@ class Page:
         filled = len(element.parts) > 1 and any(element.parts[1:])
         if self.open and not inline:
             self.open[-1].parts.append(digest.to_bytes(8, "little"))
-        main = element.tag in ("article", "main") and not element.names & COMMENTS
+        main = is_main(element.tag, element.names)
         deleted = self.unwanted(element)
         if not main and not element.holds_main and element.tag not in ("html", "body") and filled:
             if not (element.in_main and element.tag in PROSE):
@@ -255,10 +275,12 @@ class Page:
 
     def unwanted(self, element: Element) -> bool:
         """Whether tag and names say that this is not main text."""
-        if element.hidden or element.names & COMMENTS:
+        if element.hidden:
             return element.tag not in ("html", "body")
-        if element.holds_main or element.tag in ("html", "body", "article", "main"):
+        if element.holds_main or element.tag in ("html", "body") or is_main(element.tag, element.names):
             return False
+        if element.names & COMMENTS:
+            return True
         if element.tag in NEVER_TEXT or (element.tag == "header" and not element.in_main):
             return True
         return bool(element.names & NAMES)

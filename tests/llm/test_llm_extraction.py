@@ -80,3 +80,18 @@ def test_templates_go_and_articles_stay(spark, broadcast_rows):
 
 def test_empty_table(spark):
     assert extraction.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+KEPT = [
+    "<main class='overflow-hidden'><p>kept</p></main>", "<div style='overflow:hidden'><article>kept</article></div>", "<p class=hidden-xs>kept</p>",
+    "<p data-title='Hidden gems'>kept</p>", "<p title='aria-hidden=true'>kept</p>", "<p hidden=until-found>kept</p>", "<p aria-hidden='false'>kept</p>",
+    "<p data-style='display:none'>kept</p>", "<div class=elementor-widget><p>kept</p></div>", "<p class='text-share related'>kept</p>",
+    "<div class='with-sidebar'><p>kept</p></div>", "<section class=comments><main>kept</main></section>", "<div id=search-results>kept</div>",
+]
+GONE = ["<p HIDDEN>no</p>", "<p hidden=''>no</p>", "<p style='color:red; DISPLAY : none'>no</p>", "<p aria-hidden=TRUE>no</p>", "<div role=search>no</div>",
+        "<main hidden>no</main>", "<div class='x sidebar'>no</div>", "<article class=comment>no</article>"]
+
+
+@pytest.mark.parametrize("page", KEPT + GONE)
+def test_only_hidden_elements_and_whole_names_go(page):
+    assert main_text(page)[0] == ("kept" if page in KEPT else "")
