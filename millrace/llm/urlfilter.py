@@ -7,7 +7,8 @@ covers its url: its host, the parents of the host, and each of these with each l
 join is by pattern and by slice of time, so that neither a long history nor a hot host meets in one key, and
 the interval is checked in the join.
 
-Intervals are broadcast while there are at most ``BROADCAST_ROWS`` of them, and shuffled beyond.
+Intervals are cut to the slices between the first and the last capture; these rows are broadcast while there are at
+most ``BROADCAST_ROWS`` of them, and shuffled beyond.
 
 Defined results: captures that are equal in key, url and time are one row with their number in ``captures``.
 A capture without a time or url meets no entry and is allowed. Entries without pattern, category or time are
@@ -16,6 +17,8 @@ left out; at one instant a removal counts after an addition; a repeated addition
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,18 +61,22 @@ def intervals(entries: DataFrame) -> DataFrame:
     )
 
 
+def slices(active: DataFrame, slice_of: Callable[[Column], Column], low: int, high: int) -> DataFrame:
+    """One row for each interval and slice of time from ``low`` to ``high`` that it reaches into."""
+    first = F.greatest(slice_of(F.col("valid_from")), F.lit(low))
+    end = F.least(F.coalesce(slice_of(F.col("valid_to")), F.lit(high)), F.lit(high))
+    return active.where(first <= end).withColumn("slice", F.explode(F.sequence(first, end)))
+
+
 def evaluate(captures: DataFrame, entries: DataFrame, key: str = "page_id", url: str = "url", time: str = "fetched_at",
              slice_days: int = SLICE_DAYS) -> DataFrame:
     """Per capture: key, url, time, ``captures``, ``allowed``, and the active ``categories`` and ``patterns``."""
     seconds = slice_days * 86_400
     slice_of = lambda t: F.floor(F.unix_seconds(t) / F.lit(seconds))
     once = captures.groupBy(col(key).alias("key"), col(url).alias("url"), col(time).alias("time")).agg(F.count("*").alias("captures"))
-    last = once.agg(F.max(F.unix_seconds("time")).alias("last")).first()["last"] or 0
-    active = intervals(entries)
-    few = active.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    first = slice_of(F.col("valid_from"))
-    end = F.least(F.coalesce(slice_of(F.col("valid_to")), F.lit(last // seconds)), F.lit(last // seconds))
-    sliced = active.where(first <= last // seconds).withColumn("slice", F.explode(F.sequence(first, F.greatest(first, end))))
+    span = once.agg(F.min(F.unix_seconds("time")).alias("first"), F.max(F.unix_seconds("time")).alias("last")).first()
+    sliced = slices(intervals(entries), slice_of, (span["first"] or 0) // seconds, (span["last"] or 0) // seconds)
+    few = sliced.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     asked = once.select("key", "url", "time", "captures", F.explode_outer(covering_patterns(F.col("url"))).alias("asked")).withColumn(
         "asked_slice", slice_of(F.col("time")))
     meets = (

@@ -75,3 +75,16 @@ def test_empty_tables(spark):
     captures, entries = spark.createDataFrame([(1, URLS[0], START, "p", 1)], CAPTURES), spark.createDataFrame([], ENTRIES)
     assert urlfilter.evaluate(captures.limit(0), entries).collect() == []
     assert [r["allowed"] for r in urlfilter.evaluate(captures, entries).collect()] == [True]
+
+
+def test_sliced_rows_decide_on_the_broadcast(spark, monkeypatch):
+    """Old open entries start with the first capture, and many slices of few entries are not broadcast."""
+    monkeypatch.setattr(urlfilter, "BROADCAST_ROWS", 20)
+    entries = spark.createDataFrame([("example.com", c, "add", START - timedelta(days=7300)) for c in "abc"], ENTRIES)
+    hints = []
+    monkeypatch.setattr(urlfilter.F, "broadcast", lambda df: hints.append(df.count()) or df)
+    one = [(1, URLS[0], START, "p", 1)]
+    for captures in (one, one + [(2, URLS[0], START + timedelta(days=600), "p", 1)]):
+        found = urlfilter.evaluate(spark.createDataFrame(captures, CAPTURES), entries).collect()
+        assert [r["categories"] for r in found] == ["a,b,c"] * len(captures)
+    assert hints == [3]
