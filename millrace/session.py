@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,3 +72,13 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{_scopes[-1] if _scopes else shared_folder(spark)}/{uuid.uuid4().hex}.parquet"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table that ``make`` builds, written once; all that is materialized while it is built is deleted."""
+    path = f"{_scopes[-1] if _scopes else shared_folder(spark)}/{uuid.uuid4().hex}.parquet"
+    with scratch(spark):
+        made = make()
+        made.write.parquet(path)
+        schema = made.schema
+    return spark.read.schema(schema).parquet(path)
