@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, decontaminate, nearcopies, queries, toxicity
+from millrace.llm import bpe, decontaminate, queries, simhash, toxicity
 from millrace.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,8 +24,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
-    return nearcopies.keep_one(docs)
+    """One document of each component of near copies (fingerprints of three-word shingles, three bits or fewer apart)."""
+    return simhash.keep_one(docs, words=simhash.WORDS, distance=simhash.DISTANCE)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, extraction, licenses, sharding, simhash, topk, toxicity, urlfilter, warc
+from millrace.llm import (
+    bpe, decontaminate, extraction, fim, jaccard, licenses, resample, sharding, simhash, topk, toxicity, urlfilter, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -250,3 +252,93 @@ def op9_warc_revisits(spark, sf_dir):
 @query("op10_toxicity")
 def op10_toxicity(spark, sf_dir):
     return toxicity.score_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP11 = r"""
+WITH unit AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || doc_id) AS h FROM documents),
+drawn AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS c2,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90
+              THEN 'plain' WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM unit),
+cut AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b FROM drawn),
+part AS (
+  SELECT *, array_to_string(list_slice(u, 1, a), '') AS prefix, array_to_string(list_slice(u, a + 1, b), '') AS middle,
+         array_to_string(list_slice(u, b + 1, n), '') AS suffix
+  FROM (SELECT *, regexp_extract_all(t, '(?s:.)') AS u FROM cut)),
+written AS (
+  SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS output FROM part)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(output) AS output_sha256, sha256(t) AS restored_sha256
+FROM written"""
+
+
+@query("op11_fill_in_middle", OP11)
+def op11_fill_in_middle(spark, sf_dir):
+    made = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored.cast("binary"), 256).alias("restored_sha256"))
+
+
+#: The check sum of a word's bytes by its rule: a table of 256 steps, then byte by byte.
+OP12 = r"""
+WITH step AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+         lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS of_byte),
+worded AS (
+  SELECT doc_id, 'd' AS side, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+  UNION ALL
+  SELECT item_id, 'b', regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+counted AS (SELECT doc_id, side, word, count(*) AS n FROM (SELECT doc_id, side, unnest(words) AS word FROM worded) GROUP BY ALL),
+numbered AS (
+  SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(hex(encode(word))) // 2),
+           lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT)),
+         lambda c, b: xor(c >> 8, of_byte[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM counted), step),
+filled AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t
+  FROM counted JOIN numbered USING (word) GROUP BY bucket),
+whole AS (SELECT sum(s)::DOUBLE AS all_s, sum(t)::DOUBLE AS all_t FROM filled),
+gain AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (all_s + 10000)) / ((s + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS gain FROM filled, whole),
+weighed AS (
+  SELECT doc_id, sum(n * gain)::BIGINT AS weight FROM counted JOIN numbered USING (word) JOIN gain USING (bucket) WHERE side = 'd' GROUP BY doc_id),
+scored AS (
+  SELECT w.doc_id, len(w.words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || w.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+  FROM worded w LEFT JOIN weighed USING (doc_id) WHERE side = 'd'),
+placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS fit FROM scored WHERE n_features >= 20)
+SELECT scored.*, CASE WHEN place <= 10 * fit // 100 THEN place END AS rank FROM scored LEFT JOIN placed USING (doc_id)"""
+
+
+@query("op12_importance_resampling", OP12)
+def op12_importance_resampling(spark, sf_dir):
+    found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+OP13 = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM worded),
+element AS (SELECT doc_id, len(g) AS n, unnest(g) AS e FROM grams),
+link AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM element a JOIN element b ON a.e = b.e AND a.doc_id < b.doc_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, both_ways.y FROM reach JOIN both_ways ON reach.y = both_ways.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id FROM grams JOIN least ON x = doc_id"""
+
+
+@query("op13_ngram_jaccard", OP13)
+def op13_ngram_jaccard(spark, sf_dir):
+    return jaccard.join_components(table(spark, sf_dir, "documents"))

@@ -27,8 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.frames import col, ready_workers
-from millrace.session import materialize
+from millrace.llm.frames import col, fresh, ready_workers, without
+from millrace.session import materialize, settle
 
 BITS = 64
 DISTANCE = 3
@@ -192,13 +192,16 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return pairs.where(near).select("a", "b")
 
 
-def classes(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``fp`` and ``component_id`` (the smallest id reachable) for a table of ``id`` and ``fp``."""
+def rooted_prints(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``fp``, ``least`` (its smallest id) and ``root`` (one fingerprint of its component) for ``id`` and ``fp``."""
     nodes = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")))
     ends = components(links(nodes, distance))
-    rooted = nodes.join(ends, nodes["fp"] == ends["node"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("root")
-    )
+    return nodes.join(ends, nodes["fp"] == ends["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+
+
+def classes(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``fp`` and ``component_id`` (the smallest id reachable) for a table of ``id`` and ``fp``."""
+    rooted = rooted_prints(prints, distance)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rooted.join(least, "root").select("fp", "component_id")
 
@@ -211,3 +214,38 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     return prints.join(found, "fp").select(
         F.col("id").alias(key), hex_digits(F.col("fp")).alias("fingerprint"), "component_id"
     )
+
+
+def decisions(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``id, h, n, stays`` of all rows that are no longer single: those that go, and those that stay but are repeated.
+
+    ``prints`` has ``id``, ``h`` (a hash of the text) and ``fp``. The row of the smallest id of a component stays, among
+    equal ids that of the smallest hash, and one of several equal rows; rows without an id come last.
+    """
+    prints = materialize(prints)
+    roots = rooted_prints(prints, distance).select("fp", "root")
+    members = materialize(prints.groupBy("id", "h", "fp").agg(F.count("*").alias("n")).join(roots, "fp"))
+    order = F.struct(F.col("id").isNull().alias("keyless"), "id", "h")
+    # rows meet the chosen ones by their own key: a join by component would bring a hot one together
+    chosen = members.groupBy("root").agg(F.min(order).alias("first")).select(
+        F.col("first.id").alias("of_id"), F.col("first.h").alias("of_h"))
+    own = F.col("id").eqNullSafe(F.col("of_id")) & F.col("h").eqNullSafe(F.col("of_h"))
+    judged = members.join(chosen, own, "left").select("id", "h", "n", F.col("of_h").isNotNull().alias("stays"))
+    return judged.where("n > 1 or not stays")
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+    """The table with one row of each component; what decides on the way is deleted from the shared folder."""
+    h = F.xxhash64(F.coalesce(col(text), F.lit("")))
+    prints = df.select(col(key).alias("id"), h.alias("h"), fingerprint_column(df, text, words).alias("fp"))
+    judged = settle(df.sparkSession, lambda: decisions(prints, distance))
+    hashed = fresh(df, "text_hash")
+    rest = without(df.withColumn(hashed, h), judged.where("not stays"), {key: "id", hashed: "h"})
+    repeated = judged.where("stays").select("id", "h")
+    if repeated.isEmpty():
+        return rest.drop(hashed)
+    single = without(rest, repeated, {key: "id", hashed: "h"})
+    named = repeated.withColumnsRenamed({"id": "of_id", "h": "of_h"})
+    held = rest.select(F.struct(*map(col, rest.columns)).alias("row")).join(
+        named, F.col("row")[key].eqNullSafe(F.col("of_id")) & (F.col("row")[hashed] == F.col("of_h")), "left_semi")
+    return single.unionByName(held.select("row.*").dropDuplicates([key, hashed])).drop(hashed)

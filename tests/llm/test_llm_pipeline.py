@@ -5,7 +5,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import bpe, decontaminate, nearcopies, toxicity
+from millrace.llm import bpe, decontaminate, simhash, toxicity
 
 NAMES = ["toxicity", "simhash_near_dedup", "benchmark_decontamination", "byte_bpe"]
 
@@ -22,7 +22,7 @@ def test_run_equals_its_decisions(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("labels", "benchmark"))
     calm = docs.join(toxicity.score_table(docs, labels).where("predicted = 0").select("doc_id"), "doc_id", "left_semi")
-    single = nearcopies.keep_one(calm)
+    single = calm.join(simhash.near_duplicates(calm).where("doc_id = component_id").select("doc_id"), "doc_id", "left_semi")
     clean = single.join(decontaminate.overlaps(single, benchmark).select("doc_id"), "doc_id", "left_anti")
     texts = {r["doc_id"]: r["text"] for r in clean.collect()}
     own = bpe.Coder(open(bpe.path_of("byte_bpe_50k.tiktoken"), "rb").read())

@@ -121,3 +121,25 @@ def test_rows_match_brute_force(documents):
 
 def test_empty_table(spark, documents):
     assert simhash.near_duplicates(documents.limit(0)).collect() == []
+
+
+def test_one_row_of_each_component_stays(spark, documents):
+    kept = simhash.keep_one(documents)
+    assert kept.columns == documents.columns
+    rows = documents.collect()
+    prints = [plain_fingerprint(r["text"]) for r in rows]
+    root, best = brute_components(set(prints)), {}
+    for row, p in zip(rows, prints, strict=True):
+        order = (row["doc_id"] is None, row["doc_id"] or 0)
+        if root[p] not in best or order < best[root[p]]:
+            best[root[p]] = order
+    found = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect())
+    assert found == sorted(best.values())
+    assert simhash.keep_one(documents.limit(0)).collect() == []
+
+
+def test_repeated_rows_and_keys_leave_one_row(spark):
+    rows = [(3, "same words here"), (3, "same words here"), (3, "quite other words are here"), (None, "same words here"), (9, None), (8, ""), (None, "x y z q")]
+    kept = simhash.keep_one(spark.createDataFrame(rows * 2, "doc_id long, text string"))
+    assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted(
+        [(3, "same words here"), (3, "quite other words are here"), (8, ""), (None, "x y z q")], key=str)
