@@ -2,7 +2,8 @@
 
 A mask names the positions of a short window of words that count; the others may hold anything. Every
 place of every text gives one hash for each mask. The masks here find, for certain, any aligned run of
-``WINDOW`` words of which at least ``SIMILARITY`` agree: ``tests/llm`` goes through all cases. Places
+``WINDOW`` words of which at least ``SIMILARITY`` agree; an item of fewer words has masks of its own, which start
+at its first word. ``tests/llm`` goes through all cases. Places
 whose hash can be a benchmark hash are found in the scan by a bit table of fixed size; only the words
 around them go on. The hash join then pairs them with benchmark places, and each pair is verified word
 by word along its diagonal, so that neither the bit table nor a hash decides anything.
@@ -10,8 +11,8 @@ by word along its diagonal, so that neither the bit table nor a hash decides any
 A text contains a benchmark item if ``WINDOW`` consecutive words of both, or all words of a shorter item,
 agree in at least the share ``SIMILARITY``, substitutions allowed.
 
-Defined results: null and empty texts contain nothing; items of fewer words than the shortest mask spans
-are not looked for; an empty benchmark finds nothing. Benchmark rows with equal ids are searched one by
+Defined results: null and empty texts contain nothing; items without a word are not looked for, items of one word
+are found wherever it stands; an empty benchmark finds nothing. Benchmark rows with equal ids are searched one by
 one and reported under that id. Repeated text rows are reported once for each id and text.
 """
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +37,30 @@ from millrace.session import materialize
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5))
 WINDOW = 15
 SIMILARITY = 0.8
+#: Masks that an item of fewer words than the window has at most.
+SHORT_MASKS = 8
 #: Bits of the table for each benchmark hash, and its least and largest size in bits.
 BITS_PER_HASH, LEAST_BITS, MOST_BITS = 1024, 20, 27
 MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
 
+def short_masks(length: int) -> list[tuple[int, ...]]:
+    """Masks from the first word of an item of fewer words than the window: the words are cut into two blocks more
+    than substitutions are allowed, or one, and every choice that leaves out as many blocks as there are
+    substitutions is a mask. Any substitutions then leave one mask whole."""
+    errors = length - math.ceil(SIMILARITY * length - 1e-9)
+    blocks = min(length, errors + 2) if errors else 1
+    cut = [range(b * length // blocks, (b + 1) * length // blocks) for b in range(blocks)]
+    return [tuple(w for b, words in enumerate(cut) if b not in out for w in words) for out in combinations(range(blocks), errors)]
+
+
+def item_masks(length: int) -> list[tuple[int, tuple[int, ...]]]:
+    """Salt and mask of all seeds of an item with this many words."""
+    if length >= WINDOW:
+        return list(enumerate(MASKS))
+    return [(len(MASKS) + SHORT_MASKS * length + i, mask) for i, mask in enumerate(short_masks(length))] if length else []
+
+
 def seed_hashes(words: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray:
     """The hash of each place at which the mask fits."""
     n = len(words) - mask[-1]
@@ -60,13 +81,6 @@ def places(words: np.ndarray, per_text: np.ndarray, mask: tuple[int, ...], salt:
     return hashes[at], at
 
 
-def _seeds(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    words, per_text = word_hashes(texts)
-    for salt, mask in enumerate(MASKS):
-        hashes, at = places(words, per_text, mask, salt)
-        yield hashes, at, salt
-
-
 ITEM = T.StructType([
     T.StructField("item", T.LongType()), T.StructField("item_words", T.ArrayType(T.LongType(), False)),
     T.StructField("seeds", T.ArrayType(T.LongType(), False)), T.StructField("places", T.ArrayType(T.IntegerType(), False)),
@@ -80,7 +94,9 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in range(batch.num_rows):
             one = batch.slice(row, 1)
             words, per_text = word_hashes(text_of(one, "text"))
-            found = [places(words, per_text, mask, salt) for salt, mask in enumerate(MASKS)]
+            own = [places(words, per_text, mask, salt) for salt, mask in item_masks(len(words))]
+            found = own if len(words) >= WINDOW else [(hashes[:1], at[:1]) for hashes, at in own]
+            found.append((np.zeros(0, np.uint64), np.zeros(0, np.int64)))
             seeds, at = (np.concatenate(part) for part in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays([
                 one.column("item").cast(pa.int64()), lists(words.view(np.int64), np.array([len(words)])),
@@ -125,10 +141,11 @@ def _segments(marks: np.ndarray, margin: int, words: int) -> list[tuple[int, int
     ]
 
 
-def suspects(df: DataFrame, key: str, text: str, table: np.ndarray, size: int) -> DataFrame:
+def suspects(df: DataFrame, key: str, text: str, table: np.ndarray, size: int, lengths: list[int]) -> DataFrame:
     """Places that may start a benchmark seed, with the words around them: one row for each run of places.
 
-    ``place`` numbers words within the run, which starts at word ``first`` of the text.
+    ``place`` numbers words within the run, which starts at word ``first`` of the text. ``lengths`` are those of the
+    items, as far as they are below the window; only their masks are tried besides the common ones.
     """
     ready_workers(df.sparkSession)
     source = df.select(col(key).alias("id"), F.xxhash64(col(text)).alias("text_hash"), col(text).alias("text"))
@@ -139,6 +156,7 @@ def suspects(df: DataFrame, key: str, text: str, table: np.ndarray, size: int) -
     ])
     arrow, shared = to_arrow_schema(schema), df.sparkSession.sparkContext.broadcast(table)
     margin = WINDOW + max(m[-1] for m in MASKS) + 1
+    masks = item_masks(WINDOW) + [mask for n in lengths for mask in item_masks(n)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -146,7 +164,7 @@ def suspects(df: DataFrame, key: str, text: str, table: np.ndarray, size: int) -
             for chunk in text_chunks(batch, "text"):
                 words, per_text = word_hashes(text_of(chunk, "text"))
                 seeds, at = [], []
-                for salt, mask in enumerate(MASKS):
+                for salt, mask in masks:
                     hashes, starts = places(words, per_text, mask, salt)
                     hit = possible(hashes, bits, size)
                     seeds.append(hashes[hit])
@@ -218,7 +236,8 @@ def overlaps(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     seeds = items.select("item", "item_row", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(
         "item", "item_row", F.col("s.seeds").alias("seed"), F.col("s.places").alias("item_place"))
     table, size = bit_table(seeds)
-    runs = materialize(suspects(df, key, text, table, size).distinct())
+    short = items.select(F.size("item_words").alias("n")).where(F.col("n").between(1, WINDOW - 1)).distinct().collect()  # 14 numbers at most
+    runs = materialize(suspects(df, key, text, table, size, sorted(r["n"] for r in short)).distinct())
     row = ["id", "text_hash", "first"]
     hits = runs.select(*row, F.explode(F.arrays_zip("seeds", "places")).alias("s")).select(
         *row, F.col("s.seeds").alias("seed"), F.col("s.places").alias("place"))

@@ -223,8 +223,11 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
         .orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     )
     part = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(8))
+    # one text for each label, however often a key is repeated and with how many texts
+    first = F.min_by("text", F.xxhash64("text")).alias("text")
     rows = materialize(
         df.select(col(key).alias("id"), col(text).alias("text")).join(F.broadcast(marked), "id")
+        .groupBy("id", "toxic").agg(first)
         .select("id", "text", "toxic", F.when(part < 3, "lexicon").when(part < 6, "trees").otherwise("steps").alias("part"))
     )
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}

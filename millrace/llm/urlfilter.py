@@ -35,12 +35,14 @@ def host_path(url: Column) -> tuple[Column, Column]:
     return F.regexp_replace(F.lower(F.regexp_extract(text, form, 1)), r"\.$", ""), F.regexp_extract(text, form, 2)
 
 
-def covering_patterns(url: Column) -> Column:
-    """All patterns that cover a url."""
+def covering_patterns(url: Column, deepest: int | None = None) -> Column:
+    """All patterns that cover a url, or those with paths of up to ``deepest`` parts."""
     host, path = host_path(url)
     labels = F.split(host, r"\.")
     hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     parts = F.filter(F.split(path, "/"), lambda p: p != "")
+    if deepest is not None:
+        parts = F.slice(parts, 1, deepest) if deepest else F.array().cast("array<string>")
     paths = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.array_join(F.transform(
         F.slice(parts, F.lit(1), i), lambda p: F.concat(F.lit("/"), p)), ""))
     every = F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: F.concat(h, p))))
@@ -75,9 +77,12 @@ def evaluate(captures: DataFrame, entries: DataFrame, key: str = "page_id", url:
     slice_of = lambda t: F.floor(F.unix_seconds(t) / F.lit(seconds))
     once = captures.groupBy(col(key).alias("key"), col(url).alias("url"), col(time).alias("time")).agg(F.count("*").alias("captures"))
     span = once.agg(F.min(F.unix_seconds("time")).alias("first"), F.max(F.unix_seconds("time")).alias("last")).first()
-    sliced = slices(intervals(entries), slice_of, (span["first"] or 0) // seconds, (span["last"] or 0) // seconds)
+    active = intervals(entries)
+    # no listed path has more parts than this, so longer ones of a url are not asked for
+    deepest = active.agg(F.max(F.size(F.filter(F.split("pattern", "/"), lambda p: p != "")) - 1)).first()[0] or 0
+    sliced = slices(active, slice_of, (span["first"] or 0) // seconds, (span["last"] or 0) // seconds)
     few = sliced.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    asked = once.select("key", "url", "time", "captures", F.explode_outer(covering_patterns(F.col("url"))).alias("asked")).withColumn(
+    asked = once.select("key", "url", "time", "captures", F.explode_outer(covering_patterns(F.col("url"), max(0, deepest))).alias("asked")).withColumn(
         "asked_slice", slice_of(F.col("time")))
     meets = (
         (F.col("asked") == F.col("pattern")) & (F.col("asked_slice") == F.col("slice")) & (F.col("valid_from") <= F.col("time"))

@@ -7,7 +7,8 @@ headers are kept and those that a 304 may update replace them; headers that desc
 
 Defined results: a revisit without an earlier full response is ``no_original``; one whose validators differ is
 ``mismatch``, one without common validators ``unverified``, all others ``resolved``. Only resolved revisits get
-merged headers. Null headers are no headers. Captures without a time are ``no_original``. Repeated revisits
+merged headers. Null headers are no headers. Captures without a time, or with a null or empty canonical url, are
+``no_original``. Repeated revisits
 are repeated; among full responses of one url and instant the one of the largest id counts (and among equal
 ids the one of the largest header list).
 """
@@ -75,7 +76,8 @@ def resolve(captures: DataFrame, key: str = "page_id", url: str = "url", time: s
     named = captures.select(
         col(key).alias("id"), canonical_url(col(url)).alias("key"), col(time).alias("time"), col(status).alias("status"),
         lower_names(col(headers)).alias("headers"))
-    originals = named.where((F.col("status") == full) & F.col("id").isNotNull())
+    # captures without a url stand for nothing: they are neither found nor find
+    originals = named.where((F.col("status") == full) & F.col("id").isNotNull() & (F.col("key") != ""))
     revisits = named.where(F.col("status") == not_modified)
     # the headers travel with the event, so that no later join by record has a hot or a missing key
     record = F.struct("id", F.array_sort(F.map_entries("headers")).alias("headers"))

@@ -22,6 +22,33 @@ def test_masks_find_every_run_with_three_substitutions():
         )
 
 
+def test_masks_of_short_items_leave_one_whole_for_all_substitutions():
+    salts = [salt for n in range(dc.WINDOW + 1) for salt, _ in dc.item_masks(n)]
+    assert len(set(salts)) == len(salts)
+    for n in range(1, dc.WINDOW):
+        masks, errors = dc.short_masks(n), n - -(-4 * n // 5)
+        assert len(masks) <= dc.SHORT_MASKS and all(mask and mask[-1] < n for mask in masks)
+        for out in combinations(range(n), errors):
+            assert any(not set(mask) & set(out) for mask in masks), (n, out)
+
+
+@pytest.mark.parametrize("most", [1, 14])
+def test_short_items_with_all_allowed_substitutions(spark, most):
+    """Every item of 1 to 14 words with every allowed choice of changed words is found, one more change is not."""
+    lengths = range(1, 15) if most == 14 else (1, 2)
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in lengths]
+    docs = []
+    for n, text in items:
+        errors = n - -(-4 * n // 5)
+        for wrong in (errors, errors + 1):
+            for out in combinations(range(n), wrong):
+                part = ["changed" if k in out else w for k, w in enumerate(text.split())]
+                docs.append((len(docs), "before it " * (len(docs) % 3) + " ".join(part) + " behind it" * (len(docs) % 2)))
+    found = dc.overlaps(
+        spark.createDataFrame([(*d, "h", 1) for d in docs], DOC_SCHEMA), spark.createDataFrame([(*i, "s") for i in items], ITEM_SCHEMA))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == brute(docs, items)
+
+
 def words_of(text):
     return re.findall(r"\w+", (text or "").lower())
 
@@ -49,7 +76,7 @@ def brute(docs, items):
         for i, item in items:
             b = words_of(item)
             n = min(dc.WINDOW, len(b))
-            if len(b) >= 6 and any(
+            if b and any(
                 sum(x == y for x, y in zip(a[s : s + n], b[t : t + n], strict=False)) >= 0.8 * n
                 for s in range(len(a) - n + 1) for t in range(len(b) - n + 1)
             ):

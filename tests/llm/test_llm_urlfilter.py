@@ -71,6 +71,17 @@ def test_captures_match_a_replay(spark, monkeypatch, broadcast_rows):
     assert sum(r["captures"] for r in found.collect()) == len(captures) and found.count() == len(captures) - 3
 
 
+def test_urls_of_very_many_parts(spark):
+    """Only as many leading parts are asked for as a listed path has."""
+    deep = "http://a.example.com/" + "/".join(f"p{i}" for i in range(20_000))
+    listed = "example.com/" + "/".join(f"p{i}" for i in range(30))
+    entries = spark.createDataFrame([(listed, "c", "add", START), ("example.com/p0/p2", "d", "add", START)], ENTRIES)
+    found = urlfilter.evaluate(spark.createDataFrame([(1, deep, START, "p", 1), (2, URLS[0], START, "p", 1)], CAPTURES), entries)
+    assert {r["page_id"]: r["categories"] for r in found.collect()} == {1: "c", 2: ""}
+    for r in spark.createDataFrame([(u,) for u in URLS], "url string").select("url", urlfilter.covering_patterns(F.col("url"), 1)).collect():
+        assert set(r[1]) == {p for p in plain_patterns(r["url"]) if p.count("/") <= 1}
+
+
 def test_empty_tables(spark):
     captures, entries = spark.createDataFrame([(1, URLS[0], START, "p", 1)], CAPTURES), spark.createDataFrame([], ENTRIES)
     assert urlfilter.evaluate(captures.limit(0), entries).collect() == []

@@ -50,7 +50,7 @@ def test_latest_earlier(spark, seconds):
 
 def test_revisits_match_plain_search(spark):
     random.seed(12)
-    urls = ["http://www.e.org/a?ref=1", "https://e.org/a/", "http://e.org/b", None]
+    urls = ["http://www.e.org/a?ref=1", "https://e.org/a/", "http://e.org/b", None, "", "#top"]
     rows = []
     for i in range(300):
         tag = random.choice([{"ETag": "1"}, {"etag": "W/1"}, {"ETAG": "2"}, {}, None, {"Last-Modified": "mon"}])
@@ -65,7 +65,7 @@ def test_revisits_match_plain_search(spark):
     for i, url, time, status, headers, *_ in rows:
         if status != 304:
             continue
-        full = [(t, j) for j, u, t, s, *_ in rows if s == 200 and j is not None and t and time and t < time and canonical[u] == canonical[url]]
+        full = [(t, j) for j, u, t, s, *_ in rows if s == 200 and j is not None and t and time and t < time and canonical[url] and canonical[u] == canonical[url]]
         refers = max(full)[1] if full else None
         state, merged, new = "no_original", None, names(headers)
         if full:
@@ -82,5 +82,13 @@ def test_revisits_match_plain_search(spark):
     assert sorted(found, key=str) == sorted(expected, key=str)
 
 
+def test_very_long_urls_and_many_headers(spark):
+    url = "http://e.org/" + "deep/" * 20_000 + "?" + "&".join(f"p{i}={i}" for i in range(2_000))
+    headers = {f"h{i}": "v" * 50 for i in range(1_000)} | {"etag": "1"}
+    rows = [(1, url, START, 200, headers, "k", 1), (2, url + "#x", START + timedelta(hours=1), 304, {"etag": "1", "h5": "new"}, "k", 1)]
+    found = warc.resolve(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [(r["refers_to"], r["state"], len(r["headers"]), r["headers"]["h5"]) for r in found] == [(1, "resolved", 1_001, "new")]
+
+
 def test_empty_table(spark):
     assert warc.resolve(spark.createDataFrame([], SCHEMA)).collect() == []
