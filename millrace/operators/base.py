@@ -51,6 +51,10 @@ class Step(Estimator):
     def learn(self, df: DataFrame) -> dict[str, dict]:
         raise NotImplementedError
 
+    def learns_from_summaries(self) -> bool:
+        """Whether ``learn`` also takes a summary in place of rows, and ``summary_columns`` says of what."""
+        return False
+
     def _fit(self, df: DataFrame) -> Transformer:
         return Unchanged() if self.pass_through else self.model(self.settings, self.learn(df))
 

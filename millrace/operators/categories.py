@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import col, present
 from millrace.operators.base import Fitted, Step
 from millrace.plans.counts import value_counts
+from millrace.plans.sources import RowSource
 from millrace.session import materialize
 
 # Spellings of a missing category and of the two truth values, lower case, trimmed.
@@ -180,9 +181,16 @@ class Categories(Step):
 
     model = CategoryModel
 
-    def learn(self, df: DataFrame) -> dict[str, dict]:
+    def learns_from_summaries(self) -> bool:
+        return True
+
+    def summary_columns(self, df: DataFrame) -> tuple[list[str], list[str]]:
+        return [], present(df, self.settings.columns)
+
+    def learn(self, df: DataFrame, source=None) -> dict[str, dict]:
         names = present(df, self.settings.columns)
-        known = frequent_categories(df, names, self.settings.rare_threshold)
+        counts = (source or RowSource(df)).counts(names)
+        known = frequent_categories(df, names, self.settings.rare_threshold, counts)
         return {c: {"known": [list(k) for k in known[c]]} for c in names}
 
 

@@ -12,10 +12,8 @@ from millrace.functions.columns import (
     col, number, numeric_columns, present, text_columns, type_of, without_nan,
 )
 from millrace.operators.base import Fitted, Step
-from millrace.plans.counts import modes
 from millrace.plans.order import carry_fill
-from millrace.plans.quantiles import quantiles
-from millrace.plans.statistics import statistics
+from millrace.plans.sources import RowSource
 
 FILLS = ("constant", "mean", "median", "mode", "ffill", "bfill")
 INDICATOR = "_missing_indicator"
@@ -121,12 +119,21 @@ class FillMissing(Step):
 
     model = FillModel
 
-    def learn(self, df: DataFrame) -> dict[str, dict]:
+    def learns_from_summaries(self) -> bool:
+        return True
+
+    def summary_columns(self, df: DataFrame) -> tuple[list[str], list[str]]:
         s = self.settings
         numbers = [c for c in numeric_columns(df) if c not in (s.row_id, s.time)]
         texts = [c for c in text_columns(df) if c != s.time]
-        stats = statistics(df, {c: number(df, c) for c in numbers}, ["n", "mean", "skew", "min", "max"])
-        counted = statistics(df, {c: col(c) for c in texts}, ["n"])
+        return numbers, [*texts, *(c for c in numbers if s.rules.get(c) == "mode")]
+
+    def learn(self, df: DataFrame, source=None) -> dict[str, dict]:
+        s, source = self.settings, source or RowSource(df)
+        numbers = [c for c in numeric_columns(df) if c not in (s.row_id, s.time)]
+        texts = [c for c in text_columns(df) if c != s.time]
+        stats = source.statistics({c: number(df, c) for c in numbers}, ["n", "mean", "skew", "min", "max"], finite_only=False)
+        counted = source.statistics({c: col(c) for c in texts}, ["n"], finite_only=False)
         filled = {c: s.rules.get(c) for c in [*numbers, *texts] if c not in s.skip}
         gaps = {}
         for c in filled:
@@ -140,15 +147,13 @@ class FillMissing(Step):
         def using(how: str, among: list[str]) -> list[str]:
             return [c for c in among if filled.get(c) == how]
 
-        medians = quantiles(
-            df, {c: (number(df, c), [0.5]) for c in using("median", numbers)}, stats
-        )
+        medians = source.quantiles({c: (number(df, c), [0.5]) for c in using("median", numbers)}, stats)
         values: dict[str, object] = {c: m[0] for c, m in medians.items()}
         values |= {c: stats[c]["mean"] for c in using("mean", numbers)}
         whole = [c for c in using("mode", numbers) if isinstance(type_of(df, c), T.IntegralType)]
-        values |= {c: None if v is None else int(v) for c, v in modes(df, whole, "decimal(20,0)").items()}
-        values |= modes(df, [c for c in using("mode", numbers) if c not in whole], "double")
-        values |= modes(df, using("mode", texts))
+        values |= {c: None if v is None else int(v) for c, v in source.modes(whole, "decimal(20,0)").items()}
+        values |= source.modes([c for c in using("mode", numbers) if c not in whole], "double")
+        values |= source.modes(using("mode", texts))
         values |= {c: v for c, v in s.constants.items() if filled.get(c) == "constant"}
         return {
             c: {

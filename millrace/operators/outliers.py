@@ -19,7 +19,7 @@ from millrace.functions.columns import col, finite, number
 from millrace.operators.base import Fitted, Step
 from millrace.plans.isolation import TREE_ROWS, TREES, anomalous_ranges, in_ranges
 from millrace.plans.quantiles import quantiles
-from millrace.plans.statistics import statistics
+from millrace.plans.sources import RowSource
 
 METHODS = ("zscore", "iqr", "robust", "mad", "isolationforest", "custom", "minmax_business")
 HANDLING = ("clip", "nan", "impute", "constant", "custom", "mark")
@@ -256,18 +256,28 @@ class Outliers(Step):
 
     model = OutlierModel
 
-    def learn(self, df: DataFrame) -> dict[str, dict]:
+    def learns_from_summaries(self) -> bool:
+        """Median deviations, forests and own detectors need the rows themselves."""
+        return not {r.method for r in self.settings.rules} & {"mad", "isolationforest", "custom"}
+
+    def summary_columns(self, df: DataFrame) -> tuple[list[str], list[str]]:
+        return list(dict.fromkeys(r.column for r in self.settings.rules if r.column in df.columns)), []
+
+    def learn(self, df: DataFrame, source=None) -> dict[str, dict]:
+        if source is not None and not self.learns_from_summaries():
+            raise ValueError("a rule of this step needs the rows, a summary is not enough")
+        source = source or RowSource(df)
         rules = [r for r in self.settings.rules if r.column in df.columns]
         unknown = sorted({r.column for r in self.settings.rules} - set(df.columns))
         if unknown:
             warnings.warn(f"columns not in the table: {unknown}", stacklevel=2)
         values = {r.column: finite(df, r.column) for r in rules}
-        stats = statistics(df, values, ["n", "mean", "std", "min", "max"])
+        stats = source.statistics(values, ["n", "mean", "std", "min", "max"])
         wanted: dict[str, list[float]] = {}
         for rule in rules:
             known = wanted.setdefault(rule.column, [])
             known += [s for s in _shares(rule) if s not in known]
-        found = quantiles(df, {c: (values[c], shares) for c, shares in wanted.items()}, stats)
+        found = source.quantiles({c: (values[c], shares) for c, shares in wanted.items()}, stats)
         at = {c: dict(zip(shares, found[c], strict=True)) for c, shares in wanted.items()}
         spread = self._median_deviations(df, rules, values, stats, at)
 

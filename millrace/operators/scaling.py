@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import finite, number, numeric_columns, present
 from millrace.operators.base import Fitted, Step
 from millrace.operators.missing import INDICATOR
-from millrace.plans.quantiles import quantiles
+from millrace.plans.sources import RowSource
 from millrace.plans.statistics import statistics
 
 SCALERS = ("minmax", "standard", "robust")
@@ -125,8 +125,15 @@ class Scale(Step):
     def __init__(self, settings: ScaleSettings | None = None, pass_through: bool = False):
         super().__init__(settings or ScaleSettings(), pass_through)
 
-    def learn(self, df: DataFrame) -> dict[str, dict]:
-        s = self.settings
+    def learns_from_summaries(self) -> bool:
+        return True
+
+    def summary_columns(self, df: DataFrame) -> tuple[list[str], list[str]]:
+        listed = present(df, self.settings.scalers)
+        return (listed if self.settings.only_listed else numeric_columns(df)), []
+
+    def learn(self, df: DataFrame, source=None) -> dict[str, dict]:
+        s, source = self.settings, source or RowSource(df)
         state = {c: {"method": "user_skip"} for c in present(df, s.skip)}
         listed = present(df, s.scalers)
         others = [] if s.only_listed else [c for c in numeric_columns(df) if c not in s.scalers]
@@ -134,7 +141,7 @@ class Scale(Step):
         if s.algorithm in SCALE_FREE:
             return state | {c: {"method": "skip_all"} for c in names}
         values = {c: finite(df, c) for c in names}
-        stats = statistics(df, values, ["n", "mean", "std", "min", "max", "skew", "not_flag"])
+        stats = source.statistics(values, ["n", "mean", "std", "min", "max", "skew", "not_flag"])
         wanted: dict[str, list[float]] = {}
         for c in names:
             if stats[c]["n"] == 0:
@@ -148,7 +155,7 @@ class Scale(Step):
             elif s.scalers[c].method == "robust":
                 low, high = s.scalers[c].quantile_range
                 wanted[c] = [low / 100, 0.5, high / 100]
-        found = quantiles(df, {c: (values[c], q) for c, q in wanted.items()}, stats)
+        found = source.quantiles({c: (values[c], q) for c, q in wanted.items()}, stats)
         for c in names:
             if c not in state:
                 scaler = s.scalers.get(c) or _recommended(stats[c], found[c])

@@ -1,4 +1,4 @@
-"""Sliding windows over one ordered series, and their label matrix."""
+"""Sliding windows over one ordered series or one series per entity, and their label matrix."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import col, number
-from millrace.plans.order import with_position
+from millrace.plans.order import with_entity_position, with_position
 
 CHUNK_ROWS = 200_000
 
@@ -48,9 +48,13 @@ def make_windows(
     row_id: str,
     chunk_rows: int = CHUNK_ROWS,
     buckets: int | None = None,
+    entity: str | None = None,
 ) -> DataFrame:
     """One row per window: ``start_pos``, its start time, ``in_<feature>`` and ``out_<label>`` arrays.
 
+    With ``entity`` every entity is a series of its own: it leads the result, and ``start_pos`` counts from 0 in
+    each of them. Chunks are then cut inside entities, so that one of them may hold most rows.
+
     Positions come from the global order. Rows are then grouped into chunks of consecutive positions;
     the first ``total - 1`` rows of a chunk are also given to the chunk before it, so that every
     window lies inside one chunk. The last ``total - 1`` rows start no window.
@@ -58,13 +62,17 @@ def make_windows(
     s = settings
     chunk_rows = max(chunk_rows, s.total)
     used = sorted({*s.feature_columns, *s.label_columns})
-    narrow = df.select(col(time), col(row_id), *(number(df, c).alias(c) for c in used))
-    placed = with_position(narrow, time, row_id, "start_pos", buckets)
+    keys = [] if entity is None else [col(entity)]
+    narrow = df.select(col(time), col(row_id), *keys, *(number(df, c).alias(c) for c in used if c != entity))
+    if entity is None:
+        placed = with_position(narrow, time, row_id, "start_pos", buckets)
+    else:
+        placed = with_entity_position(narrow, entity, time, row_id, "start_pos", buckets)
     chunk = F.floor(F.col("start_pos") / F.lit(chunk_rows)).cast("long")
     shared = (F.col("start_pos") % chunk_rows < s.total - 1) & (chunk > 0)
     homes = F.when(shared, F.array(chunk, chunk - 1)).otherwise(F.array(chunk))
     spread = placed.withColumn("__home", chunk).withColumn("__chunk", F.explode(homes))
-    in_chunk = Window.partitionBy("__chunk").orderBy("start_pos")
+    in_chunk = Window.partitionBy(*keys, "__chunk").orderBy("start_pos")
 
     def gather(name: str, first: int, last: int) -> Column:
         # A struct keeps NULL elements, which collect_list alone would drop.
@@ -77,7 +85,7 @@ def make_windows(
     return (
         spread.withColumns(arrays)
         .where(whole & (F.col("__home") == F.col("__chunk")))
-        .select("start_pos", col(time).alias("start_time"), *(col(a) for a in arrays))
+        .select(*keys, "start_pos", col(time).alias("start_time"), *(col(a) for a in arrays))
     )
 
 

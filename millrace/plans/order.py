@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.columns import col, epoch_micros, type_of
 from millrace.plans.quantiles import values_at_ranks
+from millrace.session import materialize
 
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 8192
@@ -133,6 +134,70 @@ def with_position(
     )
 
 
+def entity_ranges(df: DataFrame, entity: str, order: list[Column], parts: int | None = None) -> DataFrame:
+    """The rows dealt out in ranges of ``(entity, order)`` and written, with the number of their range in ``__bucket``.
+
+    Ranges come from Spark's own sample of the keys, so an entity of any size is cut wherever a range is full, and
+    only the first entity of a range can have rows in ranges before it. Rows without an entity are one entity.
+    """
+    if parts is None:
+        rows, shuffled = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(1, min(MAX_BUCKETS, rows, max(rows // ROWS_PER_BUCKET, shuffled)))
+    return materialize(df.repartitionByRange(parts, col(entity), *order).withColumn(BUCKET, F.spark_partition_id()))
+
+
+def running_totals(ranges: DataFrame, entity: str, counted: Column) -> DataFrame:
+    """``__bucket, __first, __start``: per range its first entity, and the sum of ``counted`` over that entity's rows in
+    earlier ranges. The driver gets four values per range, however many entities there are."""
+    shares = ranges.groupBy(BUCKET, F.struct(col(entity).alias("e")).alias("e")).agg(F.sum(counted).alias("n"))
+    ends = shares.groupBy(BUCKET).agg(F.min(F.struct("e", "n")).alias("first"), F.max(F.struct("e", "n")).alias("last")).collect()
+    starts, running, before = [], 0, None
+    for row in sorted(ends, key=lambda r: r[BUCKET]):
+        first, last = row["first"], row["last"]
+        starts.append((row[BUCKET], (first["e"]["e"],), running if first["e"] == before else 0))
+        running = last["n"] + (running if first["e"] == last["e"] == before else 0)
+        before = last["e"]
+    return _by_range(ranges, entity, starts, T.LongType())
+
+
+def last_before(ranges: DataFrame, entity: str, place: Column, value: Column, value_type: T.DataType) -> DataFrame:
+    """``__bucket, __first, __start``: per range its first entity, and the value of that entity's last row in earlier
+    ranges that has one; ``place`` orders the rows of an entity."""
+    whole = F.struct(col(entity).alias("e"))
+    held = F.max_by(F.struct(whole.alias("e"), value.alias("v")), F.when(value.isNotNull(), F.struct(whole, place)))
+    ends = ranges.groupBy(BUCKET).agg(F.min(whole).alias("first"), held.alias("last")).collect()
+    starts, running = [], None
+    for row in sorted(ends, key=lambda r: r[BUCKET]):
+        same = running is not None and running["e"] == row["first"]
+        starts.append((row[BUCKET], tuple(row["first"]), running["v"] if same else None))
+        running = row["last"] or running
+    return _by_range(ranges, entity, starts, value_type)
+
+
+def _by_range(ranges: DataFrame, entity: str, starts: list[tuple], start_type: T.DataType) -> DataFrame:
+    schema = T.StructType([
+        T.StructField(BUCKET, T.IntegerType()), T.StructField("__first", T.StructType([T.StructField("e", type_of(ranges, entity))])),
+        T.StructField("__start", start_type),
+    ])
+    return F.broadcast(ranges.sparkSession.createDataFrame(starts, schema))
+
+
+def from_earlier_ranges(entity: str) -> Column:
+    """``__start`` for the rows of the first entity of a range, NULL for all others."""
+    return F.when(F.col("__first.e").eqNullSafe(col(entity)), F.col("__start"))
+
+
+def with_entity_position(
+    df: DataFrame, entity: str, time: str, row_id: str, name: str = "pos", parts: int | None = None
+) -> DataFrame:
+    """Add the 0-based position of every row among the rows of its entity, ordered by ``(time, row_id)``."""
+    dealt = entity_ranges(df, entity, [col(time), col(row_id)], parts)
+    in_order = Window.partitionBy(BUCKET, col(entity)).orderBy(col(time), col(row_id))
+    position = F.coalesce(from_earlier_ranges(entity), F.lit(0)) + F.row_number().over(in_order) - F.lit(1)
+    joined = dealt.join(running_totals(dealt, entity, F.lit(1)), BUCKET)
+    return joined.withColumn(name, position).drop(BUCKET, "__start", "__first")
+
+
 def carry_fill(
     df: DataFrame,
     forward: list[str],

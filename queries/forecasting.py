@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators.evaluation import regression_metrics
 from millrace.operators.forecast import (
     SweepConfig, fit_linear, forecast_ahead, future_timestamps, model_sweep, persistence_forecast,
-    seasonal_forecast,
+    seasonal_forecast, solve_linear, window_moments,
 )
 from millrace.operators.missing import FillMissing, FillSettings
 from millrace.operators.sampling import TimeResample
@@ -113,20 +113,66 @@ judged AS (SELECT config, my + w * (x - mx) - y AS gap FROM cut, known, slope WH
 SELECT config, count(*) AS n, round(avg(abs(gap)), 6) AS mae, round(sqrt(avg(gap * gap)), 6) AS rmse FROM judged GROUP BY config"""
 
 
-@query("model_sweep", SWEEP)
+CONFIGS = [SweepConfig("plain"), SweepConfig("ridge", 0.5), SweepConfig("lasso", 0.1, 1.0)]
+
+
+def _parts(windows, settings):
+    """Seven tenths to learn from and the rest to judge; windows that reach past the cut are in neither, so that no
+    label is seen in training."""
+    cut = windows.count() * 7 // 10
+    return windows.where(F.col("start_pos") < cut - settings.total), windows.where(F.col("start_pos") >= cut)
+
+
+@query("model_sweep_single", SWEEP)
 def _(spark, sf_dir):
     """One input, where the three penalties have closed forms."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
     windows = materialize(make_windows(events, SINGLE, "ts", "event_id"))
-    cut = windows.count() * 7 // 10
-    # Windows that reach past the cut are in neither part, so no label is seen in training.
-    train = windows.where(F.col("start_pos") < cut - SINGLE.total)
-    validation = windows.where(F.col("start_pos") >= cut)
-    configs = [SweepConfig("plain"), SweepConfig("ridge", 0.5), SweepConfig("lasso", 0.1, 1.0)]
-    found = model_sweep(train, validation, SINGLE, configs)
+    found = model_sweep(*_parts(windows, SINGLE), SINGLE, CONFIGS)
     return found.select("config", "n", r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"))
 
 
+def _conditions_sql(config: str, step: int, place: int) -> str:
+    """What the optimum of each penalty leaves: residuals without mean, and per input no slope that could be followed."""
+    return f"""SELECT '{config}' AS config, {step} AS step, {place} AS input, count(*) FILTER (start_pos < edge - 30) AS n_train,
+        count(*) FILTER (start_pos >= edge) * 5 AS n_judged, round(stddev_pop({INPUTS[place]}) FILTER (start_pos < edge - 30), 6) AS spread,
+        0.0::DOUBLE AS mean_residual, 0.0::DOUBLE AS slope_left FROM cut"""
+
+
+@query(
+    "model_sweep",
+    f"""WITH {AHEAD}, cut AS (SELECT *, count(*) OVER () * 7 // 10 AS edge FROM w)
+        {" UNION ALL ".join(_conditions_sql(c.name, s, p) for c in CONFIGS for s in range(1, 6) for p in range(12))}""",
+)
+def _(spark, sf_dir):
+    """Three penalties over all inputs and steps of the full windows, solved from one set of moments and judged on the
+    later windows. The optimum is proved by its conditions: with standardized inputs, the mean product of residual and
+    input is the ridge share of the weight plus the lasso share with its sign, or less where the weight is 0."""
+    windows = materialize(_windows(spark, sf_dir))
+    train, validation = _parts(windows, SETTINGS)
+    judged = model_sweep(train, validation, SETTINGS, CONFIGS).where("status = 'ok' and rmse > 0")
+    moments, count = window_moments(train, SETTINGS), train.count()
+    spread = (moments.second.diagonal()[:12] ** 0.5).tolist()
+    inputs = train.select("start_pos", F.posexplode(F.concat("in_value", "in_user_id")).alias("input", "x"))
+    sigma, mean = (F.get(F.array(*map(F.lit, v)), F.col("input")) for v in (spread, moments.mean[:12].tolist()))
+    found = None
+    for config in CONFIGS:
+        model = solve_linear(moments, SETTINGS, config.reg, config.elastic)
+        weights = [(step + 1, place, w * spread[place]) for step, (_, own) in enumerate(model.weights["value"]) for place, w in enumerate(own)]
+        scaled = F.broadcast(spark.createDataFrame(weights, "step int, input int, u double"))
+        residual = F.col("y_true") - F.col("y_pred")
+        slopes = model.predict(train).join(inputs, "start_pos").groupBy("step", "input").agg(
+            F.avg(residual * (F.col("x") - mean) / sigma).alias("slope"), F.avg(residual).alias("rest"), F.stddev_pop("x").alias("spread"))
+        u, lasso = F.col("u"), F.lit(config.reg * config.elastic)
+        bound = F.when(u == 0, F.greatest(F.abs(F.col("slope")) - lasso, F.lit(0.0))).otherwise(
+            F.abs(F.col("slope") - config.reg * (1 - config.elastic) * u - lasso * F.signum(u)))
+        own = slopes.join(scaled, ["step", "input"]).select(
+            F.lit(config.name).alias("config"), "step", "input", F.lit(count).cast("long").alias("n_train"), r6(F.col("spread")).alias("spread"),
+            F.abs(r6(F.col("rest"))).alias("mean_residual"), r6(bound).alias("slope_left"))
+        found = own if found is None else found.union(own)
+    return found.join(F.broadcast(judged.select("config", F.col("n").alias("n_judged"))), "config")
+
+
 HOURLY = WindowSettings(label_columns=("value", "users"), feature_columns=("value", "users"))
 GRID = """hours AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS ts, avg(value) AS value, avg(user_id) AS users FROM events GROUP BY 1)"""
 
