@@ -3,8 +3,13 @@
 Pass one hashes the subtree of every element of a page (tag, class and all that stands in it). Spark counts,
 per host, on how many pages with different main text each hash occurs; a subtree on at least ``MIN_PAGES``
 of them is template. Counting different texts keeps copies of one article from passing for a template. Pass
-two reads the pages again, deletes template subtrees, hidden elements and what its tag or a whole name of its class, id
-or role marks as menu, notice, advert, form, sidebar, comments and so on (never what is or holds an article), and returns the blocks that are left, those of the article where a page has one.
+two reads the pages again and deletes template subtrees, hidden elements, menus, footers, asides and comments. What is
+marked as advert, notice, form and so on only by a name of its class, id or role, and a form, is in doubt: it goes
+too, unless it holds most text of the page (a page may stand in one form, or in a box called notice) or, a form, prose
+rather than fields. A name marks its element as a whole, or by its first or last part (``comments-area``,
+``cookieBanner``, ``main-menu``), but not where that part says what a page has (``with-sidebar``). Nothing that is
+or holds an article is deleted. What is left is the text: the blocks of the articles, or of the main element,
+unless several times as much text that nothing doubts stands outside of them: then they are teasers.
 Inside an article only containers are deleted as template: prose that several articles share stays.
 
 Template hashes are broadcast while there are at most ``BROADCAST_ROWS`` of them; beyond that every page gets
@@ -21,6 +26,8 @@ import html
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +52,7 @@ INLINE = frozenset(
 )
 PROSE = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table caption thead tbody tfoot tr td th hr br".split())
 NEVER_TEXT = frozenset(
-    "head nav footer aside form button select option datalist dialog menu noscript template svg canvas object audio video map".split()
+    "head nav footer aside button select option datalist dialog menu noscript template svg canvas object audio video map".split()
 )
 #: Class, id and role names that mark what is not main text.
 NAMES = frozenset(
@@ -57,6 +64,23 @@ NAMES = frozenset(
     "role=form role=alert".split()
 )
 COMMENTS = frozenset("comment comments commentlist disqus replies respond".split())
+#: First or last parts of names that mark the same, and first parts that only tell what a page has.
+PARTS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr newsletter popup sidebar menu "
+    "nav navbar navigation breadcrumb breadcrumbs footer topbar pagination".split()
+)
+HAVING = frozenset("with has have no not without show hide is js if wp body layout template".split())
+#: Whole names that say as much as the tags of menus, footers and asides do.
+STRUCTURE = frozenset(
+    "sidebar menu nav navbar navigation breadcrumb breadcrumbs footer pagination pager contentinfo complementary role=search role=form "
+    "role=alert".split()
+)
+#: Fields of a form.
+FIELDS = frozenset("input textarea select button".split())
+#: The share of a page's text above which a doubtful element is the page itself; characters of text for each field
+#: from which a form is prose; how many times as much text outside of articles makes them teasers.
+MOST_TEXT, PROSE_PER_FIELD, TEASERS = 2 / 3, 200, 3
+NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+|[^\W\d_a-zA-Z]+")
 #: An open element that a new one of these ends.
 P_ENDERS = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
@@ -72,6 +96,16 @@ ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b")
 
 
+@lru_cache(maxsize=4096)
+def marks_of(name: str) -> frozenset:
+    """The name in lower case, and its first and last part if they decide."""
+    parts, found = [p.lower() for p in NAME_PARTS.findall(name[:200])], {name.lower()}
+    if len(parts) > 1 and parts[0] not in HAVING:
+        found |= {f"part={p}" for p in (parts[0], parts[-1]) if p in PARTS}
+        found |= {p for p in (parts[0], parts[-1]) if p in COMMENTS}
+    return frozenset(found)
+
+
 def is_main(tag: str, names: frozenset) -> bool:
     """Whether an element is main text: articles may be comments."""
     return tag == "main" or (tag == "article" and not names & COMMENTS)
@@ -95,6 +129,7 @@ class Element:
     blocks: int
     pieces: int
     in_main: bool
+    fields: int
     holds_main: bool = False
     parts: list[bytes] = field(default_factory=list)
 
@@ -111,7 +146,8 @@ class Page:
         self.hashes: set[int] = set()
         self.articles: list[tuple[int, int]] = []
         self.mains: list[tuple[int, int]] = []
-        self.main_depth = 0
+        self.doubtful: list[tuple[int, int]] = []
+        self.main_depth = self.fields = 0
 
     def read(self, text: str) -> tuple[str, set[int]]:
         """The main text and the hashes of the subtrees that may be template."""
@@ -128,11 +164,30 @@ class Page:
         while self.open:
             self.close()
         self.flush()
+        return "\n".join(self.chosen()), self.hashes
+
+    def chosen(self) -> list[str]:
+        """The blocks that are main text."""
+        sizes, stays = [len(b) for b in self.blocks], [True] * len(self.blocks)
+        doubted = [False] * len(self.blocks)
+        before, total = [0, *accumulate(sizes)], sum(sizes)
+        end = 0
+        for low, high in sorted(self.doubtful, key=lambda r: (r[0], -r[1])):  # outer elements before inner ones
+            doubted[low:high] = [True] * (high - low)
+            if high > end and before[high] - before[low] <= MOST_TEXT * total:
+                stays[low:high] = [False] * (high - low)
+                end = high
         for ranges in (self.articles, self.mains):
-            found = [b for low, high in ranges for b in self.blocks[low:high]]
-            if found:
-                return "\n".join(found), self.hashes
-        return "\n".join(self.blocks), self.hashes
+            inside = [False] * len(self.blocks)
+            for low, high in ranges:
+                inside[low:high] = [True] * (high - low)
+            own = [i for i, within in enumerate(inside) if within and stays[i]]
+            if own:
+                outside = [i for i, within in enumerate(inside) if not within and not doubted[i]]
+                if sum(sizes[i] for i in outside) > TEASERS * sum(sizes[i] for i in own):
+                    own = outside
+                return [self.blocks[i] for i in own]
+        return [b for b, stay in zip(self.blocks, stays, strict=True) if stay]
 
     def markup(self, text: str, start: int) -> int:
         """Handle what starts with this sign; the place behind it."""
@@ -185,22 +240,25 @@ class Page:
         enders = ENDS.get(tag, ())
         while self.open and self.open[-1].tag in enders:
             self.close()
+        if tag in FIELDS and "hidden" not in marks.lower():
+            self.fields += 1
         if tag in VOID:
             return
         names, hidden, label = frozenset(), False, tag.encode()
         given: set[str] = set()
         for name, *values in ATTRIBUTE.findall(marks) if marks else ():
-            name, value = name.lower(), "".join(values).lower()
+            name, raw = name.lower(), "".join(values)
+            value = raw.lower()
             if name in given:  # the first of several counts
                 continue
             given.add(name)
             if name in ("class", "id", "role"):
-                names |= frozenset(value.split())
+                names = names.union(*map(marks_of, raw.split()))
                 names |= frozenset(f"role={v}" for v in value.split()) if name == "role" else frozenset()
                 label += f" {value}".encode() if name == "class" else b""
             else:
                 hidden = hidden or is_hidden(name, value)
-        element = Element(tag, names, hidden, len(self.blocks), len(self.pieces), self.main_depth > 0)
+        element = Element(tag, names, hidden, len(self.blocks), len(self.pieces), self.main_depth > 0, self.fields)
         element.parts.append(label)
         self.open.append(element)
         self.counts[tag] = self.counts.get(tag, 0) + 1
@@ -262,9 +320,11 @@ class Page:
         if deleted:
             del self.blocks[element.blocks :]
             del self.pieces[element.pieces :]
-            for ranges in (self.articles, self.mains):
+            for ranges in (self.articles, self.mains, self.doubtful):
                 while ranges and ranges[-1][0] >= len(self.blocks):
                     ranges.pop()
+        elif len(self.blocks) > element.blocks and self.in_doubt(element):
+            self.doubtful.append((element.blocks, len(self.blocks)))
         if main:
             self.main_depth -= 1
             ranges = self.articles if element.tag == "article" else self.mains
@@ -279,11 +339,22 @@ class Page:
             return element.tag not in ("html", "body")
         if element.holds_main or element.tag in ("html", "body") or is_main(element.tag, element.names):
             return False
-        if element.names & COMMENTS:
-            return True
-        if element.tag in NEVER_TEXT or (element.tag == "header" and not element.in_main):
+        if element.names & COMMENTS or element.tag in NEVER_TEXT or (element.tag == "header" and not element.in_main):
             return True
-        return bool(element.names & NAMES)
+        return bool(element.names & STRUCTURE) or (element.tag in INLINE and self.is_named(element))
+
+    @staticmethod
+    def is_named(element: Element) -> bool:
+        return bool(element.names & NAMES) or any(n.startswith("part=") for n in element.names)
+
+    def in_doubt(self, element: Element) -> bool:
+        """Whether only a name, or being a form, says that this is not main text."""
+        if element.holds_main or element.tag in ("html", "body") or is_main(element.tag, element.names):
+            return False
+        if element.tag == "form":
+            size = sum(map(len, self.blocks[element.blocks :]))
+            return size < PROSE_PER_FIELD * (self.fields - element.fields + 1) or self.is_named(element)
+        return self.is_named(element)
 
 
 def main_text(page: str | None, is_template: Callable[[int], bool] = lambda _: False) -> tuple[str, set[int]]:

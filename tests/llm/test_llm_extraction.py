@@ -95,3 +95,83 @@ GONE = ["<p HIDDEN>no</p>", "<p hidden=''>no</p>", "<p style='color:red; DISPLAY
 @pytest.mark.parametrize("page", KEPT + GONE)
 def test_only_hidden_elements_and_whole_names_go(page):
     assert main_text(page)[0] == ("kept" if page in KEPT else "")
+
+
+BODY = "<p>" + "The river runs past the old mill and on to the sea. " * 8 + "</p><p>Nobody knows how long the mill has stood there.</p>"
+TEXT = ("The river runs past the old mill and on to the sea. " * 8).strip() + "\nNobody knows how long the mill has stood there."
+
+#: The element holds the page, whatever it is called.
+WHOLE = [
+    f"<form id=aspnetForm method=post><input type=hidden name=v value=1><div id=content>{BODY}</div><input type=submit></form>",
+    f"<body><div class=notice>{BODY}</div></body>", f"<div class='cookie-site'>{BODY}</div>", f"<div id=menu-page>{BODY}</div>",
+    f"<form>{BODY}<label>Vote<select><option>1</select></label></form>",
+    f"<div class='with-sidebar'>{BODY}</div>", f"<div class='has-comments no-nav'>{BODY}</div>", f"<div class='page-navigation'>{BODY}</div>",
+    f"<div class=story>{BODY}</div><article><a href=/x>Another story</a></article>",
+]
+MARKED = [
+    "comment-list", "comments-section", "comments-area", "cookieBanner", "cookie-popup", "ad-unit", "advert-box", "sidebar-left", "sidebar_right",
+    "main-menu", "top-nav", "site-footer", "commentArea", "AdUnit", "left_sidebar", "gdprNote", "siteNavigation", "newsletter-box",
+]
+
+
+@pytest.mark.parametrize("page", WHOLE)
+def test_an_element_with_most_of_the_text_is_the_page(page):
+    assert main_text(page)[0].startswith(TEXT) and "Another story" not in main_text(page)[0]
+
+
+@pytest.mark.parametrize("name", MARKED)
+@pytest.mark.parametrize("mark", ["class", "id"])
+def test_names_are_read_by_their_first_and_last_part(name, mark):
+    box = f"<div {mark}='{name}'><p>Something else that is no part of the story.</p></div>"
+    assert main_text(f"<div class=story>{BODY}</div>{box}")[0] == TEXT
+    assert main_text(f"{box}<article>{BODY}</article>")[0] == TEXT
+    assert main_text(f"<article>{BODY}{box}</article>")[0] == TEXT
+
+
+@pytest.mark.parametrize("name", ["gadget", "adventure", "menuetto", "commentary", "navy", "loading", "read-more", "headline-box", "x-sidebar-y"])
+def test_names_that_only_look_alike_stay(name):
+    assert main_text(f"<div>{BODY}</div><div class={name}><p>also text</p></div>")[0] == TEXT + "\nalso text"
+
+
+def test_forms_go_by_what_they_hold():
+    fields = "<form><label>Name<input></label><label>Mail<input></label><p>We never share it.</p><button>Send</button></form>"
+    assert main_text(f"<div>{BODY}</div>{fields}")[0] == TEXT
+    quiz = f"<form>{BODY}<input type=checkbox></form>"
+    assert main_text(f"<div>{BODY}</div>{quiz}<div>{BODY}</div>")[0].count("Nobody knows") == 3
+
+
+#: Layouts that were written after the rules, as content systems make them: page, kept text, texts that must go.
+LAYOUTS = {
+    "weblog": (
+        f"<body class='single has-sidebar'><div id=page><header class=site-header><h1>Mill notes</h1></header><div id=primary class=content-area>"
+        f"<div class='post-12 type-post'><h2 class=entry-title>The mill</h2><div class=entry-content>{BODY}<div class='sharedaddy share-buttons'>Tweet this</div>"
+        f"</div></div><div id=comments class=comments-area><h3>2 thoughts</h3><ol class=comment-list><li class=comment><p>Nice read, thanks</p></li></ol>"
+        f"<div id=respond class=comment-respond><form class=comment-form><textarea></textarea>Leave a reply</form></div></div></div>"
+        f"<div id=secondary class='widget-area sidebar'><p>About me and my cat</p></div><div class=site-footer>Proudly powered</div></div>",
+        "The mill\n" + TEXT, ["Mill notes", "Tweet", "thoughts", "Nice read", "Leave a reply", "cat", "powered"]),
+    "enterprise": (
+        f"<form id=form1 action=x.aspx><input type=hidden id=__VIEWSTATE value=abc><div id=topNav><a>Home</a> <a>Products</a></div><div class=breadcrumb-trail>You are here</div>"
+        f"<div id=MainContent><h1>Mill</h1>{BODY}</div><div id=leftMenu><ul><li>One<li>Two</ul></div><div id=pageFooter>All rights</div></form>",
+        "Mill\n" + TEXT, ["Home", "You are here", "One", "All rights"]),
+    "news": (
+        f"<div class=gdpr-wall><p>We value your privacy</p></div><main id=main><article class=story><h1>Mill saved</h1><div class=AdSlot>Buy flour</div>{BODY}"
+        f"<aside>Related</aside><div class='newsletter-signup'><form><input>Sign up</form></div></article><section class=promo-strip>Ten more stories</section></main>",
+        "Mill saved\n" + TEXT, ["privacy", "flour", "Related", "Sign up", "Ten more"]),
+    "manual": (
+        f"<div class=sphinxsidebar-x></div><div role=navigation>next | previous</div><div class=document><div class=body role=main><section id=mill><h1>Mill</h1>{BODY}</section></div></div>"
+        f"<div class='docs-sidebar'><ul><li>Install<li>Use</ul></div><div class=docs-footer>Built yesterday</div>",
+        "Mill\n" + TEXT, ["next |", "Install", "yesterday"]),
+    "shop": (
+        f"<div class=cookieConsent>OK?</div><div class=product><h1>Mill stone</h1><div class=description>{BODY}</div><form class=cart><input type=number><button>Add</button> In stock</form></div>"
+        f"<div class=site-menu>Stones Wheels</div><div id=adsTop>Cheap stones</div>",
+        "Mill stone\n" + TEXT, ["OK?", "In stock", "Wheels", "Cheap"]),
+}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_layouts_not_used_while_the_rules_were_written(layout):
+    page, kept, gone = LAYOUTS[layout]
+    found = main_text(page)[0]
+    words = found.split()
+    assert [t for t in gone if t in found] == []
+    assert found == kept, (len(set(words) & set(kept.split())) / len(set(kept.split())))
