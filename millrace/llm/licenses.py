@@ -1,6 +1,6 @@
 """License scans with built-in functions only: Dice coefficient over the word bigrams of normalised text.
 
-Units are the lines of a text and the whole text. A unit is lower-cased, everything but letters and digits
+Units are the lines of a text, the whole text, and runs of its words around dense template hits. A unit is lower-cased, everything but letters and digits
 becomes a blank, and its different word bigrams (64-bit hashes of two words) are compared with those of
 licence templates. A coefficient
 of ``t`` needs sizes within a factor of ``(2 - t) / t``, so a unit whose size fits no template goes no further,
@@ -8,6 +8,15 @@ and a bigram meets only templates whose bounds hold the size of its unit. Bigram
 equi-join with the template table, which is a fixed list (or one of checked size); common bigrams are counted
 per unit and template, and the count gives the coefficient. No unit is ever paired with all templates.
 
+Runs of words find licences that are wrapped over lines, commented, or stand within a longer line. Only texts that hold
+enough of a template's different bigrams to reach the similarity at all go on. In these every bigram weighs ``2 - t`` if
+it is the template's and ``-t`` if not; a run whose weights add up to ``t`` times the template's size has a coefficient of
+``t`` or more, and some run does if any run reaches ``t``. The heaviest run is found by running sums and a running minimum
+over the hits, and its coefficient is computed from its own bigrams. A bigram that was met less than the largest
+unit's size before weighs as one that is not the template's, so that two copies are two runs, of which the heavier
+counts. A run is reported for templates that match no line and not the whole text, and of overlapping runs the one of
+the highest coefficient.
+
 Defined results: null and empty texts, and units of one word, match nothing. The lowest template name wins
 among equal coefficients. Equal rows (same key and text) are reported once for each unit. Rows without a key
 are reported without one, by their text hash.
@@ -19,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.frames import BROADCAST_ROWS, col
+from millrace.session import materialize
 
 SIMILARITY = 0.8
 
@@ -142,6 +152,86 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates: Data
     )
 
 
+def runs(df: DataFrame, key: str = "doc_id", text: str = "text", templates: DataFrame | None = None,
+         similarity: float = SIMILARITY) -> DataFrame:
+    """The best run of words of every text and template that reaches the similarity, of overlapping ones the best.
+
+    Columns as :func:`scan` has them, without ``line``, and ``first_word`` (from 1) and ``n_words``.
+    """
+    table = template_table(df.sparkSession) if templates is None else templates
+    few = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    t = table.withColumnRenamed("bigram", "template_bigram")
+    t = F.broadcast(t) if few else t
+    hit, thousandths = F.col("bigram") == F.col("template_bigram"), round(1000 * similarity)
+    normal = F.trim(F.regexp_replace(F.lower(col(text)), r"[^\p{L}\p{N}]+", " "))
+    texts = df.where(col(text).isNotNull()).select(col(key).alias("id"), F.xxhash64(col(text)).alias("text_hash"), normal.alias("words"))
+    pair = ["id", "text_hash", "license", "template_size"]
+
+    # texts that hold so many of a template's bigrams that some run may reach the similarity
+    seen = texts.select("id", "text_hash", F.explode(bigrams(F.col("words"))).alias("bigram")).join(t, hit)
+    enough = F.col("n") * (2000 - thousandths) >= thousandths * F.col("template_size")
+    wanted = materialize(seen.groupBy(*pair).agg(F.count("*").alias("n")).where(enough).select(*pair))
+    small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    ids = wanted.select(F.col("id").alias("of_id"), F.col("text_hash").alias("of_hash")).distinct()
+    same_text = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash"))
+    chosen = texts.join(F.broadcast(ids) if small else ids, same_text, "left_semi").groupBy("id", "text_hash").agg(F.first("words").alias("words"))
+    held = materialize(chosen.select("id", "text_hash", every_bigram(F.col("words")).alias("bigrams")))
+
+    each = held.select("id", "text_hash", F.posexplode("bigrams").alias("pos", "bigram")).withColumn("pos", F.col("pos") + 1)
+    w = wanted.select(*(F.col(c).alias(f"w_{c}") for c in pair))
+    same_pair = F.col("id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_text_hash"))
+    hits = each.join(t, hit).join(w, same_pair & (F.col("license") == F.col("w_license"))).select(*pair, "pos", "bigram")
+    before = F.lag("pos").over(Window.partitionBy(*pair, "bigram").orderBy("pos"))
+    new = hits.withColumn("before", before).where(F.col("before").isNull() | (F.col("pos") - F.col("before") > F.col("template_size") * bounds(similarity)))
+    along = Window.partitionBy(*pair).orderBy("pos")
+    placed = new.withColumn("k", F.row_number().over(along).cast("long"))
+    start = F.struct((2000 * (F.col("k") - 1) - thousandths * (F.col("pos") - 1)).alias("sum"), (-F.col("pos")).alias("pos"))
+    least = F.min(start).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    weighed = placed.withColumn("least", least).withColumn("weight", 2000 * F.col("k") - thousandths * F.col("pos") - F.col("least.sum"))
+    heavy = weighed.where(F.col("weight") >= thousandths * F.col("template_size"))
+    best = heavy.groupBy(*pair).agg(F.max(F.struct("weight", (-F.col("pos")).alias("end"), F.col("least.pos").alias("start"))).alias("b"))
+    found = best.select(*pair, (-F.col("b.start")).alias("first_word"), (F.col("b.start") - F.col("b.end") + 2).alias("n_words"))
+
+    own = found.join(held.select(F.col("id").alias("of_id"), F.col("text_hash").alias("of_hash"), "bigrams"), same_text).drop("of_id", "of_hash")
+    sets = table.groupBy(F.col("license").alias("of_license")).agg(F.collect_set("bigram").alias("template"))
+    unit = F.array_distinct(F.slice("bigrams", F.col("first_word").cast("int"), (F.col("n_words") - 1).cast("int")))
+    sized = own.join(F.broadcast(sets) if few else sets, F.col("license") == F.col("of_license")).withColumn("unit", unit)
+    sized = sized.withColumn("unit_size", F.size("unit")).withColumn("common", F.size(F.array_intersect("unit", "template")))
+    dice = F.round(2 * F.col("common") / (F.col("unit_size") + F.col("template_size")), 9)
+    judged = materialize(sized.withColumn("dice", dice).where(F.col("dice") >= similarity).select(
+        *pair, "first_word", "n_words", "unit_size", "common", "dice"))
+    other = judged.select(*(F.col(c).alias(f"o_{c}") for c in judged.columns))
+    overlaps = (
+        F.col("id").eqNullSafe(F.col("o_id")) & (F.col("text_hash") == F.col("o_text_hash"))
+        & (F.col("first_word") < F.col("o_first_word") + F.col("o_n_words")) & (F.col("o_first_word") < F.col("first_word") + F.col("n_words")))
+    better = (F.col("o_dice") > F.col("dice")) | ((F.col("o_dice") == F.col("dice")) & (
+        (F.col("o_n_words") > F.col("n_words")) | ((F.col("o_n_words") == F.col("n_words")) & (F.col("o_license") < F.col("license")))))
+    return judged.join(other, overlaps & better, "left_anti").withColumnRenamed("id", key)
+
+
+def every_bigram(words: Column) -> Column:
+    """Hashes of all pairs of neighbouring words, in order."""
+    def pairs(w: Column) -> Column:
+        n = F.greatest(F.size(w) - 1, F.lit(0))
+        return F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.xxhash64(a, b))
+
+    return bound(F.filter(F.split(words, " "), lambda w: w != ""), pairs)
+
+
+def licenses(df: DataFrame, key: str = "doc_id", text: str = "text", templates: DataFrame | None = None,
+             similarity: float = SIMILARITY) -> DataFrame:
+    """All matches: those of lines and whole texts, and runs of words for templates that match neither.
+
+    Columns as :func:`scan` has them, and ``first_word`` and ``n_words``; ``line`` is null for runs, these two are null
+    for lines and whole texts.
+    """
+    whole = materialize(scan(df, key, text, templates, similarity))
+    known = whole.select(col(key).alias("k"), F.col("text_hash").alias("h"), F.col("license").alias("l")).distinct()
+    found = runs(df, key, text, templates, similarity).join(
+        known, col(key).eqNullSafe(F.col("k")) & (F.col("text_hash") == F.col("h")) & (F.col("license") == F.col("l")), "left_anti")
+    return whole.unionByName(found.withColumn("line", F.lit(None).cast("int")), allowMissingColumns=True)
+
+
 def merged_ranges(sizes: list[int], most: float) -> list[tuple[float, float]]:
     """The sizes of units that fit some template, as ranges that don't touch."""
     found: list[tuple[float, float]] = []

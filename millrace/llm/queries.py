@@ -180,14 +180,39 @@ unit_set AS (
 judged AS (
   SELECT DISTINCT doc_id, line, license, len(u)::INT AS unit_size, len(t)::INT AS template_size, len(list_intersect(u, t))::INT AS common,
          round(2.0::DOUBLE * len(list_intersect(u, t)) / (len(u) + len(t)), 9) AS dice
-  FROM unit_set JOIN template_set ON len(u) <= 1.5 * len(t) AND len(t) <= 1.5 * len(u))
-SELECT * FROM judged WHERE dice >= 0.8
-QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license) = 1"""
+  FROM unit_set JOIN template_set ON len(u) <= 1.5 * len(t) AND len(t) <= 1.5 * len(u)),
+unit_match AS (
+  SELECT * FROM judged WHERE dice >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license) = 1),
+text_words AS (SELECT doc_id, words FROM worded WHERE line = 0 AND len(words) > 1),
+place AS (SELECT doc_id, unnest(range(1, len(words)))::BIGINT AS pos, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS b FROM text_words),
+template_bigram AS (SELECT license, len(t) AS n, unnest(t) AS b FROM template_set),
+hit AS (SELECT doc_id, license, n, pos, b, lag(pos) OVER (PARTITION BY doc_id, license, b ORDER BY pos) AS before FROM place JOIN template_bigram USING (b)),
+new_hit AS (SELECT *, row_number() OVER (PARTITION BY doc_id, license ORDER BY pos) AS k FROM hit WHERE before IS NULL OR pos - before > 1.5 * n),
+weighed AS (
+  SELECT *, min((2000 * (k - 1) - 800 * (pos - 1), -pos)) OVER (PARTITION BY doc_id, license ORDER BY pos ROWS UNBOUNDED PRECEDING) AS least FROM new_hit),
+run AS (
+  SELECT doc_id, license, n, -least[2] AS first_word, pos + least[2] + 2 AS n_words FROM weighed WHERE 2000 * k - 800 * pos - least[1] >= 800 * n
+  QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY 2000 * k - 800 * pos - least[1] DESC, pos) = 1),
+run_set AS (
+  SELECT run.*, t, list_distinct(list_transform(range(first_word, first_word + n_words - 1), lambda i: words[i] || ' ' || words[i + 1])) AS u
+  FROM run JOIN text_words USING (doc_id) JOIN template_set USING (license)),
+run_match AS (
+  SELECT doc_id, license, first_word, n_words, len(u)::INT AS unit_size, len(t)::INT AS template_size, len(list_intersect(u, t))::INT AS common,
+         round(2.0::DOUBLE * len(list_intersect(u, t)) / (len(u) + len(t)), 9) AS dice FROM run_set),
+run_best AS (
+  SELECT * FROM run_match r WHERE dice >= 0.8 AND NOT EXISTS (
+    SELECT 1 FROM run_match o WHERE o.doc_id = r.doc_id AND o.dice >= 0.8 AND r.first_word < o.first_word + o.n_words AND o.first_word < r.first_word + r.n_words
+      AND (-o.dice, -o.n_words, o.license) < (-r.dice, -r.n_words, r.license)))
+SELECT doc_id, line, license, unit_size, template_size, common, dice, NULL::BIGINT AS first_word, NULL::BIGINT AS n_words FROM unit_match
+UNION ALL
+SELECT doc_id, NULL, license, unit_size, template_size, common, dice, first_word::BIGINT, n_words::BIGINT FROM run_best r
+WHERE NOT EXISTS (SELECT 1 FROM unit_match m WHERE m.doc_id = r.doc_id AND m.license = r.license)"""
 
 
 @query("op7_licenses", OP7)
 def op7_licenses(spark, sf_dir):
-    return licenses.scan(table(spark, sf_dir, "documents")).drop("text_hash")
+    found = licenses.licenses(table(spark, sf_dir, "documents")).drop("text_hash")
+    return found.withColumns({c: F.col(c).cast("long") for c in ("first_word", "n_words")})
 
 
 @query("op8_simhash")

@@ -85,3 +85,15 @@ def test_little_to_learn_from(spark, tables):
     assert toxicity.score_table(documents.limit(0), labels).collect() == []
     two = labels.where("doc_id in (1, 2, 3, 12, 16, 20)")
     assert toxicity.score_table(documents, two).count() == len(rows)
+
+
+def test_a_key_with_many_texts_is_one_example(spark, tables, monkeypatch):
+    """A labelled key counts once in learning, however many rows and texts it has."""
+    documents, labels, rows = tables
+    many = documents.where("doc_id = 8").limit(1).crossJoin(spark.range(300)).withColumn(
+        "text", F.concat("text", F.lit(" "), F.col("id").cast("string"))).drop("id")
+    seen = []
+    real = toxicity.learn_lexicon
+    monkeypatch.setattr(toxicity, "learn_lexicon", lambda df: seen.append(df.groupBy("id").count().agg(F.max("count")).first()[0]) or real(df))
+    toxicity.fit(documents.unionByName(many), labels)
+    assert seen == [1]
