@@ -113,7 +113,8 @@ def test_runs_match_a_search_over_all_runs_of_words(spark, monkeypatch, broadcas
 
 
 def test_runs_are_reported_where_no_unit_matches(spark):
-    rows = [(0, RUN_TEXTS[0] + CODE * 9), (1, "intro\nReleased under the MIT License.\nend"), (2, RUN_TEXTS[2]), (3, "word")]
+    other = " ".join(f"w{i}" for i in range(600))
+    rows = [(0, RUN_TEXTS[0] + other), (1, "intro\nReleased under the MIT License.\nend"), (2, RUN_TEXTS[2]), (3, "word")]
     found = licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r["doc_id"], r["license"], r["line"]) for r in found} == {(0, "MIT", None), (1, "MIT notice", 2), (2, "MIT notice", None)}
     assert licenses.licenses(spark.createDataFrame([], SCHEMA)).collect() == []
