@@ -49,10 +49,16 @@ SUBSET = 2
 CELLS = 1 << 18
 #: Parity bits of a set, in 64-bit numbers.
 PARITY = 8
+#: How many of these numbers are compared first.
+FIRST_BITS = 2
+#: Sets of more elements have a parity of ``WIDE`` more numbers.
+WIDE_SIZE, WIDE = 1_024, 128
 #: Sizes at which the boundary between small and large sets may lie.
 BOUNDARIES = (0, 12, 16, 24, 32, 48, 64, 96, 128, 256)
 #: Cost of writing one key, and of comparing one pair.
 KEY_COST, PAIR_COST = 4.0, 1.0
+#: One in so many elements has its list counted for the choice of the boundary.
+LISTS_SEEN = 16
 #: Bytes of one text that are split into words at once.
 LONG_TEXT = 1 << 20
 #: Rounds go on while the pairs left over exceed so many for each member, and fall by this share at least.
@@ -77,11 +83,11 @@ class JaccardSettings:
 
     def overlap(self, sizes: Column) -> Column:
         """The least intersection of two linked sets, by the sum of their sizes."""
-        return F.ceil(sizes * self.percent / (100 + self.percent) - 1e-9).cast("long")
+        return F.ceil(sizes.cast("double") * self.percent / (100 + self.percent) - 1e-9).cast("long")
 
     def probe(self, n: Column, c: int) -> Column:
         """Elements of the prefix in which a set shares ``c`` with a linked set that is not larger."""
-        return n - F.ceil(n * self.percent / 100 - 1e-9).cast("long") + c
+        return n - F.ceil(n.cast("double") * self.percent / 100 - 1e-9).cast("long") + c
 
     def entered(self, n: Column, c: int) -> Column:
         """The same for a linked set that is not smaller."""
@@ -159,24 +165,33 @@ def describe(df: DataFrame, key: str, text: str, counts: np.ndarray, settings: J
             first = np.argsort(ranks[elements & mask], kind="stable")[:length]
             bits = np.bincount(elements >> np.uint64(55), minlength=64 * PARITY).astype(np.uint8) & 1
             parity = np.packbits(bits, bitorder="little").view(np.int64).tolist()
-            row = {"class": hashlib.md5(elements.tobytes()).digest(), "n": n, "prefix": elements[first].view(np.int64)}
+            row = {"class": hashlib.md5(elements.tobytes()).digest(), "n": n, "prefix": elements[first].view(np.int64), "wide": None}
+            if n > WIDE_SIZE:
+                wide = np.bincount((elements >> np.uint64(20)) % np.uint64(64 * WIDE), minlength=64 * WIDE).astype(np.uint8) & 1
+                row["wide"] = np.packbits(wide, bitorder="little").view(np.int64)
             rows.append(row | dict(zip(_BITS, parity, strict=True)))
-        fields = [("class", pa.binary()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64()))]
+        fields = [("class", pa.binary()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))]
         return pa.array(rows, pa.struct(fields + [(b, pa.int64()) for b in _BITS]))
 
     of.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    kind = "class binary, n long, prefix array<long>, " + ", ".join(f"{b} long" for b in _BITS)
+    kind = "class binary, n long, prefix array<long>, wide array<long>, " + ", ".join(f"{b} long" for b in _BITS)
     made = F.arrow_udf(of, kind)(col(text))
     rows = df.select(col(key).alias("id"), F.xxhash64(col(text)).alias("text_hash"), made.alias("d"))
     return rows.select("id", "text_hash", "d.*")
 
 
 def boundary(nodes: DataFrame, settings: JaccardSettings) -> int:
-    """The size up to which sets enumerate subsets: the one of the least estimated cost."""
+    """The size up to which sets enumerate subsets: the one of the least estimated cost.
+
+    Keys are counted over all sets; how long the lists are that a size class meets is counted for one element of
+    ``LISTS_SEEN``, chosen by hash, over all sets.
+    """
     kind = F.lit(0)
     for i, size in enumerate(BOUNDARIES):
         kind = F.when(F.col("n") > size, i).otherwise(kind)
-    listed = nodes.select(kind.alias("kind"), F.explode(F.slice("prefix", 1, settings.probe(F.col("n"), 1).cast("int"))).alias("key"))
+    own = F.slice("prefix", 1, settings.probe(F.col("n"), 1).cast("int"))
+    seen = F.filter(own, lambda x: F.pmod(F.xxhash64(x), F.lit(LISTS_SEEN)) == 0)
+    listed = nodes.select(kind.alias("kind"), F.explode(seen).alias("key"))
     kinds = range(len(BOUNDARIES))
     lists = listed.groupBy("key").agg(F.count("*").alias("all"), *(F.count_if(F.col("kind") == i).alias(f"k{i}") for i in kinds))
     met = lists.agg(*(F.sum((F.col("all") - 1) * F.col(f"k{i}")).alias(f"k{i}") for i in kinds)).first()
@@ -186,18 +201,21 @@ def boundary(nodes: DataFrame, settings: JaccardSettings) -> int:
     costs = []
     for i in kinds:  # classes below i enumerate, the others scan
         small = sum(KEY_COST * keys.get(j, (0, 0))[0] for j in range(i))
-        large = sum(KEY_COST * keys.get(j, (0, 0))[1] + PAIR_COST * float(met[f"k{j}"] or 0) for j in range(i, len(BOUNDARIES)))
+        large = sum(KEY_COST * keys.get(j, (0, 0))[1] + PAIR_COST * LISTS_SEEN * float(met[f"k{j}"] or 0) for j in range(i, len(BOUNDARIES)))
         costs.append(small + large)
     return BOUNDARIES[int(np.argmin(costs))]
 
 
 def keyed(nodes: DataFrame, most: int, settings: JaccardSettings) -> DataFrame:
-    """``key, node, n, place, enters``: subsets of the sets up to ``most`` elements, and list entries of the others
-    and of those that these may be linked with. ``enters``: also found by larger sets under this key."""
+    """``key, node, look``: subsets of the sets up to ``most`` elements, and list entries of the others and of those that
+    these may be linked with. ``look`` holds the set's size, its place in the order, and whether larger sets find it
+    under this key too."""
     n, prefix = F.col("n"), F.col("prefix")
 
     def entry(key: Column, place: Column, c: int) -> Column:
-        return F.struct(key.alias("key"), place.cast("int").alias("place"), (place < settings.entered(n, c)).alias("enters"))
+        enters = (place < settings.entered(n, c)).cast("long")
+        look = F.shiftleft(n, 32).bitwiseOR(F.shiftleft(place.cast("long"), 1)).bitwiseOR(enters)
+        return F.struct(key.alias("key"), look.alias("look"))
 
     def subsets(j: Column) -> Column:
         return F.transform(F.slice(prefix, 1, j), lambda x: entry(F.xxhash64(x, F.get(prefix, j)), j, SUBSET))
@@ -207,26 +225,30 @@ def keyed(nodes: DataFrame, most: int, settings: JaccardSettings) -> DataFrame:
     own = F.slice(prefix, 1, settings.probe(n, 1).cast("int"))
     reach = most * settings.percent // 100
     large = nodes.where(n >= reach).select("node", "n", F.explode(F.transform(own, lambda x, i: entry(x, i, 1))).alias("k"))
-    return small.union(large).select("k.key", "node", "n", "k.place", "k.enters")
+    return small.union(large).select("k.key", "node", "k.look")
 
 
 def may_link(settings: JaccardSettings, a: str, b: str) -> Column:
     """Whether two members of a key, by their sizes and places in the order, can share enough: the smaller one must
     be entered, and what lies behind the common element must suffice."""
-    def of(side: str, name: str) -> Column:
-        return F.col(f"{side}.{name}")
+    def size(side: str) -> Column:
+        return F.shiftright(F.col(f"{side}.look"), 32)
+
+    def place(side: str) -> Column:
+        return F.shiftright(F.col(f"{side}.look").bitwiseAND(F.lit((1 << 32) - 1)), 1)
 
-    need = settings.overlap(of(a, "n") + of(b, "n"))
-    behind = F.least(of(a, "n") - of(a, "place"), of(b, "n") - of(b, "place"))
-    before = F.least(of(a, "place"), of(b, "place"))
-    entered = F.when(of(a, "n") < of(b, "n"), of(a, "enters")).when(of(a, "n") > of(b, "n"), of(b, "enters")).otherwise(
-        of(a, "enters") | of(b, "enters"))
-    return entered & (F.least(of(a, "n"), of(b, "n")) >= need) & (before + behind >= need)
+    def enters(side: str) -> Column:
+        return F.col(f"{side}.look").bitwiseAND(F.lit(1)) == 1
 
+    need = settings.overlap(size(a) + size(b))
+    behind = F.least(size(a) - place(a), size(b) - place(b))
+    entered = F.when(size(a) < size(b), enters(a)).when(size(a) > size(b), enters(b)).otherwise(enters(a) | enters(b))
+    return entered & (F.least(size(a), size(b)) >= need) & (F.least(place(a), place(b)) + behind >= need)
 
-def near_parity(settings: JaccardSettings, a: str, b: str) -> Column:
+
+def near_parity(settings: JaccardSettings, a: str, b: str, bits: list[str]) -> Column:
     """Whether the parities differ in no more bits than linked sets of these sizes can have unshared elements."""
-    differ = sum((F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in _BITS), F.lit(0))
+    differ = sum((F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in bits), F.lit(0))
     sizes = F.col(f"{a}.n") + F.col(f"{b}.n")
     return differ <= sizes - 2 * settings.overlap(sizes)
 
@@ -237,6 +259,7 @@ class _Sets:
     def __init__(self, df: DataFrame, key: str, text: str, rows: DataFrame, settings: JaccardSettings):
         self.texts = df.select(col(key).alias("id"), col(text).alias("text"), F.xxhash64(col(text)).alias("text_hash"))
         self.rows, self.settings, self.tables = rows, settings, []
+        self.repeated = not rows.groupBy("id", "text_hash").agg(F.count("*").alias("m")).where("m > 1").isEmpty()
 
     def of(self, pairs: DataFrame) -> DataFrame:
         """A table ``node, elements`` that holds all nodes of the pairs."""
@@ -251,8 +274,8 @@ class _Sets:
             small = number <= BROADCAST_ROWS
             same = F.col("id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("h"))
             read = self.texts.join(F.broadcast(found) if small else found, same)
-            # of rows that are repeated as a whole, one is enough
-            read = read.groupBy("node", "class").agg(F.first("text").alias("text"))
+            if self.repeated:  # of rows that are repeated as a whole, one is enough
+                read = read.groupBy("node", "class").agg(F.first("text").alias("text"))
             words = self.settings.words
 
             def of(texts: pa.Array, digests: pa.Array) -> pa.Array:
@@ -283,17 +306,41 @@ def verified(pairs: DataFrame, sets: _Sets, settings: JaccardSettings) -> DataFr
 
 
 def _with_parity(pairs: DataFrame, nodes: DataFrame, settings: JaccardSettings) -> DataFrame:
-    """The pairs that their parities leave open."""
-    looks = nodes.select("node", "n", *_BITS)
-    both = pairs.join(looks.alias("l"), F.col("a") == F.col("l.node")).join(looks.alias("r"), F.col("b") == F.col("r.node"))
-    return both.where(near_parity(settings, "l", "r")).select("a", "b")
-
-
-def _first_members(members: DataFrame, turn: int) -> DataFrame:
-    """Of every key that holds more than one component: the member that this round compares with the others."""
-    chosen = F.min(F.struct(F.xxhash64("key", "node", F.lit(turn)), "node", "n", "place", "enters", "component")).alias("first")
-    found = members.groupBy("key").agg(chosen, F.min("component").alias("low"), F.max("component").alias("high"))
-    return found.where("low < high").select("key", "first.node", "first.n", "first.place", "first.enters", "first.component")
+    """The pairs that their parities leave open: a few bits are compared first, so that little travels with most."""
+    for bits in (_BITS[:FIRST_BITS], _BITS):
+        looks = nodes.select("node", "n", *bits)
+        both = pairs.join(looks.alias("l"), F.col("a") == F.col("l.node")).join(looks.alias("r"), F.col("b") == F.col("r.node"))
+        large = F.least("l.n", "r.n") > WIDE_SIZE
+        pairs = both.where(near_parity(settings, "l", "r", bits)).select("a", "b", large.alias("large"))
+    # large sets fill the bits of all; the few pairs of them are compared by many more
+    pairs = materialize(pairs)
+    wide = nodes.where("wide is not null").select("node", "n", "wide")
+    both = pairs.where("large").join(wide.alias("l"), F.col("a") == F.col("l.node")).join(wide.alias("r"), F.col("b") == F.col("r.node"))
+    differ = F.aggregate(F.zip_with("l.wide", "r.wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    sizes = F.col("l.n") + F.col("r.n")
+    near = both.where(differ <= sizes - 2 * settings.overlap(sizes)).select("a", "b")
+    return pairs.where("not large").select("a", "b").union(near)
+
+
+MEMBER = ["key", "node", "look"]
+
+
+def _one_against_all(members: DataFrame, turn: int, settings: JaccardSettings) -> DataFrame:
+    """Every member of a key with more than one component, beside the member that this round compares with all.
+
+    ``m`` members are under the key; ``meets`` tells whether the two may be linked and are not in one component yet.
+    Keys are counted by themselves first: most have one member, and nothing but the key travels for them.
+    """
+    several = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    shared = members.join(several, "key")
+    drawn = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
+    order = F.struct(drawn.alias("drawn"), F.col("node").alias("first"), "look", "component")
+    chosen = shared.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(order).alias("f"))
+    chosen = chosen.where("low < high").select("key", "f.first", "f.look", "f.component")
+    a, b = shared.alias("a"), chosen.alias("b")
+    met = a.join(b, F.col("a.key") == F.col("b.key")).where(F.col("a.node") != F.col("b.first"))
+    meets = (F.col("a.component") != F.col("b.component")) & may_link(settings, "a", "b")
+    return met.select(*(F.col(f"a.{c}") for c in MEMBER), "b.first", "a.m", meets.alias("meets"))
 
 
 def _open_pairs(members: DataFrame) -> int:
@@ -307,8 +354,9 @@ def _left_over(members: DataFrame, nodes: DataFrame, settings: JaccardSettings)
     """Pairs of different components under one key that bounds leave open, by blocks of the large keys."""
     sizes = members.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high"))
     sizes = sizes.where("low < high").select("key", F.ceil(F.col("m") / BLOCK_ROWS).cast("int").alias("blocks"))
-    looks = nodes.select("node", *_BITS)
-    cut = members.join(sizes, "key").join(looks, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    bits = _BITS[:FIRST_BITS]
+    cut = members.join(sizes, "key").join(nodes.select("node", "n", *bits), "node")
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     places = F.sequence(F.lit(0), F.col("blocks") - 1)
     sent = cut.withColumn("other", F.explode(places)).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     a, b = sent.alias("a"), sent.alias("b")
@@ -316,44 +364,35 @@ def _left_over(members: DataFrame, nodes: DataFrame, settings: JaccardSettings)
     # within a block all pairs once; between two blocks those of one with those of the other
     once = F.when(F.col("a.i") == F.col("a.j"), F.col("a.node") < F.col("b.node")).otherwise(F.col("a.block") < F.col("b.block"))
     apart = F.col("a.component") != F.col("b.component")
-    pairs = a.join(b, [*met, once, apart, may_link(settings, "a", "b"), near_parity(settings, "a", "b")])
-    return pairs.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
+    pairs = a.join(b, [*met, once, apart, may_link(settings, "a", "b"), near_parity(settings, "a", "b", bits)])
+    pairs = pairs.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+    return _with_parity(pairs, nodes, settings)
 
 
 def linked_components(df: DataFrame, key: str, text: str, rows: DataFrame, nodes: DataFrame, settings: JaccardSettings) -> DataFrame:
     """``node, component`` of all nodes with links: rounds of one against all, then the rest."""
     sets = _Sets(df, key, text, rows, settings)
-    members = keyed(nodes, boundary(nodes, settings), settings)
-    shared = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    members = materialize(members.join(shared.select("key"), "key"))
-    spark = df.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    ends = spark.createDataFrame([], "node long, component long")
+    members = keyed(nodes, boundary(nodes, settings), settings).withColumn("component", F.col("node"))
+    links = ends = None
     turn, before = 0, None
     while True:
-        known = ends.withColumnRenamed("node", "of")
-        placed = members.join(known, F.col("node") == F.col("of"), "left").withColumn("component", F.coalesce("component", "node")).drop("of")
-        placed = materialize(placed)
-        pairs, rows_left = _open_pairs(placed), placed.count()
-        worth = turn == 0 or (pairs > PAIRS_PER_MEMBER * rows_left and pairs <= (1 - WORTH) * before)
-        if not pairs:
-            return ends
-        if worth:
-            first = materialize(_first_members(placed, turn))
-            met = placed.alias("a").join(first.alias("b"), "key").where(
-                (F.col("a.component") != F.col("b.component")) & may_link(settings, "a", "b"))
-            met = met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
-            met = _with_parity(met, nodes, settings)
-        else:
-            met = _left_over(placed, nodes, settings)
-        links = materialize(links.union(verified(met, sets, settings)))
+        met = materialize(_one_against_all(members, turn, settings).where("meets or m > 2"))
+        pairs = met.where("meets").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
+        found = verified(_with_parity(pairs, nodes, settings), sets, settings)
+        links = materialize(found if links is None else links.union(found))
         ends = components(links)
-        if not worth:
+        # the compared member has left its key; keys of two are done
+        known = ends.withColumnRenamed("node", "of")
+        members = materialize(
+            met.where("m > 2").select(*MEMBER).join(known, F.col("node") == F.col("of"), "left")
+            .select(*MEMBER, F.coalesce("component", "node").alias("component")))
+        pairs_left, turn = _open_pairs(members), turn + 1
+        if not pairs_left:
             return ends
-        gone = first.select(F.col("key").alias("k"), F.col("node").alias("v"))
-        members = members.join(gone, (F.col("key") == F.col("k")) & (F.col("node") == F.col("v")), "left_anti")
-        members = materialize(members)
-        turn, before = turn + 1, pairs
+        if pairs_left <= PAIRS_PER_MEMBER * members.count() or (before is not None and pairs_left > (1 - WORTH) * before):
+            rest = verified(_left_over(members, nodes, settings), sets, settings)
+            return components(materialize(links.union(rest)))
+        before = pairs_left
 
 
 def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", settings: JaccardSettings | None = None) -> DataFrame:
@@ -364,7 +403,7 @@ def join_components(df: DataFrame, key: str = "doc_id", text: str = "text", sett
     rows = materialize(described.withColumn("at", F.monotonically_increasing_id()))
     classes = materialize(rows.where("n > 0").groupBy("class").agg(F.min("at").alias("node"), F.min("id").alias("least")))
     chosen = classes.select(F.col("node").alias("at"))
-    nodes = materialize(rows.join(chosen, "at", "left_semi").select(F.col("at").alias("node"), "n", "prefix", *_BITS))
+    nodes = materialize(rows.join(chosen, "at", "left_semi").select(F.col("at").alias("node"), "n", "prefix", "wide", *_BITS))
     ends = settle(df.sparkSession, lambda: linked_components(df, key, text, rows, nodes, s))
     rooted = classes.join(ends, "node", "left").withColumn("root", F.coalesce("component", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
