@@ -333,8 +333,8 @@ def _one_against_all(members: DataFrame, turn: int, settings: JaccardSettings) -
     """
     several = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     shared = members.join(several, "key")
-    drawn = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-    order = F.struct(drawn.alias("drawn"), F.col("node").alias("first"), "look", "component")
+    # another member for each key: a set that has several keys in common with a group meets several of the group
+    order = F.struct(F.xxhash64("key", "node", F.lit(turn)).alias("drawn"), F.col("node").alias("first"), "look", "component")
     chosen = shared.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(order).alias("f"))
     chosen = chosen.where("low < high").select("key", "f.first", "f.look", "f.component")
     a, b = shared.alias("a"), chosen.alias("b")
@@ -354,8 +354,7 @@ def _left_over(members: DataFrame, nodes: DataFrame, settings: JaccardSettings)
     """Pairs of different components under one key that bounds leave open, by blocks of the large keys."""
     sizes = members.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("low"), F.max("component").alias("high"))
     sizes = sizes.where("low < high").select("key", F.ceil(F.col("m") / BLOCK_ROWS).cast("int").alias("blocks"))
-    bits = _BITS[:FIRST_BITS]
-    cut = members.join(sizes, "key").join(nodes.select("node", "n", *bits), "node")
+    cut = members.join(sizes, "key").join(nodes.select("node", "n", *_BITS), "node")
     cut = cut.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     places = F.sequence(F.lit(0), F.col("blocks") - 1)
     sent = cut.withColumn("other", F.explode(places)).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
@@ -364,7 +363,7 @@ def _left_over(members: DataFrame, nodes: DataFrame, settings: JaccardSettings)
     # within a block all pairs once; between two blocks those of one with those of the other
     once = F.when(F.col("a.i") == F.col("a.j"), F.col("a.node") < F.col("b.node")).otherwise(F.col("a.block") < F.col("b.block"))
     apart = F.col("a.component") != F.col("b.component")
-    pairs = a.join(b, [*met, once, apart, may_link(settings, "a", "b"), near_parity(settings, "a", "b", bits)])
+    pairs = a.join(b, [*met, once, apart, may_link(settings, "a", "b"), near_parity(settings, "a", "b", _BITS)])
     pairs = pairs.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
     return _with_parity(pairs, nodes, settings)
 
