@@ -11,7 +11,10 @@ keys, and any two close ones have a key in common:
 
 The hash join finds candidates, an edit distance that stops at the limit decides. The right spellings are at most
 ``1 / rare_threshold`` per column, whatever the table's size, so the work per spelling is bounded even where
-all of them share a segment.
+all of them share a segment. They and their keys are broadcast up to ``BROADCAST_BYTES``, so that the keys of the
+searched spellings, many for each, stay in the task that makes them; only what was judged close is shuffled. A
+spelling makes keys for the lengths that right spellings of its column have, at places that are worked out once
+per length.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ DELETIONS = 2
 LONG = 200
 #: Corrections up to this number are broadcast; they are counted first.
 BROADCAST_CORRECTIONS = 200_000
+#: Right spellings and their keys up to this size are broadcast; beyond it the keys are shuffled.
+BROADCAST_BYTES = 64 * 2**20
 
 
 @dataclass(frozen=True)
@@ -63,22 +68,21 @@ def _hash(*parts: Column) -> Column:
     return F.xxhash64(*parts)
 
 
-def _deleted(text: Column, length: Column, threshold: float) -> Column:
-    """Keys of all remainders after up to ``DELETIONS`` deletions, as far as a partner allows them."""
-    most = _edits(_longest_partner(length, threshold), threshold)
+def _deleted(text: Column, most: Column) -> Column:
+    """Keys of all remainders after up to ``most`` deletions, ``DELETIONS`` of them at most; none where it is NULL."""
+    length = F.char_length(text)
 
-    def without_one(t: Column) -> Column:
-        places = F.when(F.char_length(t) > 0, F.sequence(F.lit(1), F.char_length(t))).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.char_length(t))))
+    def without(t: Column, after: Column, deletions: int) -> Column:
+        """The remainders of ``text`` that start with ``t``, go on behind place ``after`` and lack so many characters more."""
+        if deletions == 0:
+            return F.array(_hash(F.lit("d"), F.concat(t, F.substring(text, after + 1, length))))
+        return F.flatten(F.transform(
+            _whole(after + 1, length - (deletions - 1)),
+            lambda i: without(F.concat(t, F.substring(text, after + 1, i - after - 1)), i, deletions - 1)))
 
-    levels, found = [F.array(text)], None
-    for _ in range(DELETIONS):
-        levels.append(F.array_distinct(F.flatten(F.transform(levels[-1], without_one))))
-    for n, level in enumerate(levels):
-        part = F.when(most >= n, level).otherwise(F.array().cast("array<string>"))
-        found = part if found is None else F.concat(found, part)
-    keys = F.transform(F.array_distinct(found), lambda t: _hash(F.lit("d"), t))
-    return F.when(_edits(length, threshold) <= DELETIONS, keys).otherwise(F.array().cast("array<bigint>"))
+    none = F.array().cast("array<bigint>")
+    levels = [F.when(most >= n, without(F.lit(""), F.lit(0), n)).otherwise(none) for n in range(DELETIONS + 1)]
+    return F.array_distinct(F.concat(*levels))
 
 
 def _whole(low: Column, high: Column) -> Column:
@@ -103,24 +107,38 @@ def _segments(text: Column, length: Column, threshold: float) -> Column:
     return F.flatten(F.transform(_whole(first, _edits(_longest_partner(length, threshold), threshold)), of))
 
 
-def _substrings(text: Column, length: Column, threshold: float) -> Column:
-    """Keys of the places of a spelling where a segment of a right one may be whole: with ``i`` segments before it
-    it has moved by at most ``i``, and with the rest behind it by at most the rest."""
-    def of_partner(other: Column) -> Column:
-        k = _edits(F.greatest(length, other), threshold)
-        moved = length - other
+def _substrings(text: Column, runs: Column) -> Column:
+    """Keys of the places of a spelling where a segment of a right one may be whole; see :func:`_reach`."""
+    def of(run: Column) -> Column:
+        return F.transform(_whole(run["low"], run["high"]), lambda p: _hash(
+            F.lit("s"), run["k"], run["other"], run["i"], F.substring(text, p + 1, run["size"])))
+
+    return F.coalesce(F.flatten(F.transform(runs, of)), F.array().cast("array<bigint>"))
+
 
-        def of_segment(i: Column) -> Column:
-            start = _start(i, other, k)
-            size = _start(i + 1, other, k) - start
-            low = F.greatest(F.lit(0), start - i, start + moved - (k - i))
-            high = F.least(length - size, start + i, start + moved + (k - i))
-            return F.transform(_whole(low, high), lambda p: _hash(F.lit("s"), k, other, i, F.substring(text, p + 1, size)))
+def _reach(right: DataFrame, threshold: float) -> DataFrame:
+    """``(column, length, deletions, runs)``: what a spelling of this length, up to ``LONG``, has to look for.
+
+    Both follow from the lengths of the right spellings alone. With ``k`` edits allowed and up to ``DELETIONS``,
+    close spellings share a remainder of ``k`` characters less than the longer one. With more, a segment with ``i``
+    before it has moved by at most ``i``, and with the rest behind it by at most the rest: a run of places.
+    """
+    length, other, k = F.col("length"), F.col("other"), F.col("k")
+    lengths = right.sparkSession.range(LONG + 1).select(F.col("id").cast("int").alias("length"))
+    others = right.select("column", F.char_length("y").alias("other")).where(other <= LONG).distinct()
+    longer = F.greatest(length, other)
+    pairs = others.join(F.broadcast(lengths), F.abs(length - other) <= _edits(longer, threshold)).withColumn("k", _edits(longer, threshold))
 
-        return F.flatten(F.transform(_whole(F.lit(0), F.when(k > DELETIONS, k).otherwise(F.lit(-1))), of_segment))
+    def run(i: Column) -> Column:
+        start, moved = _start(i, other, k), length - other
+        size = _start(i + 1, other, k) - start
+        low = F.greatest(F.lit(0), start - i, start + moved - (k - i))
+        high = F.least(length - size, start + i, start + moved + (k - i))
+        return F.struct(k.alias("k"), other.alias("other"), i.alias("i"), size.alias("size"), low.alias("low"), high.alias("high"))
 
-    least = F.ceil(length * threshold - 1e-9)
-    return F.array_distinct(F.flatten(F.transform(_whole(least, _longest_partner(length, threshold)), of_partner)))
+    runs = F.transform(_whole(F.lit(0), F.when(k > DELETIONS, k).otherwise(F.lit(-1))), run)
+    deletions = F.when(k <= DELETIONS, k - (longer - length))
+    return pairs.groupBy("column", "length").agg(F.max(deletions).alias("deletions"), F.flatten(F.collect_list(runs)).alias("runs"))
 
 
 def _class(length: Column, threshold: float) -> Column:
@@ -130,15 +148,16 @@ def _class(length: Column, threshold: float) -> Column:
 def right_keys(text: Column, threshold: float) -> Column:
     """Keys under which a right spelling stands."""
     length = F.char_length(text)
-    short = F.concat(_deleted(text, length, threshold), _segments(text, length, threshold))
+    most = F.when(_edits(length, threshold) <= DELETIONS, _edits(_longest_partner(length, threshold), threshold))
+    short = F.concat(_deleted(text, most), _segments(text, length, threshold))
     near_long = F.array(_hash(F.lit("l"), _class(length, threshold)))
     return F.when(length <= LONG, F.when(_longest_partner(length, threshold) > LONG, F.concat(short, near_long)).otherwise(short)).otherwise(near_long)
 
 
-def searched_keys(text: Column, threshold: float) -> Column:
-    """Keys under which a spelling looks for right ones."""
+def searched_keys(text: Column, deletions: Column, runs: Column, threshold: float) -> Column:
+    """Keys under which a spelling looks for right ones; ``deletions`` and ``runs`` are those of :func:`_reach`."""
     length = F.char_length(text)
-    short = F.concat(_deleted(text, length, threshold), _substrings(text, length, threshold))
+    short = F.concat(_deleted(text, deletions), _substrings(text, runs))
     here = _class(length, threshold)
     near_long = F.array(*(_hash(F.lit("l"), here + i) for i in (-1, 0, 1)))
     return F.when(length <= LONG, F.when(_longest_partner(length, threshold) > LONG, F.concat(short, near_long)).otherwise(short)).otherwise(near_long)
@@ -153,18 +172,26 @@ def spelling_errors(counts: DataFrame, settings: SpellingSettings) -> DataFrame:
     threshold = settings.similarity_threshold
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
     counted = counts.join(F.broadcast(totals), "column").withColumn("x", F.lower("value"))
-    right = counted.where(F.col("n") >= F.lit(settings.rare_threshold) * F.col("total"))
-    entered = right.select("column", F.col("value").alias("correct"), F.col("n").alias("m"), F.col("x").alias("y"),
-                           F.explode(right_keys(F.col("x"), threshold)).alias("key"))
-    searched = counted.select("column", "value", "n", "x", F.explode(searched_keys(F.col("x"), threshold)).alias("key"))
-    pairs = searched.join(entered, ["column", "key"]).where((F.col("m") > F.col("n")) & (F.col("value") != F.col("correct")))
-    pairs = pairs.select("column", "value", "x", "correct", "y", "m").distinct()
+    frequent = counted.where(F.col("n") >= F.lit(settings.rare_threshold) * F.col("total"))
+    right = materialize(frequent.select(
+        F.monotonically_increasing_id().alias("right"), "column", F.col("value").alias("correct"), F.col("n").alias("m"), F.col("x").alias("y")))
+    entered = materialize(right.select("right", "column", F.explode(right_keys(F.col("y"), threshold)).alias("part")).select(
+        "right", F.xxhash64("column", "part").alias("key")))
+    size = right.agg(F.coalesce(F.sum(F.octet_length("correct") + F.octet_length("y")), F.lit(0)).alias("texts")).first()["texts"]
+    known = F.broadcast if size + 16 * entered.count() <= BROADCAST_BYTES else lambda table: table
+
+    searched = counted.withColumn("length", F.char_length("x")).join(F.broadcast(_reach(right, threshold)), ["column", "length"], "left")
+    keys = searched_keys(F.col("x"), F.col("deletions"), F.col("runs"), threshold)
+    searched = searched.select("column", "value", "n", F.explode(keys).alias("part")).select("column", "value", "n", F.xxhash64("column", "part").alias("key"))
+    pairs = searched.join(known(entered), "key").drop("key").join(known(right), ["right", "column"])
+    pairs = pairs.where((F.col("m") > F.col("n")) & (F.col("value") != F.col("correct"))).withColumn("x", F.lower("value"))
     longest = F.greatest(F.char_length("x"), F.char_length("y"))
     # the distance is -1 where it is over the limit, which the longer spelling sets
     near = F.expr(f"levenshtein(x, y, cast(floor(greatest(char_length(x), char_length(y)) * {1 - threshold!r} + 1e-9) as int))")
     judged = pairs.withColumn("distance", near).where("distance >= 0")
     score = F.when(F.col("distance") == 0, F.lit(1.0)).otherwise(F.lit(1.0) - F.col("distance") / longest)
     judged = judged.withColumn("similarity", score).where(F.col("similarity") >= F.lit(threshold))
+    # a pair that shares several keys is judged for each of them, which is cheaper than to make pairs distinct first
     best = F.min(F.struct((-F.col("similarity")).alias("s"), (-F.col("m")).alias("m"), "correct")).alias("best")
     return judged.groupBy("column", F.col("value").alias("wrong")).agg(best).select(
         "column", "wrong", F.col("best.correct").alias("correct"), (-F.col("best.s")).alias("similarity"))

@@ -63,6 +63,26 @@ def test_all_close_spellings_are_found(spark, monkeypatch, threshold, long):
     assert {(r["column"], r["wrong"]): (r["correct"], round(r["similarity"], 9)) for r in found} == plain(counts, s)
 
 
+def test_keys_that_are_too_many_to_broadcast_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "BROADCAST_BYTES", -1)
+    counts, s = vocabulary(), SpellingSettings(("c", "d"))
+    found = spelling_errors(spark.createDataFrame(counts, "column string, value string, n long"), s).collect()
+    assert {(r["column"], r["wrong"]): (r["correct"], round(r["similarity"], 9)) for r in found} == plain(counts, s)
+
+
+def test_keys_of_searched_spellings_are_not_shuffled(spark):
+    """Every spelling has dozens to hundreds of keys; at size they must not travel, whatever Spark knows of the tables."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = spelling_errors(spark.createDataFrame(vocabulary(), "column string, value string, n long"), SpellingSettings(("c", "d")))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("key#" in line for line in exchanges), plan
+
+
 def test_step_corrects_what_training_showed(spark):
     rows = [("spelling",)] * 5 + [("speling",), ("Spelling",), (None,), ("other",)]
     df = spark.createDataFrame(rows, "w string").withColumn("n", F.lit(1))
