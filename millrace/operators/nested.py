@@ -2,7 +2,8 @@
 
 Texts are parsed once into Spark's VARIANT. Paths are discovered level by level: a level's values are exploded from
 those of the level before, and only counts per path and type come back, so neither wide nor many documents
-matter; the number of levels is the depth of the deepest document.
+matter. One pass over the table goes down ``LEVELS_A_PASS`` levels; a container stays beside its members until the
+pass ends, and there are more passes only where documents go deeper.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from millrace.operators.base import Fitted, Step
 
 #: Levels that are followed at most; deeper values count as their container.
 MOST_LEVELS = 64
+#: Levels that one pass over the documents opens.
+LEVELS_A_PASS = 4
 ITEM = "[*]"
 
 
@@ -41,24 +44,41 @@ def _step(path: Column, key: Column) -> Column:
         key.rlike("^[A-Za-z_][A-Za-z0-9_]*$"), F.concat(path, F.lit("."), key)).otherwise(F.concat(path, quoted))
 
 
+def _opened(values: DataFrame) -> DataFrame:
+    """``values`` has ``path, type, v``, and ``v`` only for containers to be opened. Each of them is kept as settled,
+    unless its type has been counted (NULL), and followed by its members or items.
+
+    Nothing is filtered by what is parsed: Spark would move such a filter below the parsing and parse for it again.
+    """
+    v, kind, opens, settled = F.col("v"), F.col("type"), F.array(F.lit(True)), F.array(F.lit(False))
+    parts = F.when(v.isNull(), settled).when(kind.isNull(), opens).otherwise(F.concat(settled, opens))
+    parted = values.select("path", "type", "v", F.explode(parts).alias("open")).select("path", "type", "open", F.when(F.col("open"), v).alias("v"))
+    members = values.sparkSession.tvf.variant_explode_outer(F.col("v").outer())  # place, key (NULL for items) and value
+    inner = parted.lateralJoin(members).where(~F.col("open") | F.col("pos").isNotNull())
+    inner = inner.select("path", "type", "open", "key", "value", _kind(F.col("value")).alias("kind"))
+    return inner.select(
+        F.when(F.col("open"), _step(F.col("path"), F.col("key"))).otherwise(F.col("path")).alias("path"),
+        F.when(F.col("open"), F.col("kind")).otherwise(kind).alias("type"),
+        F.when(F.col("kind").isin("object", "array"), F.col("value")).alias("v"))
+
+
 def json_profile(df: DataFrame, column: str) -> DataFrame:
     """``(path, type, n, share)`` of all values of the column's documents; ``share`` is that of the type at its path.
 
     The row of path ``$`` and type ``invalid`` counts texts that are no JSON; missing texts count nowhere.
     """
-    text = col(column)
-    documents = df.where(text.isNotNull()).select(F.lit("$").alias("path"), parsed(text).alias("v"))
-    level = documents.where("v is not null")
-    counts = documents.where("v is null").groupBy("path").agg(F.count(F.lit(1)).alias("n")).select("path", F.lit("invalid").alias("type"), "n").collect()
-    found = [tuple(r) for r in counts]
-    for _ in range(MOST_LEVELS):
-        rows = level.groupBy("path", _kind(F.col("v")).alias("type")).agg(F.count(F.lit(1)).alias("n")).collect()
-        found += [tuple(r) for r in rows]
-        if not any(r["type"] in ("object", "array") for r in rows):
+    documents = df.select(col(column).alias("text")).select("text", parsed(F.col("text")).alias("v"))
+    documents = documents.select("v", F.when(F.col("text").isNotNull(), F.coalesce(_kind(F.col("v")), F.lit("invalid"))).alias("type"))
+    values = documents.select(F.lit("$").alias("path"), "type", F.when(F.col("type").isin("object", "array"), F.col("v")).alias("v"))
+    found, levels = [], 1
+    while True:
+        for _ in range(min(LEVELS_A_PASS, MOST_LEVELS - levels)):
+            values, levels = _opened(values), levels + 1
+        rows = values.groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"), F.count("v").alias("left")).collect()
+        found += [(r["path"], r["type"], r["n"]) for r in rows if r["type"] is not None]
+        if levels == MOST_LEVELS or not any(r["left"] for r in rows):
             break
-        inner = level.where(_kind(F.col("v")).isin("object", "array"))
-        members = df.sparkSession.tvf.variant_explode(F.col("v").outer())  # place, key (NULL for items) and value
-        level = inner.lateralJoin(members).select(_step(F.col("path"), F.col("key")).alias("path"), F.col("value").alias("v"))
+        values = values.where(F.col("v").isNotNull()).select("path", F.lit(None).cast("string").alias("type"), "v")
     totals: dict[str, int] = {}
     for path, _, n in found:
         totals[path] = totals.get(path, 0) + n

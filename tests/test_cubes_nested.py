@@ -7,6 +7,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import nested
 from millrace.operators.cubes import metrics_cube, total_only
 from millrace.operators.evaluation import binary_metrics, regression_metrics
 from millrace.operators.nested import JsonColumns, JsonSettings, column_name, column_types, json_columns, json_profile
@@ -75,6 +76,29 @@ def test_profile_of_odd_documents(spark):
     assert all(v == pytest.approx(1) for v in shares.values())
 
 
+def test_documents_are_made_and_parsed_once(spark):
+    """Up to five levels; the column may be the end of a long computation."""
+    made = spark.sparkContext.accumulator(0)
+    make = F.udf(lambda i: made.add(1) or ["{", '{"a": {"b": [1, {"c": null}]}}', None, '"t"'][i % 4], "string")
+    found = json_profile(spark.range(40).select(make("id").alias("doc")), "doc").collect()
+    assert {(r["path"], r["type"]): r["n"] for r in found} == {
+        ("$", "invalid"): 10, ("$", "object"): 10, ("$", "string"): 10, ("$.a", "object"): 10, ("$.a.b", "array"): 10,
+        ("$.a.b[*]", "bigint"): 10, ("$.a.b[*]", "object"): 10, ("$.a.b[*].c", "null"): 10}
+    assert made.value == 40
+
+
+@pytest.mark.parametrize("levels", [1, 3, 64])
+def test_passes_of_any_depth_find_the_same(spark, monkeypatch, levels):
+    df = spark.createDataFrame([(d,) for d in DOCS], "doc string")
+    found = sorted(map(tuple, json_profile(df, "doc").collect()))
+    monkeypatch.setattr(nested, "LEVELS_A_PASS", min(levels, 12))
+    monkeypatch.setattr(nested, "MOST_LEVELS", 22 if levels == 1 else 64)
+    assert sorted(map(tuple, json_profile(df, "doc").collect())) == found
+    monkeypatch.setattr(nested, "MOST_LEVELS", 3)
+    depth = {p: p.count(".a") for p, *_ in map(tuple, json_profile(df, "doc").collect()) if p.startswith("$.a")}
+    assert max(depth.values()) == 2
+
+
 def test_columns_have_types_that_all_values_fit(spark):
     rows = [('{"i": 1, "n": 1, "t": true, "m": 1, "o": {"x": "y"}, "l": [1]}',), ('{"i": -5, "n": 2.5, "t": false, "m": "one", "o": {"x": "z"}}',), ("broken",), (None,)]
     df = spark.createDataFrame(rows, "doc string")
