@@ -70,17 +70,32 @@ def test_keys_that_are_too_many_to_broadcast_find_the_same(spark, monkeypatch):
     assert {(r["column"], r["wrong"]): (r["correct"], round(r["similarity"], 9)) for r in found} == plain(counts, s)
 
 
-def test_keys_of_searched_spellings_are_not_shuffled(spark):
-    """Every spelling has dozens to hundreds of keys; at size they must not travel, whatever Spark knows of the tables."""
+@pytest.fixture
+def large(spark):
+    """Spark takes no table for a small one, as at size."""
     kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        found = spelling_errors(spark.createDataFrame(vocabulary(), "column string, value string, n long"), SpellingSettings(("c", "d")))
-        plan = found._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
-    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert exchanges and not any("key#" in line for line in exchanges), plan
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def shuffles(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_keys_of_searched_spellings_are_not_shuffled(spark, large):
+    """Every spelling has dozens to hundreds of keys, which must not travel."""
+    found = shuffles(spelling_errors(spark.createDataFrame(vocabulary(), "column string, value string, n long"), SpellingSettings(("c", "d"))))
+    assert found and not any("key#" in line for line in found), found
+
+
+def test_learning_corrections_shuffles_spellings_not_keys(spark, large, monkeypatch):
+    written, write = [], spelling.materialize
+    monkeypatch.setattr(spelling, "materialize", lambda df: written.append(shuffles(df)) or write(df))
+    words = [(w,) for _, w, n in vocabulary() for _ in range(n)]
+    model = CorrectSpelling(SpellingSettings(("w",))).fit(spark.createDataFrame(words, "w string"))
+    assert model.state["w"]["corrections"] > 100
+    assert any(written) and not any("key#" in line for lines in written for line in lines), written
 
 
 def test_step_corrects_what_training_showed(spark):
