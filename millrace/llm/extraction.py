@@ -12,8 +12,9 @@ or holds an article is deleted. What is left is the text: the blocks of the arti
 unless several times as much text that nothing doubts stands outside of them: then they are teasers.
 Inside an article only containers are deleted as template: prose that several articles share stays.
 
-Template hashes are broadcast while there are at most ``BROADCAST_ROWS`` of them; beyond that every page gets
-its own by a join on page key.
+A template is one number of eight bytes, made of host and subtree. The driver gathers and broadcasts these numbers
+while there are at most ``PACKED_ROWS`` of them; beyond that they stay on the executors, and every page gets its own by
+joins on hashes of pages that never broadcast a side.
 
 Defined results: null or empty html, and pages without text, give an empty text. A null url is a host of its
 own. Unclosed tags end with the element around them, an unclosed comment or script at the end of the page; a
@@ -37,11 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from millrace.llm.frames import BROADCAST_ROWS, col, fresh, ready_workers, text_chunks, text_of
+from millrace.llm.frames import col, fresh, ready_workers, text_chunks, text_of
 from millrace.session import materialize
 
 #: Pages of a host, with different main texts, that a subtree is on if it is template.
 MIN_PAGES = 5
+#: Template keys of eight bytes that the driver may gather and broadcast; more are joined.
+PACKED_ROWS = 4_000_000
 
 #: Elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -394,7 +397,8 @@ def subtrees(pages: DataFrame, url: str, page: str) -> DataFrame:
 
 
 def template_key(host: Column, subtree: Column) -> Column:
-    return F.xxhash64(host, subtree)
+    """One number for a subtree of a host."""
+    return F.xxhash64(host).bitwiseXOR(subtree)
 
 
 def templates(pages: DataFrame, url: str = "url", page: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
@@ -405,25 +409,37 @@ def templates(pages: DataFrame, url: str = "url", page: str = "html", min_pages:
     )
 
 
+def packed(keys: DataFrame) -> np.ndarray:
+    """The numbers of the only column in order, eight bytes each on the driver, without an object for each row."""
+    found = keys.toArrow().column(0).to_numpy()
+    return np.sort(found)
+
+
+def among(keys: np.ndarray, host: int) -> Callable[[int], bool]:
+    """Tells of a subtree hash whether it is a template of the host with this hash; ``keys`` are in order."""
+
+    def is_template(subtree: int) -> bool:
+        key = subtree ^ host
+        at = keys.searchsorted(key)
+        return bool(at < len(keys) and keys[at] == key)
+
+    return is_template
+
+
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", min_pages: int = MIN_PAGES,
-            broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+            broadcast_rows: int = PACKED_ROWS) -> DataFrame:
     """Per page: key, url, ``text`` and its code points ``n_chars``."""
     ready_workers(pages.sparkSession)
-    found = materialize(templates(pages, url, page, min_pages))
-    source = pages.select(col(key), col(url), host_of(col(url)).alias(fresh(pages, "host")), col(page).alias(fresh(pages, "page")))
+    found = materialize(templates(pages, url, page, min_pages).select(template_key(F.col("host"), F.col("subtree")).alias("template")))
+    source = pages.select(col(key), col(url), F.xxhash64(host_of(col(url))).alias(fresh(pages, "host")), col(page).alias(fresh(pages, "page")))
     source = source.toDF("key", "url", "host", "page")
-    few = found.limit(broadcast_rows + 1).count() <= broadcast_rows
-    if few:
-        known: dict[str, set[int]] = {}
-        for row in found.collect():
-            known.setdefault(row["host"], set()).add(row["subtree"])
-        shared = pages.sparkSession.sparkContext.broadcast(known)
-        none: set[int] = set()
+    if found.count() <= broadcast_rows:
+        shared = pages.sparkSession.sparkContext.broadcast(packed(found))
 
         def text_with(pages: pa.Array, hosts: pa.Array) -> pa.Array:
-            own = shared.value
+            keys = shared.value
             return pa.array([
-                main_text(p.as_py(), own.get(h.as_py(), none).__contains__)[0] for p, h in zip(pages, hosts, strict=True)
+                main_text(p.as_py(), among(keys, h.as_py()))[0] for p, h in zip(pages, hosts, strict=True)
             ], pa.string())
 
         text_with.__annotations__ = {"pages": pa.Array, "hosts": pa.Array, "return": pa.Array}
@@ -434,24 +450,32 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
 
 
 def _by_join(source: DataFrame, found: DataFrame) -> DataFrame:
-    """Each page gets its own template subtrees by joins; a hot host is split by its subtrees and by pages."""
+    """Each page gets its own template keys by joins; a hot host is split by its subtrees and by pages.
+
+    Both joins are hinted: written small, a table of keys looks small enough to broadcast, but for all its salts
+    it is far too large for the driver.
+    """
     keyed = source.withColumn("row", F.xxhash64("key", "url", "page"))
 
-    def own_subtrees(pages: pa.Array) -> pa.Array:
-        return pa.array([sorted(main_text(p.as_py())[1]) for p in pages], pa.list_(pa.int64()))
+    def own_keys(pages: pa.Array, hosts: pa.Array) -> pa.Array:
+        return pa.array([
+            sorted(s ^ h.as_py() for s in main_text(p.as_py())[1]) for p, h in zip(pages, hosts, strict=True)
+        ], pa.list_(pa.int64()))
 
-    own_subtrees.__annotations__ = {"pages": pa.Array, "return": pa.Array}
+    own_keys.__annotations__ = {"pages": pa.Array, "hosts": pa.Array, "return": pa.Array}
 
-    def text_without(pages: pa.Array, own: pa.Array) -> pa.Array:
-        return pa.array([
-            main_text(p.as_py(), set(o.as_py() or ()).__contains__)[0] for p, o in zip(pages, own, strict=True)
-        ], pa.string())
+    def text_without(pages: pa.Array, hosts: pa.Array, own: pa.Array) -> pa.Array:
+        texts = []
+        for p, h, o in zip(pages, hosts, own, strict=True):
+            host = h.as_py()
+            texts.append(main_text(p.as_py(), {k ^ host for k in o.as_py() or ()}.__contains__)[0])
+        return pa.array(texts, pa.string())
 
-    text_without.__annotations__ = {"pages": pa.Array, "own": pa.Array, "return": pa.Array}
+    text_without.__annotations__ = {"pages": pa.Array, "hosts": pa.Array, "own": pa.Array, "return": pa.Array}
     salts = 16
-    held = keyed.select("row", "host", F.explode(F.arrow_udf(own_subtrees, "array<long>")("page")).alias("subtree"))
+    held = keyed.select("row", F.explode(F.arrow_udf(own_keys, "array<long>")("page", "host")).alias("template"))
     salted = held.distinct().withColumn("salt", F.pmod("row", F.lit(salts)))
     spread = found.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    own = salted.join(spread, ["host", "subtree", "salt"]).groupBy("row").agg(F.collect_set("subtree").alias("own"))
-    joined = keyed.join(own, "row", "left")
-    return joined.select("key", "url", F.arrow_udf(text_without, "string")("page", "own").alias("text"))
+    own = salted.hint("merge").join(spread, ["template", "salt"]).groupBy("row").agg(F.collect_set("template").alias("own"))
+    joined = keyed.hint("merge").join(own, "row", "left")
+    return joined.select("key", "url", F.arrow_udf(text_without, "string")("page", "host", "own").alias("text"))

@@ -82,6 +82,38 @@ def test_empty_table(spark):
     assert extraction.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def site_rows():
+    """Pages of a host with more templates than pages, and of hosts that share its subtrees without making them templates."""
+    frame = "".join(f"<div>Box {j}</div>" for j in range(40))
+    rows = [(i, "http://big.example/", f"{frame}<p>Text {i} of its own.</p>") for i in range(30)]
+    return rows + [(100 + i, f"http://small{i}.example/", "<div>Box 1</div><p>once</p>") for i in range(30)] + rows[:3]
+
+
+def test_templates_reach_the_driver_as_packed_numbers(spark, monkeypatch):
+    def collect(frame):
+        raise AssertionError("rows are gathered on the driver")
+
+    pages, sent = spark.createDataFrame(site_rows(), "page_id long, url string, html string"), []
+    share = type(spark.sparkContext).broadcast
+    with monkeypatch.context() as patched:
+        patched.setattr(type(pages), "collect", collect)
+        patched.setattr(type(spark.sparkContext), "broadcast", lambda context, value: sent.append(value) or share(context, value))
+        found = extraction.extract(pages)
+    assert [(keys.dtype.name, keys.nbytes) for keys in sent] == [("int64", 8 * 40)] and list(sent[0]) == sorted(sent[0])
+    assert sorted(r["text"] for r in found.collect()) == sorted(
+        [f"Text {i} of its own." for i in [*range(30), 0, 1, 2]] + ["Box 1\nonce"] * 30
+    )
+
+
+def test_more_templates_are_joined_without_a_broadcast(spark):
+    pages = spark.createDataFrame(site_rows(), "page_id long, url string, html string")
+    joined, whole = extraction.extract(pages, broadcast_rows=39), extraction.extract(pages, broadcast_rows=40)
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) >= 10 << 20
+    rows = sorted(map(tuple, joined.collect()))
+    assert "Broadcast" not in joined._jdf.queryExecution().toString()
+    assert rows == sorted(map(tuple, whole.collect())) and len(rows) == len(site_rows())
+
+
 KEPT = [
     "<main class='overflow-hidden'><p>kept</p></main>", "<div style='overflow:hidden'><article>kept</article></div>", "<p class=hidden-xs>kept</p>",
     "<p data-title='Hidden gems'>kept</p>", "<p title='aria-hidden=true'>kept</p>", "<p hidden=until-found>kept</p>", "<p aria-hidden='false'>kept</p>",
